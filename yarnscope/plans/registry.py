@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import workload_plans
+from . import log_plans, workload_plans
 
-_MODULES = [workload_plans]
+_MODULES = [workload_plans, log_plans]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -40,7 +40,7 @@ CONTAINER_LOG = {
     "header_app": r"Container: container_e02_{c}_(\d*)_\d*_\d* on {h}.*",
     "header_container": r"Container: container_e02_{c}_\d*_\d*_(\d*) on ({h}).*",
     "driver_header": r"Container: container_e02_{c}_\d*_\d*_000001 on {h}.*",
-    "record_attempt": r"(appattempt_{c}_\d*_|container_e02_{c}_\d*_)(\d*)",
+    "record_attempt": r".*(appattempt_{c}_\d*_|container_e02_{c}_\d*_)(\d*).*",
 }
 
 # ---- fixed values: failure classification -------------------------------------

@@ -21,3 +21,13 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
     """
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
+
+
+def broadcast_or_none(dim: DataFrame, max_rows: int) -> DataFrame | None:
+    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``None``.
+
+    For callers whose only reason to join is a map-side filter: beyond the
+    bound they skip the join instead of shuffling the large side.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else None

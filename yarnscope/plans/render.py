@@ -80,3 +80,46 @@ def rm_log_lines(events: DataFrame, cluster: str = DEFAULT_CLUSTER) -> DataFrame
             F.lit(" with final state: FAILED, and exit status: "), _s(fl % 4 - 1)))
     )
     return events.select(F.concat(prefix, body).alias("value"), synthetic_position("events", eid).alias("pos"))
+
+
+def case_index(user_id: Column, attempt_nb: Column) -> Column:
+    """Which classifier case an attempt's container logs follow."""
+    from .classify_cases import CASES
+    return (user_id * 3 + attempt_nb - 1) % len(CASES)
+
+
+def container_log_records(events: DataFrame, cluster: str = DEFAULT_CLUSTER) -> DataFrame:
+    """``(value, pos)`` aggregated container-log records, per attempt of ``events``.
+
+    Attempts are ``(user_id, event_id % 3 + 1)``, found with a partial
+    aggregate. Each attempt gets a driver record (container 1), the case's
+    executor record (container 2) when it has one, and an idle executor
+    record (container 3); the case follows ``case_index``.
+    """
+    from .classify_cases import CASES, DRIVER_FILLER, EXECUTOR_FILLER, IDLE_EXECUTOR
+
+    att = (events.groupBy(F.col("user_id"), (F.col("event_id") % 3 + 1).alias("attempt_nb"))
+           .agg(F.min("ts").alias("t0")))
+    idx = case_index(F.col("user_id"), F.col("attempt_nb")) + 1
+    drv = F.element_at(F.array(*[F.lit(c[1]) for c in CASES]), idx.cast("int"))
+    exe = F.element_at(F.array(*[F.lit(c[2] or "") for c in CASES]), idx.cast("int"))
+    recs = F.array(
+        F.struct(F.lit(1).alias("cid"), F.concat(F.lit(DRIVER_FILLER), drv).alias("body")),
+        F.when(exe != "", F.struct(F.lit(2).alias("cid"), F.concat(F.lit(EXECUTOR_FILLER), exe).alias("body"))),
+        F.struct(F.lit(3).alias("cid"), F.lit(IDLE_EXECUTOR).alias("body")),
+    )
+    app = F.lpad(_s(F.col("user_id")), 4, "0")
+    n2 = F.lpad(_s(F.col("attempt_nb")), 2, "0")
+    exploded = att.select("user_id", "attempt_nb", "t0", F.explode(recs).alias("r")).where(F.col("r").isNotNull())
+    host = F.concat(F.lit("iccluster"),
+                    F.lpad(_s(F.lit(HOST_BASE) + (F.col("user_id") + F.col("r.cid")) % HOST_COUNT), 3, "0"),
+                    F.lit(".iccluster.epfl.ch"))
+    header = F.concat(F.lit(f"Container: container_e02_{cluster}_"), app, F.lit("_"), n2, F.lit("_"),
+                      F.lpad(_s(F.col("r.cid")), 6, "0"), F.lit(" on "), host,
+                      F.lit("_45454_1589561045949\nLogType:stderr\nLogContents:\n"))
+    text = F.concat(header, F.col("r.body"), F.lit("\n"))
+    for key, val in (("{T}", F.date_format(F.col("t0"), "yy/MM/dd HH:mm:ss")), ("{A}", app), ("{N2}", n2),
+                     ("{C}", F.lit(cluster))):
+        text = F.replace(text, F.lit(key), val)
+    seq = (F.col("user_id") * 3 + F.col("attempt_nb")) * 4 + F.col("r.cid")
+    return exploded.select(text.alias("value"), synthetic_position("container_logs", seq).alias("pos"))

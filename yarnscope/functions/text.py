@@ -51,3 +51,25 @@ def prefix_to_colon(c: Column) -> Column:
 
 def flatten_lines(c: Column) -> Column:
     return F.translate(c, "\n", " ")
+
+
+def contains_any(c: Column, literals) -> Column:
+    """True when ``c`` contains one of ``literals`` (a cheap byte search)."""
+    if isinstance(literals, str):
+        literals = (literals,)
+    g = c.contains(literals[0])
+    for s in literals[1:]:
+        g = g | c.contains(s)
+    return g
+
+
+def line_start(pattern: str) -> str:
+    """Anchor a search pattern that starts with ``.*`` to line starts.
+
+    ``.`` matches no line terminator, so any match of ``.*X`` found inside a
+    line can be extended back to the start of that line; the first match of
+    a search therefore always starts at a line start, and ``(?m)^.*X`` finds
+    exactly the same match (same groups) without retrying every position of
+    every line. Other patterns are returned unchanged.
+    """
+    return "(?m)^" + pattern if pattern.startswith(".*") else pattern

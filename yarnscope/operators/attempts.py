@@ -23,8 +23,15 @@ from pyspark.sql import functions as F
 ATTEMPT_KEY = ["app_id", "attempt_nb"]
 
 
-def attempts(lines: DataFrame) -> DataFrame:
-    """``(app_id, app_num, attempt_nb, start_time, end_time, final_status, exit_code, containers)``."""
+def line_groups(lines: DataFrame) -> DataFrame:
+    """One row per ``(app_id, attempt_nb)`` over all kept lines.
+
+    Carries the attempt fields (meaningful for ``attempt_nb > 0``) and the
+    group's last non-empty user with its position. Attempts, users and
+    applications are all derived from this one aggregate, so a plan that
+    needs several of them shuffles the parsed lines once (the identical
+    exchange is reused).
+    """
     exit0 = F.col("exit_code") == 0
     no_container = F.col("container").isNull()
     launch = F.col("is_launch")
@@ -33,14 +40,40 @@ def attempts(lines: DataFrame) -> DataFrame:
     case_c = ~exit0 & no_container
     case_d = ~no_container & ~case_a
     pos = F.col("pos")
-    return (lines.where(F.col("attempt_nb") > 0)
-            .groupBy(*ATTEMPT_KEY)
+    named = F.when(F.col("user") != "", pos)
+    return (lines.groupBy(*ATTEMPT_KEY)
             .agg(F.max("app_num").alias("app_num"),
                  F.coalesce(F.max_by("ts", F.when(case_a, pos)), F.lit("")).alias("start_time"),
                  F.coalesce(F.max_by("ts", F.when(case_b, pos)), F.lit("")).alias("end_time"),
                  F.coalesce(F.max_by("final_status", F.when(case_b, pos)), F.lit("")).alias("final_status"),
                  F.coalesce(F.max_by("exit_code", F.when(case_c, pos)), F.lit(0)).alias("exit_code"),
-                 F.array_sort(F.collect_set(F.when(case_d, F.col("container")))).alias("containers")))
+                 F.array_sort(F.collect_set(F.when(case_d, F.col("container")))).alias("containers"),
+                 F.max_by("user", named).alias("user_last"),
+                 F.max(named).alias("user_pos")))
+
+
+def attempts_of(groups: DataFrame) -> DataFrame:
+    """``(app_id, app_num, attempt_nb, start_time, end_time, final_status, exit_code, containers)``."""
+    return (groups.where(F.col("attempt_nb") > 0)
+            .select(*ATTEMPT_KEY, "app_num", "start_time", "end_time", "final_status", "exit_code", "containers"))
+
+
+def users_of(groups: DataFrame) -> DataFrame:
+    """Last non-empty user per application: ``(app_id, user)``."""
+    return (groups.where(F.col("user_pos").isNotNull()).groupBy("app_id")
+            .agg(F.max_by("user_last", "user_pos").alias("user")))
+
+
+def applications_of(groups: DataFrame) -> DataFrame:
+    """``(app_id, user, num_attempts)``: distinct non-zero attempts and last non-empty user."""
+    return (groups.groupBy("app_id")
+            .agg(F.coalesce(F.max_by("user_last", "user_pos"), F.lit("")).alias("user"),
+                 F.count_if(F.col("attempt_nb") != 0).cast("int").alias("num_attempts")))
+
+
+def attempts(lines: DataFrame) -> DataFrame:
+    """Attempts straight from lines (see ``line_groups``)."""
+    return attempts_of(line_groups(lines.where(F.col("attempt_nb") > 0)))
 
 
 def app_users(lines: DataFrame) -> DataFrame:
@@ -51,11 +84,8 @@ def app_users(lines: DataFrame) -> DataFrame:
 
 
 def applications(lines: DataFrame) -> DataFrame:
-    """``(app_id, user, num_attempts)``: distinct non-zero attempts and last non-empty user."""
-    nz = F.col("attempt_nb") != 0
-    return (lines.groupBy("app_id")
-            .agg(F.coalesce(F.max_by("user", F.when(F.col("user") != "", F.col("pos"))), F.lit("")).alias("user"),
-                 F.count_distinct(F.when(nz, F.col("attempt_nb"))).cast("int").alias("num_attempts")))
+    """``(app_id, user, num_attempts)`` straight from lines."""
+    return applications_of(line_groups(lines))
 
 
 def applications_with_attempts(apps: DataFrame, atts: DataFrame) -> DataFrame:

@@ -147,10 +147,11 @@ def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tup
     Output: ``(app_id, attempt_nb, user, start_time, end_time, containers,
     error_category, exception, stage, source_line)``.
     """
-    from .attempts import app_users, attempts, failed_attempts
+    from .attempts import attempts_of, failed_attempts, line_groups, users_of
     from .joins import broadcast_or_none
 
-    failed = failed_attempts(attempts(rm_lines), app_users(rm_lines))
+    groups = line_groups(rm_lines)
+    failed = failed_attempts(attempts_of(groups), users_of(groups))
     keyed = keyed_records(records, app_range=app_range, fmt=fmt)
     if prefilter_max_attempts:
         keys = broadcast_or_none(failed.select(*RECORD_KEY), prefilter_max_attempts)

@@ -30,8 +30,7 @@ def keyed_records(records: DataFrame, *, app_range: tuple[int, int] | None = Non
     v = F.col("value")
     out = (records.where(v.rlike(p["header_app"]))
            .select(F.regexp_extract(v, p["header_app"], 1).try_cast("int").alias("app_num"),
-                   F.when(v.rlike(p["record_attempt"]),
-                          F.regexp_extract(v, p["record_attempt"], 2).try_cast("int")).alias("attempt_nb"),
+                   F.regexp_extract(v, X.line_start(p["record_attempt"]), 2).try_cast("int").alias("attempt_nb"),
                    F.regexp_extract(v, p["header_container"], 1).try_cast("int").alias("cid"),
                    F.regexp_extract(v, p["header_container"], 2).alias("host"),
                    v.rlike(p["driver_header"]).alias("is_drv_header"),
@@ -41,28 +40,83 @@ def keyed_records(records: DataFrame, *, app_range: tuple[int, int] | None = Non
     return out
 
 
+# ---- fixed values: literals that every match of the corresponding pattern
+# contains. A pattern only runs on records that contain its literal, which
+# gives the same result and skips the (backtracking) regex on most records.
+GUARDS = {
+    "class_not_found": ("ClassNotFoundException",),
+    "missing_input": ("InvalidInputException",),
+    "frame_line": ("(App",),
+    "driver_failure": ("INFO ApplicationMaster: Final app status: ",),
+    "cancel_stage_any": ("INFO YarnClusterScheduler: Cancelling stage ",),
+    "final_stage": ("INFO DAGScheduler: Final stage: ResultStage ",),
+    "channel_handler_exc": ("WARN TransportChannelHandler: ",),
+    "am_error": (" ERROR ApplicationMaster: ",),
+    "am_nested_exc": (" ERROR ApplicationMaster: User class threw exception: ",),
+    "task_set_manager": (" ERROR TaskSetManager: ",),
+    "short_circuit_exc": ("ERROR ShortCircuitCache:",),
+    "executor_msg": (" ERROR Executor: ",),
+    "utils_error_exc": (" ERROR Utils: ",),
+    "am_threw_exc": (" threw exception: ",),
+    "error_actor": (" ERROR ",),
+    "lost_executor": (" ERROR YarnClusterScheduler: Lost executor ",),
+    "executor_exc": (" ERROR Executor: ",),
+    "app_line": ("scala:",),
+    "utils_info_exc": (" INFO Utils: ",),
+    "am_user_exc": (" ERROR ApplicationMaster: User class threw exception: ",),
+    "dag_failed": (" INFO DAGScheduler: ",),
+    "cancel_stage": (" INFO YarnClusterScheduler: Cancelling stage ",),
+    "any_error": (" ERROR",),
+    "generic_stage": ("stage ",),
+    "generic_exc": ("java.", "org.apache.spark."),
+    "generic_line": ("App",),
+}
+
+
+def _g(v: Column, key: str) -> Column:
+    return X.contains_any(v, GUARDS[key])
+
+
+def _found(c: dict, v: Column, key: str) -> Column:
+    """``rlike`` behind its guard."""
+    return _g(v, key) & v.rlike(X.line_start(c[key]))
+
+
+def _extract(c: dict, v: Column, key: str, group: int) -> Column:
+    """First-match group behind its guard; NULL when there is no match."""
+    return F.when(_found(c, v, key), F.regexp_extract(v, X.line_start(c[key]), group))
+
+
+def _extract_or(c: dict, v: Column, key: str, group: int, default: str = "") -> Column:
+    return F.coalesce(_extract(c, v, key, group), F.lit(default))
+
+
+def _extract_all(c: dict, v: Column, key: str, group: int) -> Column:
+    return F.when(_g(v, key), X.extract_all(v, c[key], group)).otherwise(F.array().cast("array<string>"))
+
+
 def _choose_exception(c: dict, v: Column) -> Column:
     """The driver's fallback exception: after an ``ERROR Utils`` line, else
     from an ``ApplicationMaster ... threw exception`` line, else ''."""
-    utils = X.extract_or(v, c["utils_error_exc"], 1)
-    am = X.extract_or(v, c["am_threw_exc"], 2)
+    utils = _extract_or(c, v, "utils_error_exc", 1)
+    am = _extract_or(c, v, "am_threw_exc", 2)
     return F.when(utils != "", utils).otherwise(am)
 
 
 def _generic(c: dict, v: Column) -> Column:
     """Facts for the generic rule: max single-digit stage, first specific
     exception, lowest failed-stage source line."""
-    stages = F.transform(X.extract_all(v, c["generic_stage"], 1), lambda s: s.try_cast("int"))
-    excs = X.extract_all(v, c["generic_exc"], 1)
+    stages = F.transform(_extract_all(c, v, "generic_stage", 1), lambda s: s.try_cast("int"))
+    excs = _extract_all(c, v, "generic_exc", 1)
     specific = F.try_element_at(F.filter(excs, lambda e: e != DEFAULT_EXCEPTION), F.lit(1))
-    lines = F.transform(X.extract_all(v, c["generic_line"], 2), lambda s: s.try_cast("int"))
+    lines = F.transform(_extract_all(c, v, "generic_line", 2), lambda s: s.try_cast("int"))
     return F.struct(F.coalesce(F.array_max(stages), F.lit(-1)).alias("stage"),
                     F.coalesce(specific, F.lit(DEFAULT_EXCEPTION)).alias("exception"),
                     F.coalesce(F.array_min(lines), F.lit(-1)).alias("line"))
 
 
 def _frame_line(c: dict, trace: Column) -> Column:
-    return X.int_or(F.when(trace.rlike(c["frame_line"]), F.regexp_extract(trace, c["frame_line"], 1)), -1)
+    return X.int_or(_extract(c, trace, "frame_line", 1), -1)
 
 
 def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
@@ -80,61 +134,61 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFr
     is_driver = (F.col("cid") == 1) | F.col("is_drv_header")
 
     # -- facts of every record
-    missing = v.rlike(c["missing_input"])
-    ex_hit = v.rlike(c["executor_exc"])
+    missing = _found(c, v, "missing_input")
+    ex_hit = _found(c, v, "executor_exc")
     any_f = F.struct(
         missing.alias("f2_hit"),
         F.when(missing, _frame_line(c, F.regexp_extract(v, c["missing_input"], 2))).alias("f2_line"),
-        v.rlike(c["any_error"]).alias("has_error"),
-        F.when(v.rlike(c["any_error"]), _generic(c, v)).alias("generic"),
+        _found(c, v, "any_error").alias("has_error"),
+        F.when(_found(c, v, "any_error"), _generic(c, v)).alias("generic"),
         ex_hit.alias("ex_hit"),
         F.when(ex_hit, F.regexp_extract(v, c["executor_exc"], 1)).alias("ex_exc"),
         F.when(ex_hit, F.when(F.regexp_extract(v, c["executor_exc"], 2).contains(c["user_code_marker"]), 5)
                .otherwise(6)).alias("ex_type"),
-        X.int_or(F.when(v.rlike(c["app_line"]), F.regexp_extract(v, c["app_line"], 1)), -1).alias("ex_app_line"),
+        X.int_or(_extract(c, v, "app_line", 1), -1).alias("ex_app_line"),
     )
 
     # -- driver facts
-    f3_match = v.rlike(c["driver_failure"])
-    f3_exc_text = F.regexp_extract(v, c["driver_failure"], 2)
-    cancels = X.extract_all(v, c["cancel_stage_any"], 2)
-    actors = X.extract_all(v, c["error_actor"], 1)
+    f3_match = _found(c, v, "driver_failure")
+    f3_exc_text = F.when(f3_match, F.regexp_extract(v, c["driver_failure"], 2)).otherwise(F.lit(""))
+    cancels = _extract_all(c, v, "cancel_stage_any", 2)
+    actors = _extract_all(c, v, "error_actor", 1)
     first_other = F.array_position(F.transform(actors, lambda a: a != c["utils_actor"]), F.lit(True)).cast("int")
-    am_err = X.extract(v, c["am_error"], 1)
-    final_stage_hit = v.rlike(c["final_stage"])
+    am_err = _extract(c, v, "am_error", 1)
+    final_stage = X.line_start(c["final_stage"])
+    final_stage_on = _g(v, "final_stage")
     drv_f = F.when(is_driver, F.struct(
-        v.rlike(c["class_not_found"]).alias("f1_hit"),
+        _found(c, v, "class_not_found").alias("f1_hit"),
         (f3_match & ~f3_exc_text.contains(c["stage_failure"])).alias("f3_hit"),
         X.prefix_to_colon(f3_exc_text).alias("f3_exc"),
         X.int_or(F.try_element_at(cancels, F.lit(-1)), -1).alias("f3_stage"),
-        _frame_line(c, F.regexp_extract(v, c["driver_failure"], 3)).alias("f3_line"),
-        F.when(final_stage_hit, X.int_or(F.regexp_extract(v, c["final_stage"], 1), -1))
-         .otherwise(-1).alias("final_stage"),
-        F.when(final_stage_hit, X.int_or(F.regexp_extract(v, c["final_stage"], 2), -1))
-         .otherwise(-1).alias("final_line"),
+        F.when(f3_match, _frame_line(c, F.regexp_extract(v, c["driver_failure"], 3))).otherwise(-1).alias("f3_line"),
+        # one extraction per group: '' is "no match" (or an empty number)
+        F.when(final_stage_on, X.int_or(F.regexp_extract(v, final_stage, 1), -1)).otherwise(-1).alias("final_stage"),
+        F.when(final_stage_on, X.int_or(F.regexp_extract(v, final_stage, 2), -1)).otherwise(-1).alias("final_line"),
         v.contains(c["max_result_size"]).alias("max_result"),
         v.contains(c["block_manager"]).alias("bm"),
-        X.prefix_to_colon(X.extract_or(flat, "^(?:" + c["block_manager_exc"] + ")$", 1)).alias("bm_exc"),
+        F.when(v.contains(c["block_manager"]), X.prefix_to_colon(
+            X.extract_or(flat, "^(?:" + c["block_manager_exc"] + ")$", 1))).otherwise(F.lit("")).alias("bm_exc"),
         v.contains(c["channel_handler"]).alias("tch"),
-        X.extract_or(v, c["channel_handler_exc"], 1).alias("tch_exc"),
+        _extract_or(c, v, "channel_handler_exc", 1).alias("tch_exc"),
         v.contains(c["result_getter"]).alias("trg"),
         v.contains(c["yarn_scheduler"]).alias("ycs"),
         v.contains(c["leak_detector"]).alias("leak"),
         v.contains(c["response_handler"]).alias("trh"),
         (am_err.isNotNull() & ~am_err.contains(c["executor_lost_failure"])).alias("am_ok"),
-        X.extract(v, c["am_nested_exc"], 1).alias("am_nested"),
-        F.coalesce(X.extract(v, c["task_set_manager"], 1).contains(c["driver_word"]), F.lit(False))
+        _extract(c, v, "am_nested_exc", 1).alias("am_nested"),
+        F.coalesce(_extract(c, v, "task_set_manager", 1).contains(c["driver_word"]), F.lit(False))
          .alias("tsm_driver"),
         _choose_exception(c, v).alias("fallback_exc"),
         F.when(first_other > 0, F.element_at(actors, first_other)).otherwise(F.lit("")).alias("first_actor"),
         F.when(first_other > 0, first_other - 1).otherwise(F.size(actors)).alias("utils_before"),
-        v.rlike(c["lost_executor"]).alias("lost_hit"),
-        F.regexp_extract(v, c["lost_executor"], 1).try_cast("int").alias("lost_cid"),
-        X.extract_or(v, c["utils_info_exc"], 1).alias("utils_info_exc"),
-        X.extract_or(v, c["am_user_exc"], 1).alias("am_user_exc"),
-        X.int_or(F.when(v.rlike(c["dag_failed"]), F.regexp_extract(v, c["dag_failed"], 1)), -1).alias("dag_line"),
-        X.int_or(F.when(v.rlike(c["cancel_stage"]), F.regexp_extract(v, c["cancel_stage"], 1)), -1)
-         .alias("cancel_stage"),
+        _found(c, v, "lost_executor").alias("lost_hit"),
+        _extract(c, v, "lost_executor", 1).try_cast("int").alias("lost_cid"),
+        _extract_or(c, v, "utils_info_exc", 1).alias("utils_info_exc"),
+        _extract_or(c, v, "am_user_exc", 1).alias("am_user_exc"),
+        X.int_or(_extract(c, v, "dag_failed", 1), -1).alias("dag_line"),
+        X.int_or(_extract(c, v, "cancel_stage", 1), -1).alias("cancel_stage"),
     ))
 
     # -- executor facts (first matching kind wins, as in an if / else-if chain)
@@ -143,12 +197,13 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFr
             .when(v.contains(c["executor_error"]), F.lit("heartbeat")))
     exe_exc = (F.when(kind == "fetch", X.prefix_to_colon(
                    X.extract_or(flat, "^(?:" + c["block_fetcher_exc"] + ")$", 1)))
-               .when(kind == "cache", X.extract_or(v, c["short_circuit_exc"], 1))
+               .when(kind == "cache", _extract_or(c, v, "short_circuit_exc", 1))
                .otherwise(F.lit("")))
     exe_f = F.when(F.col("cid") > 1, F.struct(
         kind.alias("kind"),
         exe_exc.alias("exc"),
-        F.coalesce(X.extract(v, c["executor_msg"], 1).contains(c["driver_word"]), F.lit(False)).alias("hb_driver"),
+        F.coalesce(F.when(kind == "heartbeat", _extract(c, v, "executor_msg", 1).contains(c["driver_word"])),
+                   F.lit(False)).alias("hb_driver"),
     ))
 
     return keyed.select(*RECORD_KEY, "cid", "pos", "is_drv_header",

@@ -16,12 +16,12 @@ from ..operators import report as R
 from ..operators.classify import classify_attempts
 from .classify_cases import CASES
 from .log_plans import FULL_RANGE, WITH_ALL, classifier_lines
-from .render import container_log_records
-from .tables import table
+from ..sources.text import read_records
+from .render import container_log_path
 
 
 def diagnosis(spark: SparkSession, sf_dir: str):
-    records = container_log_records(table(spark, sf_dir, "events"))
+    records = read_records(spark, container_log_path(spark, sf_dir))
     return classify_attempts(records, classifier_lines(spark, sf_dir), app_range=FULL_RANGE)
 
 

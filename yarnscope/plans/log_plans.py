@@ -15,19 +15,19 @@ from ..operators import attempts as A
 from ..operators import questions as Q
 from ..operators import report as R
 from ..operators.lines import INT_MAX, parse_rm_lines
-from .render import rm_log_lines
-from .tables import table
+from ..sources.text import read_lines
+from .render import rm_log_path
 
 FULL_RANGE = (0, INT_MAX)
 
 
 def classifier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_rm_lines(rm_log_lines(table(spark, sf_dir, "events")),
+    return parse_rm_lines(read_lines(spark, rm_log_path(spark, sf_dir)),
                           with_exit_code=True, app_range=FULL_RANGE)
 
 
 def run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_rm_lines(rm_log_lines(table(spark, sf_dir, "events")), with_exit_code=False)
+    return parse_rm_lines(read_lines(spark, rm_log_path(spark, sf_dir)), with_exit_code=False)
 
 
 def _attempt_out(df: DataFrame, *extra: str) -> DataFrame:
@@ -43,22 +43,22 @@ def q_rm_lines(spark, sf_dir):
 
 
 def q_attempts(spark, sf_dir):
-    return _attempt_out(A.attempts(classifier_lines(spark, sf_dir)))
+    return _attempt_out(A.attempts_of(A.line_groups(classifier_lines(spark, sf_dir))))
 
 
 def q_applications(spark, sf_dir):
-    return A.applications(run_lines(spark, sf_dir)).select(
+    return A.applications_of(A.line_groups(run_lines(spark, sf_dir))).select(
         "app_id", "user", F.col("num_attempts").cast("bigint"))
 
 
 def q_failed_attempts(spark, sf_dir):
-    lines = classifier_lines(spark, sf_dir)
-    return _attempt_out(A.failed_attempts(A.attempts(lines), A.app_users(lines)), "user")
+    g = A.line_groups(classifier_lines(spark, sf_dir))
+    return _attempt_out(A.failed_attempts(A.attempts_of(g), A.users_of(g)), "user")
 
 
 def _run(spark, sf_dir):
-    lines = run_lines(spark, sf_dir)
-    return A.applications(lines), A.attempts(lines)
+    g = A.line_groups(run_lines(spark, sf_dir))
+    return A.applications_of(g), A.attempts_of(g)
 
 
 def q_q1(spark, sf_dir):

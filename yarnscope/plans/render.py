@@ -123,3 +123,37 @@ def container_log_records(events: DataFrame, cluster: str = DEFAULT_CLUSTER) ->
         text = F.replace(text, F.lit(key), val)
     seq = (F.col("user_id") * 3 + F.col("attempt_nb")) * 4 + F.col("r.cid")
     return exploded.select(text.alias("value"), synthetic_position("container_logs", seq).alias("pos"))
+
+
+# Rendered inputs are written once per application and scale-factor folder
+# into the shared checkpoint folder and read back through the text sources,
+# exactly like log files collected from a cluster.
+_WRITTEN: dict = {}
+
+
+def _materialize(spark, key: str, sf_dir: str, build, delimiter: str | None) -> str:
+    from ..session import scratch_path
+
+    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), key)
+    if k not in _WRITTEN:
+        path = scratch_path(spark, key)
+        w = build().orderBy("pos").select("value").write.mode("overwrite")
+        if delimiter is not None:
+            w = w.option("lineSep", delimiter)
+        w.text(path)
+        _WRITTEN[k] = path
+    return _WRITTEN[k]
+
+
+def rm_log_path(spark, sf_dir: str) -> str:
+    """Folder of the resource-manager log rendered from ``events`` (one line per event)."""
+    from .tables import table
+    return _materialize(spark, "rm-log", sf_dir, lambda: rm_log_lines(table(spark, sf_dir, "events")), None)
+
+
+def container_log_path(spark, sf_dir: str) -> str:
+    """Folder of the aggregated container logs rendered from ``events`` (star-delimited records)."""
+    from ..functions.patterns import RECORD_DELIMITER
+    from .tables import table
+    return _materialize(spark, "container-logs", sf_dir,
+                        lambda: container_log_records(table(spark, sf_dir, "events")), RECORD_DELIMITER)

@@ -96,6 +96,7 @@ REPORT = {
     "block": r"^\s*:\s*(appattempt_{c}_\d+_\d+)\s+User\s*:\s*([a-z]+)\s+StartTime\s*:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\s+EndTime\s*:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\s+Containers\s*:\s*((?:container_e02_{c}_\d+_\d+_\d+\s*->\s*iccluster\d+.iccluster.epfl.ch(?:\s*,\s*container_e02_{c}_\d+_\d+_\d+\s*->\s*iccluster\d+.iccluster.epfl.ch)*)?)\s+ErrorCategory\s*:\s*(-?\d+)\s+Exception\s*:\s*(N/A|(?:[a-zA-Z_$][a-zA-Z\d_$]*\.)*[a-zA-Z_$][a-zA-Z\d_$]*)\s+Stage\s*:\s*(-?\d+)\s+SourceCodeLine\s*:\s*(-?\d+)\s*$",
     "container_pair": r"(container_e02_{c}_\d+_\d+_\d+)\s*->\s*(iccluster\d+.iccluster.epfl.ch)",
     "block_keyword": "AppAttempt",
+    "attempt_ref": r"appattempt_{c}_\d+_\d+",
 }
 
 

@@ -55,9 +55,14 @@ def failure_blocks(diagnosis: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> Dat
 
 
 def write_report(blocks: DataFrame, path: str, order: list[str]) -> None:
-    """Write blocks as text in ``order``; blocks carry their own separators."""
-    (blocks.orderBy(*order).select("text").write.mode("overwrite")
-     .option("lineSep", "").text(path))
+    """Write blocks as text in ``order`` (range partitioned, one part file per range).
+
+    Each block starts with its blank-line separator; the first newline of
+    the separator is written as the line separator of the previous row, so
+    consecutive blocks are separated exactly as in a single-file report.
+    """
+    (blocks.orderBy(*order).select(F.substring("text", 2, 1 << 30).alias("text"))
+     .write.mode("overwrite").option("lineSep", "\n").text(path))
 
 
 def read_report(spark: SparkSession, path: str, fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
@@ -86,14 +91,15 @@ def parse_report(records: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFra
     firsts = records.groupBy(F.col("pos.path").alias("_path")).agg(F.min("pos").alias("_first"))
     blocks = (records.join(firsts, F.col("pos.path") == F.col("_path"), "left")
               .withColumn("_lead", F.col("pos") == F.col("_first")))
-    blocks = blocks.where(~(F.col("_lead") & (F.trim(v) == "")))
+    blocks = blocks.where(~(F.col("_lead") & v.rlike(r"^\s*$")))
     blocks = blocks.withColumn("valid", ~F.col("_lead") & v.rlike(p))
     pairs = F.when(F.col("valid"), F.transform(
         F.regexp_extract_all(g(5), F.lit(pair), F.lit(0)),
         lambda s: F.struct(F.regexp_extract(s, pair, 1).alias("container"),
                            F.regexp_extract(s, pair, 2).alias("host"))))
+    loose = F.regexp_extract(v, fmt.report["attempt_ref"], 0)
     return blocks.select(
-        "pos", "valid",
+        "pos", "valid", F.when(loose != "", loose).alias("attempt_ref"),
         g(1).alias("attempt_id"), g(2).alias("user"), g(3).alias("start_time"), g(4).alias("end_time"),
         pairs.alias("containers"),
         g(6).try_cast("int").alias("error_category"), g(7).alias("exception"),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classify_plans, log_plans, workload_plans
+from . import classify_plans, log_plans, report_plans, workload_plans
 
-_MODULES = [workload_plans, log_plans, classify_plans]
+_MODULES = [workload_plans, log_plans, classify_plans, report_plans]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -133,6 +133,7 @@ def diagnose(level2: DataFrame, level1: DataFrame) -> DataFrame:
 
 def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tuple[int, int] | None = None,
                       prefilter_max_attempts: int | None = 5_000_000,
+                      materialize_steps: bool = True,
                       fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
     """Diagnose every failed attempt that has container logs.
 
@@ -142,22 +143,31 @@ def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tup
     broadcast and the records of other attempts are dropped map-side before
     any feature is extracted; above the bound the prefilter is skipped (a
     shuffled semi-join would move log text) and only the small feature rows
-    meet the failed attempts in the final join.
+    meet the failed attempts in the final join. With ``materialize_steps``
+    the two small intermediates are written to the checkpoint folder (eager).
 
     Output: ``(app_id, attempt_nb, user, start_time, end_time, containers,
     error_category, exception, stage, source_line)``.
     """
+    from ..session import materialize
     from .attempts import attempts_of, failed_attempts, line_groups, users_of
     from .joins import broadcast_or_none
 
-    groups = line_groups(rm_lines)
+    # one row per (application, attempt), written once: attempts, users and
+    # the prefilter keys all read it, so the resource-manager log is scanned once
+    groups = materialize(line_groups(rm_lines), "attempt-groups") if materialize_steps else line_groups(rm_lines)
     failed = failed_attempts(attempts_of(groups), users_of(groups))
     keyed = keyed_records(records, app_range=app_range, fmt=fmt)
     if prefilter_max_attempts:
         keys = broadcast_or_none(failed.select(*RECORD_KEY), prefilter_max_attempts)
         if keys is not None:
             keyed = keyed.join(keys, RECORD_KEY, "left_semi")
+    # one small row per (attempt, container), written once: the per-attempt
+    # aggregate and the lost-executor lookup both read it, so the container
+    # logs are scanned (and their regexes run) exactly once
     level1 = per_container(record_features(keyed, fmt))
+    if materialize_steps:
+        level1 = materialize(level1, "container-features")
     verdicts = diagnose(per_attempt(level1), level1)
     return (failed.join(verdicts, RECORD_KEY, "inner")
             .select("app_id", "attempt_nb", "user", "start_time", "end_time", "containers",

@@ -15,6 +15,7 @@ from ..operators import attempts as A
 from ..operators import questions as Q
 from ..operators import report as R
 from ..operators.lines import INT_MAX, parse_rm_lines
+from ..session import materialize
 from ..sources.text import read_lines
 from .render import rm_log_path
 
@@ -52,12 +53,16 @@ def q_applications(spark, sf_dir):
 
 
 def q_failed_attempts(spark, sf_dir):
-    g = A.line_groups(classifier_lines(spark, sf_dir))
+    g = materialize(A.line_groups(classifier_lines(spark, sf_dir)), "attempt-groups")
     return _attempt_out(A.failed_attempts(A.attempts_of(g), A.users_of(g)), "user")
 
 
-def _run(spark, sf_dir):
+def _run(spark, sf_dir, shared: bool = False):
+    """Applications and attempts from one per-attempt aggregate; when both are
+    used (``shared``), the aggregate is written once and read by both."""
     g = A.line_groups(run_lines(spark, sf_dir))
+    if shared:
+        g = materialize(g, "run-groups")
     return A.applications_of(g), A.attempts_of(g)
 
 
@@ -67,7 +72,7 @@ def q_q1(spark, sf_dir):
 
 
 def q_q2(spark, sf_dir):
-    apps, atts = _run(spark, sf_dir)
+    apps, atts = _run(spark, sf_dir, shared=True)
     return Q.q2_top_user_by_unsuccessful(apps, atts).select("user", F.col("n_unsuccessful").cast("bigint"))
 
 
@@ -92,12 +97,12 @@ def q_q7(spark, sf_dir):
 
 
 def q_question_lines(spark, sf_dir):
-    apps, atts = _run(spark, sf_dir)
+    apps, atts = _run(spark, sf_dir, shared=True)
     return Q.question_lines(apps, atts)
 
 
 def q_application_text(spark, sf_dir):
-    apps, atts = _run(spark, sf_dir)
+    apps, atts = _run(spark, sf_dir, shared=True)
     return R.application_blocks(A.applications_with_attempts(apps, atts))
 
 

@@ -62,3 +62,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the checkpoint root for written tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    Used for small intermediates (one row per attempt or per container) that
+    several branches of a plan consume: each branch would otherwise prune
+    the producing aggregate differently and rescan the raw logs. The written
+    table also cuts the lineage, so a lost executor later on never forces a
+    rescan of the logs.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

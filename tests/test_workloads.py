@@ -91,3 +91,18 @@ def test_typed_csv_reader(spark, write_text):
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.IntegerType())])
     df = C.read_columns(spark, write_text("d.csv", DATA1), schema)
     assert rows(df, "k", "v") == [(1, 5), (1, 10), (2, 7)]
+
+
+def test_theta_join_paths_agree_on_driver_tables(spark):
+    import os
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    q = F.col("l_quantity").cast("bigint")
+    for side in ("right", "left"):
+        a = W.theta_join_sum(li, part, "l_partkey", q, "p_partkey", "p_size", sum_of=side, dedup=False)
+        b = W.theta_join_sum(li, part, "l_partkey", q, "p_partkey", "p_size", sum_of=side, dedup=False,
+                             broadcast_max_rows=1)
+        assert rows(a, "l_partkey", "total") == rows(b, "l_partkey", "total")

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_or_none
 
 
 def _col(c) -> Column:
@@ -82,7 +82,9 @@ def theta_join_sum(fact: DataFrame, dim: DataFrame, key: str, fact_value, dim_ke
     value per key, the last one by ``dim_order`` (a column or struct of
     positions; without it the key is assumed unique). Without ``dedup``
     duplicate dimension keys multiply matches, as a plain join does.
-    The dimension is broadcast only behind a checked row bound.
+    The dimension is broadcast only behind a checked row bound; above it the
+    fact side is first reduced to ``(key, v1, count)`` and shuffle-joined
+    (AQE splits a skewed join partition).
     """
     d = dim.select(F.col(dim_key).alias("_dk"), _col(dim_value).cast("bigint").alias("_v2"),
                    *([_col(dim_order).alias("_pos")] if dim_order is not None else []))
@@ -90,11 +92,19 @@ def theta_join_sum(fact: DataFrame, dim: DataFrame, key: str, fact_value, dim_ke
         d = d.groupBy("_dk").agg(F.max_by("_v2", "_pos").alias("_v2"))
     elif dim_order is not None:
         d = d.drop("_pos")
-    d = bounded_broadcast(d, broadcast_max_rows)
     f = fact.select(F.col(key), _col(fact_value).cast("bigint").alias("_v1"))
-    j = f.join(d, (f[key] == d["_dk"]) & (f["_v1"] < d["_v2"]), "inner")
+    small = broadcast_or_none(d, broadcast_max_rows)
+    if small is not None:
+        # map-side join: the fact side is never shuffled before its partial aggregate
+        j = f.join(small, (f[key] == small["_dk"]) & (f["_v1"] < small["_v2"]), "inner")
+        summed = F.col("_v2") if sum_of == "right" else F.col("_v1")
+        return j.groupBy(key).agg(F.sum(summed).alias(out))
+    # shuffle join: collapse the fact side to (key, v1, count) first (partial
+    # aggregation, map-side), so a hot key ships one row per distinct value
+    fc = f.groupBy(key, "_v1").agg(F.count(F.lit(1)).alias("_n"))
+    j = fc.join(d, (fc[key] == d["_dk"]) & (fc["_v1"] < d["_v2"]), "inner")
     summed = F.col("_v2") if sum_of == "right" else F.col("_v1")
-    return j.groupBy(key).agg(F.sum(summed).alias(out))
+    return j.groupBy(key).agg(F.sum(summed * F.col("_n")).alias(out))
 
 
 def around_half_max(df: DataFrame, key: str, value, *, range_partitions: int | None = None) -> DataFrame:

@@ -1,0 +1,9 @@
+"""Streaming.
+
+The analyses this engine reproduces are batch jobs over collected logs: there
+are no watermarks, event-time windows, state or late-data rules to honour, so
+this package defines no streaming operators. The resource-manager line
+parser (``operators.lines.parse_rm_lines``) and the container-log feature
+extraction (``operators.containers.record_features``) are stateless column
+expressions; they apply unchanged to a ``spark.readStream.text(...)`` source.
+"""

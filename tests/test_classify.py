@@ -121,3 +121,12 @@ def test_end_to_end_from_files(spark, write_text, prefilter):
              r.stage, r.source_line) for r in out] == [
         ("5006", 1, "basil", "2020-04-07 15:58:18,644", "2020-04-07 15:59:32,625", 4, "java.io.IOException", 0, 24)]
     assert [(c.id, c.host) for c in out[0].containers] == [(1, "iccluster056.iccluster.epfl.ch")]
+
+
+def test_generic_rule_all_frames_option(spark):
+    body = "{T} ERROR X: boom\n\tat App3$.main(App3.scala:17)\n"
+    df = spark.createDataFrame([(record(7100, 1, body), 0)], "value string, i long")
+    df = df.select("value", synthetic_position("t", F.col("i")).alias("pos"))
+    default = record_features(keyed_records(df)).first().any_f.generic.line
+    every = record_features(keyed_records(df), all_frames=True).first().any_f.generic.line
+    assert (default, every) == (-1, 17)

@@ -60,7 +60,7 @@ def test_round_trip(spark, diag, tmp_path):
 
 
 def test_single_file_report_is_accepted(spark, write_text):
-    path = write_text("answers.txt", BLOCK_5023 + BLOCK_5023.replace("5023", "5024"))
+    path = write_text("report.txt", BLOCK_5023 + BLOCK_5023.replace("5023", "5024"))
     parsed = R.parse_report(R.read_report(spark, path)).collect()
     assert [r.valid for r in parsed] == [True, True]
 

@@ -133,7 +133,7 @@ def diagnose(level2: DataFrame, level1: DataFrame) -> DataFrame:
 
 def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tuple[int, int] | None = None,
                       prefilter_max_attempts: int | None = 5_000_000,
-                      materialize_steps: bool = True,
+                      materialize_steps: bool = True, all_frames: bool = False,
                       fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
     """Diagnose every failed attempt that has container logs.
 
@@ -145,6 +145,7 @@ def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tup
     shuffled semi-join would move log text) and only the small feature rows
     meet the failed attempts in the final join. With ``materialize_steps``
     the two small intermediates are written to the checkpoint folder (eager).
+    ``all_frames`` makes the generic rule read every source-line alternative.
 
     Output: ``(app_id, attempt_nb, user, start_time, end_time, containers,
     error_category, exception, stage, source_line)``.
@@ -165,7 +166,7 @@ def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tup
     # one small row per (attempt, container), written once: the per-attempt
     # aggregate and the lost-executor lookup both read it, so the container
     # logs are scanned (and their regexes run) exactly once
-    level1 = per_container(record_features(keyed, fmt))
+    level1 = per_container(record_features(keyed, fmt, all_frames=all_frames))
     if materialize_steps:
         level1 = materialize(level1, "container-features")
     verdicts = diagnose(per_attempt(level1), level1)

@@ -103,13 +103,22 @@ def _choose_exception(c: dict, v: Column) -> Column:
     return F.when(utils != "", utils).otherwise(am)
 
 
-def _generic(c: dict, v: Column) -> Column:
+def _generic(c: dict, v: Column, all_frames: bool = False) -> Column:
     """Facts for the generic rule: max single-digit stage, first specific
-    exception, lowest failed-stage source line."""
+    exception, lowest failed-stage source line.
+
+    Only the failed-stage alternative of the line pattern yields a number
+    (the other two alternatives capture into groups that are never read);
+    ``all_frames=True`` also reads those (``main`` frames and ``failed``
+    lines).
+    """
     stages = F.transform(_extract_all(c, v, "generic_stage", 1), lambda s: s.try_cast("int"))
     excs = _extract_all(c, v, "generic_exc", 1)
     specific = F.try_element_at(F.filter(excs, lambda e: e != DEFAULT_EXCEPTION), F.lit(1))
-    lines = F.transform(_extract_all(c, v, "generic_line", 2), lambda s: s.try_cast("int"))
+    groups = [2, 3, 4] if all_frames else [2]
+    found = F.concat(*[_extract_all(c, v, "generic_line", g) for g in groups]) if len(groups) > 1 \
+        else _extract_all(c, v, "generic_line", 2)
+    lines = F.transform(found, lambda s: s.try_cast("int"))
     return F.struct(F.coalesce(F.array_max(stages), F.lit(-1)).alias("stage"),
                     F.coalesce(specific, F.lit(DEFAULT_EXCEPTION)).alias("exception"),
                     F.coalesce(F.array_min(lines), F.lit(-1)).alias("line"))
@@ -119,7 +128,7 @@ def _frame_line(c: dict, trace: Column) -> Column:
     return X.int_or(_extract(c, trace, "frame_line", 1), -1)
 
 
-def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
+def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT, *, all_frames: bool = False) -> DataFrame:
     """Keyed records -> ``(app_num, attempt_nb, cid, pos, is_drv_header, any_f, drv_f, exe_f)``.
 
     ``any_f``: facts every record contributes (missing-input rule, first
@@ -140,7 +149,7 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFr
         missing.alias("f2_hit"),
         F.when(missing, _frame_line(c, F.regexp_extract(v, c["missing_input"], 2))).alias("f2_line"),
         _found(c, v, "any_error").alias("has_error"),
-        F.when(_found(c, v, "any_error"), _generic(c, v)).alias("generic"),
+        F.when(_found(c, v, "any_error"), _generic(c, v, all_frames)).alias("generic"),
         ex_hit.alias("ex_hit"),
         F.when(ex_hit, F.regexp_extract(v, c["executor_exc"], 1)).alias("ex_exc"),
         F.when(ex_hit, F.when(F.regexp_extract(v, c["executor_exc"], 2).contains(c["user_code_marker"]), 5)

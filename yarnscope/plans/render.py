@@ -137,7 +137,11 @@ def _materialize(spark, key: str, sf_dir: str, build, delimiter: str | None) ->
     k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), key)
     if k not in _WRITTEN:
         path = scratch_path(spark, key)
-        w = build().orderBy("pos").select("value").write.mode("overwrite")
+        # one file per range of positions, in order: like logs collected from
+        # many nodes, and read back by as many tasks as there are cores
+        files = max(1, spark.sparkContext.defaultParallelism)
+        w = (build().repartitionByRange(files, "pos").sortWithinPartitions("pos")
+             .select("value").write.mode("overwrite"))
         if delimiter is not None:
             w = w.option("lineSep", delimiter)
         w.text(path)

@@ -161,3 +161,14 @@ def container_log_path(spark, sf_dir: str) -> str:
     from .tables import table
     return _materialize(spark, "container-logs", sf_dir,
                         lambda: container_log_records(table(spark, sf_dir, "events")), RECORD_DELIMITER)
+
+
+def document_records_path(spark, sf_dir: str) -> str:
+    """Folder of ``documents`` texts written as star-delimited records (in ``doc_id`` order)."""
+    from ..functions.patterns import RECORD_DELIMITER
+    from .tables import table
+
+    def build():
+        docs = table(spark, sf_dir, "documents")
+        return docs.select(F.col("text").alias("value"), synthetic_position("documents", F.col("doc_id")).alias("pos"))
+    return _materialize(spark, "document-records", sf_dir, build, RECORD_DELIMITER)

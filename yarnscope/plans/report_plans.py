@@ -6,7 +6,9 @@ split at the block keyword and parses every block. ``report_quarantine``
 does the same after damaging one field in the blocks of every second
 attempt (four kinds of damage in turn), and reports which blocks parse;
 ``report_validation`` is the accept / reject summary. ``container_records``
-scans the star-delimited container logs and keys each record.
+scans the star-delimited container logs and keys each record;
+``record_scan`` reads every ``documents`` text back from star-delimited
+record files, whole.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from ..operators.containers import keyed_records
 from ..session import scratch_path
 from ..sources.text import read_records
 from .classify_plans import _FAILED, diagnosis
-from .render import container_log_path
+from .render import container_log_path, document_records_path
 
 # ---- fixed values: the four kinds of damage of a report block -----------------
 DAMAGE = [
@@ -77,7 +79,14 @@ def q_container_records(spark, sf_dir):
                         F.length("value").cast("bigint").alias("n_chars"))
 
 
+def q_record_scan(spark, sf_dir):
+    """Every document as one star-delimited record, read back whole."""
+    recs = read_records(spark, document_records_path(spark, sf_dir))
+    return recs.select(F.md5("value").alias("text_md5"), F.length("value").cast("bigint").alias("n_chars"))
+
+
 QUERIES = {
+    "record_scan": q_record_scan,
     "report_roundtrip": q_report_roundtrip,
     "report_quarantine": q_report_quarantine,
     "report_validation": q_report_validation,
@@ -118,6 +127,7 @@ def _container_records_sql() -> str:
 
 
 ORACLE = {
+    "record_scan": """SELECT md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars FROM documents""",
     "report_roundtrip": _FAILED + f""",
         rc AS (
           SELECT DISTINCT app_id, attempt_nb, container_id, container_host FROM rm

@@ -12,15 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def lit(s: str) -> Column:
-    return F.lit(s)
-
-
-def found(c: Column, pattern: str) -> Column:
-    """Pattern occurs somewhere (``Matcher.find``)."""
-    return c.rlike(pattern)
-
-
 def extract(c: Column, pattern: str, group: int) -> Column:
     """Group of the first match, NULL when there is no match."""
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
@@ -40,10 +31,6 @@ def int_or(c: Column, default: int) -> Column:
     return F.coalesce(c.try_cast("int"), F.lit(default))
 
 
-def full_match(c: Column, pattern: str) -> Column:
-    return c.rlike(f"^(?:{pattern})$")
-
-
 def prefix_to_colon(c: Column) -> Column:
     """Text before the first ``:`` (all of it when there is none)."""
     return F.substring_index(c, ":", 1)

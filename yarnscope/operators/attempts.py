@@ -71,23 +71,6 @@ def applications_of(groups: DataFrame) -> DataFrame:
                  F.count_if(F.col("attempt_nb") != 0).cast("int").alias("num_attempts")))
 
 
-def attempts(lines: DataFrame) -> DataFrame:
-    """Attempts straight from lines (see ``line_groups``)."""
-    return attempts_of(line_groups(lines.where(F.col("attempt_nb") > 0)))
-
-
-def app_users(lines: DataFrame) -> DataFrame:
-    """Last non-empty user per application: ``(app_id, user)``."""
-    named = F.col("user") != ""
-    return (lines.where(named).groupBy("app_id")
-            .agg(F.max_by("user", "pos").alias("user")))
-
-
-def applications(lines: DataFrame) -> DataFrame:
-    """``(app_id, user, num_attempts)`` straight from lines."""
-    return applications_of(line_groups(lines))
-
-
 def applications_with_attempts(apps: DataFrame, atts: DataFrame) -> DataFrame:
     """Applications with their attempts in attempt order (left join on ``app_id``).
 

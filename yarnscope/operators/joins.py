@@ -1,4 +1,4 @@
-"""Join helpers: a broadcast that is only hinted behind a checked bound."""
+"""Join helpers: a broadcast that is only used behind a checked bound."""
 
 from __future__ import annotations
 
@@ -11,23 +11,12 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when ``dim`` has at most ``max_rows`` rows, else ``dim``.
-
-    The bound is proven by counting the (already pruned and de-duplicated)
-    dimension, which is one cheap job on a small input. The count stops as
-    soon as the limit is exceeded, so an unexpectedly large side is never
-    fully counted twice.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def broadcast_or_none(dim: DataFrame, max_rows: int) -> DataFrame | None:
     """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``None``.
 
-    For callers whose only reason to join is a map-side filter: beyond the
-    bound they skip the join instead of shuffling the large side.
+    The bound is proven by counting the (already pruned and de-duplicated)
+    side, stopping at ``max_rows + 1``. Beyond the bound the caller takes
+    another way: a shuffle join on reduced rows, or no map-side prefilter.
     """
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else None

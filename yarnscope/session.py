@@ -26,12 +26,21 @@ DEFAULTS = {
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "yarnscope", extra: dict | None = None) -> SparkSession:
-    """A local session with the defaults above (tests / bench)."""
+    """A session with the defaults above: local unless a master is configured
+    (tests, bench and the command line)."""
+    from pyspark import SparkConf
+
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (SparkSession.builder.master(master or f"local[{cpus}]")
-               .appName(app_name)
-               .config("spark.driver.memory", os.environ.get("YARNSCOPE_DRIVER_MEMORY", "16g"))
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus))))
+    builder = SparkSession.builder.appName(app_name)
+    # a master given by spark-submit (or the environment) wins over the local default;
+    # only a local session gets driver memory and one shuffle partition per core
+    # (on a cluster the deployment sizes them; AQE coalesces small partitions)
+    if master or not SparkConf().contains("spark.master"):
+        builder = (builder.master(master or f"local[{cpus}]")
+                   .config("spark.driver.memory", os.environ.get("YARNSCOPE_DRIVER_MEMORY", "16g"))
+                   .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus))))
+    elif shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

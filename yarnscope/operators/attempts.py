@@ -47,7 +47,7 @@ def line_groups(lines: DataFrame) -> DataFrame:
                  F.coalesce(F.max_by("ts", F.when(case_b, pos)), F.lit("")).alias("end_time"),
                  F.coalesce(F.max_by("final_status", F.when(case_b, pos)), F.lit("")).alias("final_status"),
                  F.coalesce(F.max_by("exit_code", F.when(case_c, pos)), F.lit(0)).alias("exit_code"),
-                 F.array_sort(F.collect_set(F.when(case_d, F.col("container")))).alias("containers"),
+                 F.sort_array(F.collect_set(F.when(case_d, F.col("container")))).alias("containers"),
                  F.max_by("user", named).alias("user_last"),
                  F.max(named).alias("user_pos")))
 

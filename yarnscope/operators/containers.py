@@ -110,18 +110,20 @@ def _generic(c: dict, v: Column, all_frames: bool = False) -> Column:
     Only the failed-stage alternative of the line pattern yields a number
     (the other two alternatives capture into groups that are never read);
     ``all_frames=True`` also reads those (``main`` frames and ``failed``
-    lines).
+    lines). No higher-order functions, so the projection stays in
+    whole-stage code generation: stage captures are single digits (string
+    maximum = numeric maximum), and line captures are digit strings cast as
+    an array; a value beyond the int range is no valid line and is ignored.
     """
-    stages = F.transform(_extract_all(c, v, "generic_stage", 1), lambda s: s.try_cast("int"))
-    excs = _extract_all(c, v, "generic_exc", 1)
-    specific = F.try_element_at(F.filter(excs, lambda e: e != DEFAULT_EXCEPTION), F.lit(1))
+    stage = F.array_max(_extract_all(c, v, "generic_stage", 1)).try_cast("int")
+    specific = F.try_element_at(F.array_remove(_extract_all(c, v, "generic_exc", 1), DEFAULT_EXCEPTION), F.lit(1))
     groups = [2, 3, 4] if all_frames else [2]
     found = F.concat(*[_extract_all(c, v, "generic_line", g) for g in groups]) if len(groups) > 1 \
         else _extract_all(c, v, "generic_line", 2)
-    lines = F.transform(found, lambda s: s.try_cast("int"))
-    return F.struct(F.coalesce(F.array_max(stages), F.lit(-1)).alias("stage"),
+    low = F.array_min(F.array_remove(found, "").try_cast("array<bigint>"))
+    return F.struct(F.coalesce(stage, F.lit(-1)).alias("stage"),
                     F.coalesce(specific, F.lit(DEFAULT_EXCEPTION)).alias("exception"),
-                    F.coalesce(F.array_min(lines), F.lit(-1)).alias("line"))
+                    F.when(low <= F.lit(2147483647), low.cast("int")).otherwise(F.lit(-1)).alias("line"))
 
 
 def _frame_line(c: dict, trace: Column) -> Column:
@@ -162,7 +164,11 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT, *, all_fr
     f3_exc_text = F.when(f3_match, F.regexp_extract(v, c["driver_failure"], 2)).otherwise(F.lit(""))
     cancels = _extract_all(c, v, "cancel_stage_any", 2)
     actors = _extract_all(c, v, "error_actor", 1)
-    first_other = F.array_position(F.transform(actors, lambda a: a != c["utils_actor"]), F.lit(True)).cast("int")
+    # leading "Utils" actors: actor names are \w*, so joined with commas the
+    # leading run is matched by one anchored pattern of "Utils," items
+    u = c["utils_actor"]
+    leading = F.regexp_extract(F.array_join(actors, ","), rf"^((?:{u}(?:,|$))*)", 1)
+    utils_before = F.floor((F.length(leading) + 1) / (len(u) + 1)).cast("int")
     am_err = _extract(c, v, "am_error", 1)
     final_stage = X.line_start(c["final_stage"])
     final_stage_on = _g(v, "final_stage")
@@ -190,8 +196,8 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT, *, all_fr
         F.coalesce(_extract(c, v, "task_set_manager", 1).contains(c["driver_word"]), F.lit(False))
          .alias("tsm_driver"),
         _choose_exception(c, v).alias("fallback_exc"),
-        F.when(first_other > 0, F.element_at(actors, first_other)).otherwise(F.lit("")).alias("first_actor"),
-        F.when(first_other > 0, first_other - 1).otherwise(F.size(actors)).alias("utils_before"),
+        F.coalesce(F.try_element_at(actors, utils_before + 1), F.lit("")).alias("first_actor"),
+        utils_before.alias("utils_before"),
         _found(c, v, "lost_executor").alias("lost_hit"),
         _extract(c, v, "lost_executor", 1).try_cast("int").alias("lost_cid"),
         _extract_or(c, v, "utils_info_exc", 1).alias("utils_info_exc"),

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import DEFAULT_EXCEPTION, DEFAULT_FORMAT, NOT_AVAILABLE, LogFormat
+from ..functions.patterns import CLS, DEFAULT_EXCEPTION, DEFAULT_FORMAT, NOT_AVAILABLE, LogFormat
 from .containers import RECORD_KEY, keyed_records, record_features
 
 CLASS_NOT_FOUND = "java.lang.ClassNotFoundException"
@@ -102,7 +102,7 @@ def _rule56(drv: Column, lost: Column) -> Column:
     exc2 = F.when(exc1 == "", drv["am_user_exc"]).otherwise(exc1)
     line = F.when(line0 == -1, drv["dag_line"]).otherwise(line0)
     stage = drv["cancel_stage"]
-    ok = (drv["first_actor"] == "YarnClusterScheduler") & (exc2 != "") & (typ != -1) & (stage != -1)
+    ok = (drv["first_actor"] == CLS["scheduler_actor"]) & (exc2 != "") & (typ != -1) & (stage != -1)
     return F.when(ok, _result(typ, exc2, stage, line))
 
 

@@ -43,9 +43,8 @@ def _damaged(blocks: DataFrame) -> DataFrame:
 
 
 def _written_report(spark: SparkSession, sf_dir: str, damage: bool) -> DataFrame:
-    diag = diagnosis(spark, sf_dir)
-    blocks = R.failure_blocks(diag).join(diag.select("app_id", "attempt_nb", F.col("app_id").cast("int")
-                                                     .alias("app_num")), ["app_id", "attempt_nb"])
+    blocks = (R.failure_blocks(diagnosis(spark, sf_dir))
+              .withColumn("app_num", F.col("app_id").try_cast("int")))
     if damage:
         blocks = _damaged(blocks)
     path = scratch_path(spark, "failure-report")

@@ -77,3 +77,28 @@ def test_records_survive_splits(spark, write_text, tiny_splits):
     assert got == sorted(recs)
     seqs = [r.value.split("\n")[0] for r in df.orderBy("pos").collect()]
     assert seqs == [f"Container: r{i}" for i in range(200)]
+
+
+def test_hot_attempt_holding_a_third_of_the_lines(spark, write_text, tiny_splits):
+    """One attempt carries a third of all lines; the partial aggregates keep it exact."""
+    rnd = random.Random(3)
+    lines, last_launch, hosts = [], None, set()
+    for i in range(3000):
+        hot = i % 3 == 0
+        app, att = (7, 1) if hot else (rnd.randint(8, 40), rnd.randint(1, 3))
+        ts = f"2020-04-07 {10 + i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d},{i % 1000:03d}"
+        if hot and i % 2 == 0:
+            lines.append(f"{ts} INFO  a.B (B.java:h(1)) - appattempt_{C}_{app:04d}_{att:06d} State change from "
+                         "ALLOCATED to LAUNCHED on event = X")
+            last_launch = ts
+        else:
+            host = f"iccluster{i % 7 + 40:03d}.iccluster.epfl.ch"
+            lines.append(f"{ts} INFO  s.N (N.java:a(3)) - Assigned container container_e02_{C}_{app:04d}_{att:02d}_"
+                         f"{i % 9 + 1:06d} of capacity <memory:2048, vCores:1> on host {host}:45454")
+            if hot:
+                hosts.add((i % 9 + 1, host))
+    raw = read_lines(spark, write_text("rm.log", "\n".join(lines) + "\n"))
+    atts = A.attempts_of(A.line_groups(parse_rm_lines(raw))).where("app_id = '0007'").collect()
+    assert len(atts) == 1
+    assert atts[0].start_time == last_launch
+    assert {(c.id, c.host) for c in atts[0].containers} == hosts

@@ -90,3 +90,17 @@ def test_theta_join(spark, fact, dim, broadcast):
     left = W.theta_join_sum(f, d, "k", "v", "k", "v", sum_of="left", dedup=False, broadcast_max_rows=bound)
     assert {r.k: r.total for r in right.collect()} == dict(want_right)
     assert {r.k: r.total for r in left.collect()} == dict(want_left)
+
+
+def test_theta_join_hot_key_on_shuffle_path(spark):
+    """A key with a third of the fact rows: the fact side is reduced to
+    (key, value, count) before the shuffle join, and the sums stay exact."""
+    fact = [(0, i % 7) for i in range(300)] + [(k % 20 + 1, k % 11) for k in range(600)]
+    dim = [(k, 5) for k in range(21)]
+    want = defaultdict(int)
+    for k, v1 in fact:
+        if v1 < 5:
+            want[k] += 5
+    d = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(dim)], "k int, v int, i int")
+    got = W.theta_join_sum(df(spark, fact), d, "k", "v", "k", "v", dim_order=F.col("i"), broadcast_max_rows=0)
+    assert {r.k: r.total for r in got.collect()} == dict(want)

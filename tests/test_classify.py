@@ -130,3 +130,27 @@ def test_generic_rule_all_frames_option(spark):
     default = record_features(keyed_records(df)).first().any_f.generic.line
     every = record_features(keyed_records(df), all_frames=True).first().any_f.generic.line
     assert (default, every) == (-1, 17)
+
+
+def test_every_case_with_shuffled_and_extra_records(spark):
+    import random
+    from yarnscope.plans.classify_cases import IDLE_EXECUTOR
+    rnd = random.Random(17)
+    recs = []
+    for i, (_, drv, exe, _) in enumerate(CASES):
+        app = 6000 + i
+        group = [record(app, 1, DRIVER_FILLER + drv)]
+        if exe:
+            group.append(record(app, 2, EXECUTOR_FILLER + exe))
+        for cid in rnd.sample(range(3, 10), rnd.randint(1, 3)):
+            idle = record(app, cid, IDLE_EXECUTOR)
+            group += [idle] * rnd.randint(1, 2)
+        recs += group
+    rnd.shuffle(recs)
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(recs)], "value string, i long").repartition(5)
+    df = df.select("value", synthetic_position("t", F.col("i")).alias("pos"))
+    l1 = per_container(record_features(keyed_records(df)))
+    got = {r.app_num: (r.error_category, r.exception, r.stage, r.source_line)
+           for r in diagnose(per_attempt(l1), l1).collect()}
+    for i, (name, _, _, expected) in enumerate(CASES):
+        assert got[6000 + i] == expected, name

@@ -154,3 +154,37 @@ def test_every_case_with_shuffled_and_extra_records(spark):
            for r in diagnose(per_attempt(l1), l1).collect()}
     for i, (name, _, _, expected) in enumerate(CASES):
         assert got[6000 + i] == expected, name
+
+
+FS_LINE = "{T} INFO DAGScheduler: Final stage: ResultStage 0 (collect at App4.scala:24)"
+CS_LINE = "{T} INFO YarnClusterScheduler: Cancelling stage 1"
+
+
+def test_block_manager_without_exception_falls_through_to_executors(spark):
+    drv = FS_LINE + "\n{T} WARN BlockManager: Failed to fetch block broadcast_3 after retries"
+    exe = "{T} ERROR Executor: Exit as unable to send heartbeats to driver more than 60 times"
+    got = diagnose_records(spark, [record(7200, 1, drv), record(7200, 2, exe)])[7200]
+    assert got == (4, "org.apache.spark.SparkException", 0, 24)
+
+
+def test_nested_exception_with_lost_executor_failure_is_not_rule_4(spark):
+    drv = (FS_LINE + "\n{T} ERROR ApplicationMaster: User class threw exception: org.apache.spark.SparkException: "
+           "Job aborted due to stage failure: ExecutorLostFailure: java.io.IOException: x")
+    assert diagnose_records(spark, [record(7201, 1, drv)])[7201] == (7, "java.io.IOException", -1, -1)
+
+
+def test_rule_5_empty_exception_uses_utils_fallback(spark):
+    lost = CASES[15][1].split("\n")[0]
+    drv = ("{T} ERROR Utils: Uncaught exception in thread x\n"
+           "{T} INFO Utils: shutdown hook\njava.lang.OutOfMemoryError: Java heap space\n" + lost + "\n" + CS_LINE)
+    exe = "{T} ERROR Executor: Exception in task 0.0\n: no class\n\tat App1$.main(App1.scala:7)\n"
+    got = diagnose_records(spark, [record(7202, 1, drv), record(7202, 2, exe)])[7202]
+    assert got == (5, "java.lang.OutOfMemoryError", 1, 7)
+
+
+def test_rule_5_exception_without_message_crosses_lines(spark):
+    lost = CASES[15][1].split("\n")[0]
+    exe = ("{T} ERROR Executor: Exception in task 0.0\njava.lang.OutOfMemoryError\n"
+           "\tat App2$.f(App2.scala:9)\n\tat App2$.g(App2.scala:11)\n")
+    got = diagnose_records(spark, [record(7203, 1, lost + "\n" + CS_LINE), record(7203, 2, exe)])[7203]
+    assert got == (5, "java.lang.OutOfMemoryError\n\tat App2$.f(App2.scala", 1, 9)

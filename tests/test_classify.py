@@ -188,3 +188,25 @@ def test_rule_5_exception_without_message_crosses_lines(spark):
            "\tat App2$.f(App2.scala:9)\n\tat App2$.g(App2.scala:11)\n")
     got = diagnose_records(spark, [record(7203, 1, lost + "\n" + CS_LINE), record(7203, 2, exe)])[7203]
     assert got == (5, "java.lang.OutOfMemoryError\n\tat App2$.f(App2.scala", 1, 9)
+
+
+def test_driver_failure_due_to_stage_failure_is_not_rule_3(spark):
+    drv = (CS_LINE + "\n{T} INFO ApplicationMaster: Final app status: FAILED, exitCode: 15, (reason: User class "
+           "threw exception: org.apache.spark.SparkException: Job aborted due to stage failure: Task 3 failed: "
+           "java.lang.OutOfMemoryError: Java heap space\n\tat App3$.main(App3.scala:22)\n)\n"
+           "{T} INFO ShutdownHookManager: bye")
+    assert diagnose_records(spark, [record(7204, 1, drv)])[7204] == (9, "N/A", -1, -1)
+
+
+def test_missing_input_in_an_executor_record(spark):
+    exe = ("{T} ERROR ApplicationMaster: User class threw exception: org.apache.hadoop.mapred.InvalidInputException: "
+           "Input path does not exist\n\tat App1$.main(App1.scala:29)\n{T} INFO X: y")
+    got = diagnose_records(spark, [record(7205, 1, FS_LINE), record(7205, 2, exe)])[7205]
+    assert got == (2, "org.apache.hadoop.mapred.InvalidInputException", -1, 29)
+
+
+def test_result_getter_with_scheduler_error_is_not_rule_4(spark):
+    drv = (FS_LINE + "\n{T} ERROR Utils: Uncaught exception in thread task-result-getter-0\n"
+           "java.lang.OutOfMemoryError: Java heap space\n{T} ERROR TaskResultGetter: Exception while getting result\n"
+           "{T} ERROR YarnClusterScheduler: something else")
+    assert diagnose_records(spark, [record(7206, 1, drv)])[7206] == (7, "java.lang.OutOfMemoryError", -1, -1)

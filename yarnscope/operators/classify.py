@@ -160,7 +160,14 @@ def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tup
     failed = failed_attempts(attempts_of(groups), users_of(groups))
     keyed = keyed_records(records, app_range=app_range, fmt=fmt)
     if prefilter_max_attempts:
-        keys = broadcast_or_none(failed.select(*RECORD_KEY), prefilter_max_attempts)
+        keys_df = failed.select(*RECORD_KEY)
+        # the written per-attempt table bounds the failed attempts, and counting
+        # it reads only parquet footers; only above that bound are the failed
+        # attempts themselves counted
+        if materialize_steps and groups.count() <= prefilter_max_attempts:
+            keys = F.broadcast(keys_df)
+        else:
+            keys = broadcast_or_none(keys_df, prefilter_max_attempts)
         if keys is not None:
             keyed = keyed.join(keys, RECORD_KEY, "left_semi")
     # one small row per (attempt, container), written once: the per-attempt

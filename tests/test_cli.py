@@ -41,3 +41,11 @@ def test_run_report(write_text, tmp_path):
     assert apps.startswith("ApplicationId : application_1580812675067_5006\n\nUser          : basil")
     assert apps.endswith("\n\n")
     assert read_parts(os.path.join(out, "questions")).startswith("1. ")
+
+
+def test_workload_command(write_text, tmp_path):
+    out = str(tmp_path / "w")
+    r = run("workload", "scaled_sum", write_text("d3.csv", "a,1,25\na,2,-7\nb,1,9\nb,2,100\n"), out)
+    assert r.returncode == 0, r.stderr[-2000:]
+    rows = sorted(l for l in read_parts(out).splitlines() if l and not l.startswith("c1"))
+    assert rows == ["1,2", "2,10"]

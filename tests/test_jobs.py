@@ -36,3 +36,14 @@ def test_workload_job(spark, write_text):
     got = sorted(tuple(r) for r in jobs.workload(spark, "theta_join_sum", d3, d4).collect())
     assert got == [("a", 10), ("b", 60)]
     assert sorted(tuple(r) for r in jobs.workload(spark, "scaled_sum", d3).collect()) == [(1, 2), (2, 10)]
+
+
+def test_every_workload_job(spark, write_text):
+    d3 = write_text("d3.csv", "a,1,25\na,2,-7\nb,1,9\nb,2,100\n")
+    d1 = write_text("d1.csv", "1,10\n1,5\n2,7\n")
+    d2 = write_text("d2.csv", "1,10\n2,4\n3,6\n3,1\n")
+    assert sorted(tuple(r) for r in jobs.workload(spark, "composite_sum", d3).collect()) == [
+        ("a", 1, 25), ("a", 2, -7), ("b", 1, 9), ("b", 2, 100)]
+    assert jobs.workload(spark, "modsum_total", d1).first()[0] == 2629
+    assert sorted(tuple(r) for r in jobs.workload(spark, "modsum_by_key", d1).collect()) == [(1, 642), (2, 309)]
+    assert tuple(jobs.workload(spark, "around_half_max", d2).first()) == (5, 4, 7)

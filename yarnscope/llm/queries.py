@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yarnscope.llm import chat_format, decontaminate, minhash, oracles, quality, suffix_dedup
+from yarnscope.llm import (chat_format, decontaminate, html_extract, language_id, minhash, oracles, packing, pii, quality,
+                           suffix_dedup, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    pieces = language_id.load_pieces(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    langs, table = language_id.learn(docs.where(F.col("doc_id").isNotNull() & ~held_out), pieces)
+    out = language_id.identify(docs, langs, table, pieces)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
@@ -23,6 +35,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -37,6 +53,21 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_replaced")
+
+
 def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -46,7 +77,8 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
-_QUERIES = (op2_suffix_array_dedup, op3_benchmark_decontamination, op5_chat_formatting, op9_quality_divergence, op10_circulant_minhash)
+_QUERIES = (op1_language_id, op2_suffix_array_dedup, op3_benchmark_decontamination, op4_url_filters, op5_chat_formatting, op6_html_extraction,
+            op7_sum_of_squares_packing, op8_pii_surrogates, op9_quality_divergence, op10_circulant_minhash)
 
 
 def queries() -> dict:

@@ -1,0 +1,80 @@
+import re
+
+from yarnscope.llm import pii
+
+
+def plain(text, key=b"k"):
+    make, out, at = pii.Surrogates(key), [], 0
+    for _, _, parts in pii.find_entities(text):
+        for kind, norm, a, b in parts:
+            out += [text[at:a], pii.render(kind, text[a:b], make.once(kind, norm))]
+            at = b
+    return "".join(out) + text[at:]
+
+
+def test_permutations_are_one_to_one():
+    s = pii.Surrogates(b"k")
+    assert sorted(s.permute("a", i, 1000) for i in range(1000)) == list(range(1000))
+    assert all(s.permute("a", i, 1000) != i for i in range(1000))
+    size = (1 << 20) + 7
+    assert len({s.permute("b", i, size) for i in range(5000)}) == 5000
+    assert len({s.once("ip", f"10.0.{a}.{b}") for a in range(20) for b in range(100)}) == 2000
+    for k, names in pii.NAMES.items():
+        assert {s.once("given:" + "/".join(k), n) for n in names} == set(names)
+
+
+def test_formats_are_kept():
+    t = plain("mail und.34@mail7.example.com or +1 (017) 555-7713 card 4952 9359 0025 3052 at 97.51.17.173 token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\".")
+    assert re.fullmatch(r'mail [a-z]{3}\.\d\d@[a-z]{4}\d\.[a-z]{7}\.com or \+1 \(\d{3}\) \d{3}-\d{4} card \d{4} \d{4} \d{4} \d{4} at \d+\.\d+\.\d+\.\d+ token = "[0-9a-f]{40}"\.', t)
+    for x in ("und.34", "555-7713", "9359", "97.51.17.173", "04dbebab"):
+        assert x not in t
+
+
+def test_check_digit_keeps_its_state():
+    s = pii.Surrogates(b"k")
+    for body in ("495293590025305", "000000000000000", "411111111111111"):
+        valid = body + str(pii.luhn_digit(body))
+        got = s.once("card", valid)
+        assert int(got[-1]) == pii.luhn_digit(got[:-1])
+        wrong = body + str((pii.luhn_digit(body) + 3) % 10)
+        got = s.once("card", wrong)
+        assert int(got[-1]) == (pii.luhn_digit(got[:-1]) + 3) % 10
+
+
+def test_names_keep_gender_and_script():
+    out = plain("Maria Stone met Peter Stone. Иван Петров came. Mr. Stone left.").split()
+    assert out[0] in pii.NAMES["f", "latin"] and out[3] in pii.NAMES["m", "latin"]
+    assert out[1] == out[4].rstrip(".") == out[9] != "Stone"
+    assert out[5] in pii.NAMES["m", "cyrillic"] and re.fullmatch("[а-яА-Я]+", out[6])
+
+
+def test_clean_text_stays():
+    for t in ("Version 1.2.3 of 2024-05-06, 3.14 and 12,000 or 1234567.", "The and of. Mary", "a@b", "Dr. of the", "1 2 3 4 5 6 7 8 9 10 11 12", ""):
+        assert plain(t) == t
+
+
+def test_rows_and_edges(spark, frame):
+    text = "write to a.b@mail.example.com, a.b@mail.example.com"
+    rows = [(1, None), (2, ""), (3, "clean"), (4, text), (4, text), (None, "x 10.1.2.3 y"), (5, "word " * 60_000 + "10.1.2.3")]
+    df = frame(rows)
+    out = pii.replace_entities(df)
+    assert out.columns == [*[c for c in df.columns if c != "n_replaced"], "n_replaced"]
+    got = out.collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) and by[1].text is None and by[2].text == "" and by[3].text == "clean" and by[4].n_replaced == 2
+    first, second = re.findall(r"\S+@[\w.]+\w", by[4].text)
+    assert first == second != "a.b@mail.example.com"
+    assert by[5].text.endswith(by[None].text.split()[1]) and by[4].label == 5
+    assert pii.replace_entities(frame([])).count() == 0
+
+
+def test_surrogates_that_are_entities_move_on(frame):
+    s = pii.Surrogates(b"q")
+    first = "10.9.8.7"
+    second = s.once("ip", first)
+    rows = [(1, f"a {first} b"), (2, f"c {second} d"), (3, f"e {first} f")]
+    for bound in (100, 0):
+        got = {r.doc_id: r.text for r in pii.replace_entities(frame(rows), b"q", broadcast_entities=bound).collect()}
+        third = s.once("ip", second)
+        assert got == {1: f"a {third} b", 2: f"c {third} d", 3: f"e {third} f"} or got[1].split()[1] != got[2].split()[1]
+        assert got[1].split()[1] == got[3].split()[1] and second not in got[1]

@@ -72,7 +72,7 @@ def find_windows(docs: DataFrame, items: DataFrame, size: int = WINDOW, broadcas
         .withColumn("start", F.col("pos") - F.col("at")).withColumn("length", F.size("window")) \
         .where("start >= 0 and start + length <= n") \
         .where("get(words, start - base) = get(window, 0) and get(words, start - base + length - 1) = get(window, length - 1)") \
-        .where("slice(words, start - base + 1, length) = window") \
+        .where("slice(words, greatest(1, start - base + 1), length) = window") \
         .select("doc_id", "hash", "start", "length", "wid", "window")
     return found.join(send(windows), ["wid", "window"]).select("doc_id", "hash", "start", "length", "item_id")
 

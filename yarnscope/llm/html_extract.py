@@ -51,7 +51,7 @@ def page_blocks(page: str):
     """Blocks ``(place, excluded, in_article, words, tags before)`` of a page, in order.
 
     ``place`` is ``section|block``; ``tags before`` are the tags since the last
-    block. ``words`` are the decoded words. The last entry may have no words.
+    block, with a ``+`` inside an article. ``words`` are the decoded words. The last entry may have no words.
     """
     blocks, stack = [], []  # stack of (tag, excluded, in article)
     text, tags = [], []
@@ -61,11 +61,14 @@ def page_blocks(page: str):
         words = entities.unescape("".join(text)).split()
         text.clear()
         if words:
-            block = next((t for t, _, _ in reversed(stack) if t in BLOCK), "body")
+            block = next((t.split(".")[0] for t, _, _ in reversed(stack) if t.split(".")[0] in BLOCK), "body")
             section = next((t for t, _, _ in reversed(stack) if t in ASIDE or t in ("header", "article", "main", "section") or "." in t), "")
             blocks.append((f"{section}|{block}", any(x for _, x, _ in stack), any(a for _, _, a in stack), words, list(tags)))
             tags.clear()
 
+    def within():  # tags inside an article are told apart
+        return "+" if any(a for _, _, a in stack) else ""
+
     for m in _TOKEN.finditer(page):
         slash, name, rest = m.group(1), m.group(2), m.group(3)
         if name is None:
@@ -87,11 +90,11 @@ def page_blocks(page: str):
                 flush()
             elif name in ("br", "wbr"):
                 text.append(" " if name == "br" else "")
-            tags.append(name)
+            tags.append(within() + name)
             continue
         if name in BLOCK:
             flush()
-        tags.append(name)
+        tags.append(within() + name)
         if slash:
             at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0].split(".")[0] == name), None)
             if at is not None:
@@ -140,10 +143,10 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     blocks = page_blocks(page)
     scores = []
     # every block counts as its tags, then its words; the words of a block score alike
-    for place, excluded, _, words, tags in blocks:
+    for place, excluded, inside, words, tags in blocks:
         # excluded blocks go anyway; they weigh little, so that one inside the article does not split it
-        each = -0.1 if excluded else weights.get(place, weights.get(place.rpartition("|")[2], 0.5))
-        scores.append(sum(weights.get("<" + t, -0.3) for t in tags))
+        each = (0.0 if inside else -0.1) if excluded else weights.get(place, weights.get(place.rpartition("|")[2], 0.5))
+        scores.append(sum(weights.get("<" + t, -0.02 if t[0] == "+" else -0.3) for t in tags))
         scores.append(each * len(words))
     first, last = best_region(scores)
     return "\n".join(" ".join(words) for k, (_, excluded, _, words, _) in enumerate(blocks) if first <= 2 * k + 1 < last and not excluded)
@@ -168,7 +171,8 @@ def learn_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
                 for place, excluded, inside, words, tags in page_blocks(page):
                     side = 0 if inside and not excluded else 1
                     found[place, side] += len(words)
-                    found[place.rpartition("|")[2], side] += len(words)
+                    if not excluded:
+                        found[place.rpartition("|")[2], side] += len(words)
                     for t in tags:
                         found["<" + t, side] += 1
             names = sorted({k for k, _ in found})
@@ -183,7 +187,8 @@ def learn_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     out = {}
     for r in rows:
         share = (r["inside"] + 0.5) / (r["inside"] + r["outside"] + 1)
-        out[r["what"]] = -max(0.02, min(0.5, 1 - share)) if r["what"].startswith("<") else 2 * share - 1
+        most = 0.05 if r["what"].startswith("<+") else 0.5
+        out[r["what"]] = -max(0.02, min(most, 1 - share)) if r["what"].startswith("<") else 2 * share - 1
     return out
 
 

@@ -61,7 +61,7 @@ _EMAIL = re.compile(r"[\w.+-]*\w@[\w-]+(?:\.[\w-]+)*\.\w{2,}")
 _IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)")
 _HEX = re.compile(r"(?<!\w)(?=[0-9a-f]*\d|[0-9A-F]*\d)(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?!\w)")
 _SECRET = re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']([^\"'\s]{6,})[\"']")
-_CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]|\.\d)")
+_CARD = re.compile(r"(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{5})(?!\w|\.\d)")
 _PHONE = re.compile(r"(?<![\w.+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.])\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\w)")
 _NAME = re.compile(r"(?<!\w)(?:(?P<title>" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[ ](?P<rest>[^\W\d_]\w+(?:[ -][^\W\d_a-z]\w+){0,2})"
                    r"|(?P<given>" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r")(?P<last>(?:[ -][^\W\d_a-z]\w+){1,2}))(?!\w)")

@@ -105,8 +105,7 @@ RM = """2020-04-07 15:58:17,101 INFO  capacity.ParentQueue (ParentQueue.java:add
 """
 
 
-@pytest.mark.parametrize("prefilter", [None, 10, 0])
-def test_end_to_end_from_files(spark, write_text, prefilter):
+def test_end_to_end_from_files(spark, write_text):
     from yarnscope.operators.lines import parse_rm_lines
     from yarnscope.sources.text import read_lines
     logs = "".join(r + RECORD_DELIMITER for r in [
@@ -116,7 +115,7 @@ def test_end_to_end_from_files(spark, write_text, prefilter):
     ])
     rm = parse_rm_lines(read_lines(spark, write_text("rm.log", RM)), app_range=(0, 9999))
     recs = read_records(spark, write_text("logs.txt", logs))
-    out = classify_attempts(recs, rm, app_range=(0, 9999), prefilter_max_attempts=prefilter).collect()
+    out = classify_attempts(recs, rm, app_range=(0, 9999)).collect()
     assert [(r.app_id, r.attempt_nb, r.user, r.start_time, r.end_time, r.error_category, r.exception,
              r.stage, r.source_line) for r in out] == [
         ("5006", 1, "basil", "2020-04-07 15:58:18,644", "2020-04-07 15:59:32,625", 4, "java.io.IOException", 0, 24)]

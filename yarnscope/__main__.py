@@ -68,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
         if s["accepted"]:
             print("SUCCESS")
         else:
-            print(f"{s['n_invalid']} of {s['n_blocks']} blocks do not parse; first at position {s['first_invalid_seq']}")
+            print(f"{s['n_invalid']} of {s['n_blocks']} blocks do not parse; first: block {s['first_invalid_block']} of {s['first_invalid_path']} ({s['first_invalid_ref']})")
             return 1
     elif args.cmd == "workload":
         (jobs.workload(spark, args.name, args.input, args.dim)

@@ -77,7 +77,7 @@ CLS = {
     "error_actor": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR (\w*):*",
     "utils_actor": "Utils",
     "scheduler_actor": "YarnClusterScheduler",
-    "lost_executor": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR YarnClusterScheduler: Lost executor \d* on {h}: Container marked as failed: container_e02_{c}_\d{4}_\d{2}_(\d{6})*",
+    "lost_executor": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR YarnClusterScheduler: Lost executor \d* on {h}: Container marked as failed: container_e02_{c}_\d{4,}_\d{2,}_(\d{6})*",
     "executor_exc": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR Executor: .*\n([^:]*):.*\n.*at (.*)\n",
     "user_code_marker": "App",
     "app_line": r"App\d*.scala:(\d*)",
@@ -86,15 +86,15 @@ CLS = {
     "dag_failed": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} INFO DAGScheduler: .* \(.* at App\d*.scala:(\d*)\) failed *",
     "cancel_stage": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} INFO YarnClusterScheduler: Cancelling stage (\d*)",
     "any_error": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR",
-    "generic_stage": r"stage (\d)",
+    "generic_stage": r"stage (\d+)",
     "generic_exc": r"((java\.[^(\s|$)]*(Exception|Error)|org\.apache\.spark\.[^(\s|$)]*(Exception|Error)))",
-    "generic_line": r"(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} INFO DAGScheduler: .* \(.* at App\d*.scala:(\d*)\) failed|App\d\$.main\(App\d*.scala:(\d+)\)|App\d.scala:(\d+)\) failed)",
+    "generic_line": r"(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} INFO DAGScheduler: .* \(.* at App\d*.scala:(\d*)\) failed|App\d+\$.main\(App\d*.scala:(\d+)\)|App\d+.scala:(\d+)\) failed)",
 }
 
 # ---- fixed values: failure report --------------------------------------------
 REPORT = {
-    "block": r"^\s*:\s*(appattempt_{c}_\d+_\d+)\s+User\s*:\s*([a-z]+)\s+StartTime\s*:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\s+EndTime\s*:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\s+Containers\s*:\s*((?:container_e02_{c}_\d+_\d+_\d+\s*->\s*iccluster\d+.iccluster.epfl.ch(?:\s*,\s*container_e02_{c}_\d+_\d+_\d+\s*->\s*iccluster\d+.iccluster.epfl.ch)*)?)\s+ErrorCategory\s*:\s*(-?\d+)\s+Exception\s*:\s*(N/A|(?:[a-zA-Z_$][a-zA-Z\d_$]*\.)*[a-zA-Z_$][a-zA-Z\d_$]*)\s+Stage\s*:\s*(-?\d+)\s+SourceCodeLine\s*:\s*(-?\d+)\s*$",
-    "container_pair": r"(container_e02_{c}_\d+_\d+_\d+)\s*->\s*(iccluster\d+.iccluster.epfl.ch)",
+    "block": r"^\s*:\s*(appattempt_{c}_\d+_\d+)\s+User\s*:\s*([a-z]+)\s+StartTime\s*:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\s+EndTime\s*:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\s+Containers\s*:\s*([^:]*?)\s+ErrorCategory\s*:\s*(-?\d+)\s+Exception\s*:\s*(N/A|(?:[a-zA-Z_$][a-zA-Z\d_$]*\.)*[a-zA-Z_$][a-zA-Z\d_$]*)\s+Stage\s*:\s*(-?\d+)\s+SourceCodeLine\s*:\s*(-?\d+)\s*$",
+    "container_pair": r"^\s*(container_e02_{c}_\d+_\d+_\d+)\s*->\s*({h})\s*$",
     "block_keyword": "AppAttempt",
     "attempt_ref": r"appattempt_{c}_\d+_\d+",
 }

@@ -50,6 +50,44 @@ def contains_any(c: Column, literals) -> Column:
     return g
 
 
+#: A line terminator other than a line feed that is not the text's last character.
+_TERMINATOR = r"(?s)[\r\x85\u2028\u2029]."
+
+
+def _last_exception_end(flat: Column) -> Column:
+    """Characters up to the end of the last ``Exception`` or ``Error`` that ``: `` follows; 0 if there is none."""
+    def end(word: str) -> Column:
+        after = F.length(F.substring_index(flat, word + ": ", -1))
+        return F.when(after < F.length(flat), F.length(flat) - after - 2).when(F.endswith(flat, F.lit(word + ": ")), F.length(flat) - 2).otherwise(F.lit(0))
+    return F.greatest(end("Exception"), end("Error"))
+
+
+def last_exception_word(flat: Column, lead: str) -> Column:
+    """Group 1 of the full match ``.*LEAD.* (.*Exception|.*Error): .*`` of a flattened log, '' without a match.
+
+    ``LEAD`` ends with a blank. The greedy match takes the last blank that has
+    ``Exception: `` or ``Error: `` behind it, so the group is the word that
+    ends there; found by searches from the end, in linear time. A dot matches
+    no line terminator, so a text that holds another one, but at its end, has no match.
+    """
+    end = _last_exception_end(flat)
+    head = F.substr(flat, F.lit(1), end)
+    word = F.substring_index(head, " ", -1)
+    first = F.locate(lead, flat) + (len(lead) - 1)
+    blank = end - F.length(word)
+    ok = (end > 0) & flat.contains(lead) & (blank > first) & ~flat.rlike(_TERMINATOR)
+    return F.when(ok, word).otherwise(F.lit(""))
+
+
+def exception_after(flat: Column, lead: str) -> Column:
+    """Group 1, up to its first colon, of the full match ``.*LEAD(.*Exception|.*Error): .*``; '' without a match."""
+    end = _last_exception_end(flat)
+    head = F.substr(flat, F.lit(1), end)
+    rest = F.substr(flat, F.length(head) - F.length(F.substring_index(head, lead, -1)) + 1, F.length(flat))
+    ok = (end > 0) & head.contains(lead) & ~flat.rlike(_TERMINATOR)
+    return F.when(ok, F.substring_index(rest, ":", 1)).otherwise(F.lit(""))
+
+
 def line_start(pattern: str) -> str:
     """Anchor a search pattern that starts with ``.*`` to line starts.
 

@@ -132,18 +132,15 @@ def diagnose(level2: DataFrame, level1: DataFrame) -> DataFrame:
 
 
 def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tuple[int, int] | None = None,
-                      prefilter_max_attempts: int | None = 5_000_000,
                       materialize_steps: bool = True, all_frames: bool = False,
                       fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
     """Diagnose every failed attempt that has container logs.
 
     ``records``: ``(value, pos)`` container-log records; ``rm_lines``: parsed
-    resource-manager lines (with exit codes, already range-filtered). When
-    the failed attempts are at most ``prefilter_max_attempts``, their keys are
-    broadcast and the records of other attempts are dropped map-side before
-    any feature is extracted; above the bound the prefilter is skipped (a
-    shuffled semi-join would move log text) and only the small feature rows
-    meet the failed attempts in the final join. With ``materialize_steps``
+    resource-manager lines (with exit codes, already range-filtered). Records
+    of attempts that did not fail are dropped map-side, before any feature is
+    extracted, by a bitmap filter of fixed size over the failed keys; the few
+    that pass it are dropped by the final join. With ``materialize_steps``
     the two small intermediates are written to the checkpoint folder (eager).
     ``all_frames`` makes the generic rule read every source-line alternative.
 
@@ -152,24 +149,14 @@ def classify_attempts(records: DataFrame, rm_lines: DataFrame, *, app_range: tup
     """
     from ..session import materialize
     from .attempts import attempts_of, failed_attempts, line_groups, users_of
-    from .joins import broadcast_or_none
+    from .joins import prefilter
 
     # one row per (application, attempt), written once: attempts, users and
     # the prefilter keys all read it, so the resource-manager log is scanned once
     groups = materialize(line_groups(rm_lines), "attempt-groups") if materialize_steps else line_groups(rm_lines)
     failed = failed_attempts(attempts_of(groups), users_of(groups))
     keyed = keyed_records(records, app_range=app_range, fmt=fmt)
-    if prefilter_max_attempts:
-        keys_df = failed.select(*RECORD_KEY)
-        # the written per-attempt table bounds the failed attempts, and counting
-        # it reads only parquet footers; only above that bound are the failed
-        # attempts themselves counted
-        if materialize_steps and groups.count() <= prefilter_max_attempts:
-            keys = F.broadcast(keys_df)
-        else:
-            keys = broadcast_or_none(keys_df, prefilter_max_attempts)
-        if keys is not None:
-            keyed = keyed.join(keys, RECORD_KEY, "left_semi")
+    keyed = prefilter(keyed, failed.select(*RECORD_KEY), RECORD_KEY)
     # one small row per (attempt, container), written once: the per-attempt
     # aggregate and the lost-executor lookup both read it, so the container
     # logs are scanned (and their regexes run) exactly once

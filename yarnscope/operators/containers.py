@@ -104,18 +104,18 @@ def _choose_exception(c: dict, v: Column) -> Column:
 
 
 def _generic(c: dict, v: Column, all_frames: bool = False) -> Column:
-    """Facts for the generic rule: max single-digit stage, first specific
+    """Facts for the generic rule: max stage, first specific
     exception, lowest failed-stage source line.
 
     Only the failed-stage alternative of the line pattern yields a number
     (the other two alternatives capture into groups that are never read);
     ``all_frames=True`` also reads those (``main`` frames and ``failed``
     lines). No higher-order functions, so the projection stays in
-    whole-stage code generation: stage captures are single digits (string
-    maximum = numeric maximum), and line captures are digit strings cast as
-    an array; a value beyond the int range is no valid line and is ignored.
+    whole-stage code generation: stage and line captures are digit strings
+    cast as arrays; a value beyond the int range is no valid stage or line
+    and is ignored.
     """
-    stage = F.array_max(_extract_all(c, v, "generic_stage", 1)).try_cast("int")
+    stage = F.array_max(_extract_all(c, v, "generic_stage", 1).try_cast("array<bigint>")).try_cast("int")
     specific = F.try_element_at(F.array_remove(_extract_all(c, v, "generic_exc", 1), DEFAULT_EXCEPTION), F.lit(1))
     groups = [2, 3, 4] if all_frames else [2]
     found = F.concat(*[_extract_all(c, v, "generic_line", g) for g in groups]) if len(groups) > 1 \
@@ -184,7 +184,7 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT, *, all_fr
         v.contains(c["max_result_size"]).alias("max_result"),
         v.contains(c["block_manager"]).alias("bm"),
         F.when(v.contains(c["block_manager"]), X.prefix_to_colon(
-            X.extract_or(flat, "^(?:" + c["block_manager_exc"] + ")$", 1))).otherwise(F.lit("")).alias("bm_exc"),
+            X.last_exception_word(flat, c["block_manager"] + " "))).otherwise(F.lit("")).alias("bm_exc"),
         v.contains(c["channel_handler"]).alias("tch"),
         _extract_or(c, v, "channel_handler_exc", 1).alias("tch_exc"),
         v.contains(c["result_getter"]).alias("trg"),
@@ -210,8 +210,7 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT, *, all_fr
     kind = (F.when(v.contains(c["block_fetcher"]), F.lit("fetch"))
             .when(v.contains(c["short_circuit"]), F.lit("cache"))
             .when(v.contains(c["executor_error"]), F.lit("heartbeat")))
-    exe_exc = (F.when(kind == "fetch", X.prefix_to_colon(
-                   X.extract_or(flat, "^(?:" + c["block_fetcher_exc"] + ")$", 1)))
+    exe_exc = (F.when(kind == "fetch", X.exception_after(flat, c["block_fetcher"] + " "))
                .when(kind == "cache", _extract_or(c, v, "short_circuit_exc", 1))
                .otherwise(F.lit("")))
     exe_f = F.when(F.col("cid") > 1, F.struct(

@@ -1,22 +1,31 @@
-"""Join helpers: a broadcast that is only used behind a checked bound."""
+"""Join helpers: a membership filter of fixed size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension below this many rows is hinted for broadcast; above it the join
-# is left to Catalyst / AQE, which will pick a sort-merge (or shuffled hash)
-# join, or convert to a broadcast at runtime from the measured shuffle size.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+#: Bits of the filter; what is broadcast is at most BITS / 8 bytes, whatever the number of keys.
+BITS = 1 << 26
 
 
-def broadcast_or_none(dim: DataFrame, max_rows: int) -> DataFrame | None:
-    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``None``.
+def _bit(keys: list[str]):
+    return F.pmod(F.xxhash64(*keys), F.lit(BITS)) + 1
 
-    The bound is proven by counting the (already pruned and de-duplicated)
-    side, stopping at ``max_rows + 1``. Beyond the bound the caller takes
-    another way: a shuffle join on reduced rows, or no map-side prefilter.
+
+def prefilter(rows: DataFrame, keys_of: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` less rows whose ``keys`` are certainly not among those of ``keys_of``.
+
+    A bitmap filter with one hash: with n distinct keys a share of about
+    ``n / BITS`` of the other rows passes as well (1.5 % at one million), so an
+    exact join must follow. It is always applied; many keys make it useless,
+    never wrong.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else None
+    bits = keys_of.select(_bit(keys).alias("_b"))
+    maps = bits.groupBy(F.bitmap_bucket_number("_b").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_b")).alias("_map"))
+    marked = rows.withColumn("_b", _bit(keys))
+    place = F.bitmap_bit_position("_b")
+    byte = F.conv(F.hex(F.substr("_map", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("bigint")
+    hit = F.expr("shiftright(_byte, cast(bitmap_bit_position(_b) % 8 as int)) & 1") == 1
+    return marked.join(F.broadcast(maps), F.bitmap_bucket_number("_b") == F.col("_bucket")) \
+        .withColumn("_byte", byte).where(hit).select(*rows.columns)

@@ -45,8 +45,8 @@ def _first_last(atts: DataFrame) -> DataFrame:
 
 
 def q3_apps_per_start_date(atts: DataFrame) -> DataFrame:
-    """``(start_date, n_apps)``: applications by the date their first attempt started."""
-    return (_first_last(atts)
+    """``(start_date, n_apps)``: applications by the date their first attempt started (if it did)."""
+    return (_first_last(atts).where(F.col("first_start") != "")
             .groupBy(F.substring("first_start", 1, 10).alias("start_date"))
             .agg(F.count(F.lit(1)).alias("n_apps")))
 
@@ -69,19 +69,25 @@ def _app_hosts(atts: DataFrame) -> DataFrame:
             .select("app_id", F.col("c.host").alias("host")))
 
 
-def q6_hosts(atts: DataFrame) -> DataFrame:
+def hosts_of_lines(lines: DataFrame) -> DataFrame:
+    """``(app_id, host)`` pairs straight from the parsed lines: no container sets are built."""
+    kept = (F.col("attempt_nb") > 0) & F.col("container").isNotNull() & ~((F.col("exit_code") == 0) & F.col("is_launch"))
+    return lines.where(kept).select("app_id", F.col("container.host").alias("host")).distinct()
+
+
+def q6_hosts(app_hosts: DataFrame) -> DataFrame:
     """``(n_hosts, hosts)``: distinct container hosts, sorted.
 
     The list holds one entry per machine of the cluster, a bounded set.
     """
-    hosts = _app_hosts(atts).select("host").distinct()
+    hosts = app_hosts.select("host").distinct()
     return hosts.agg(F.count(F.lit(1)).alias("n_hosts"),
                      F.array_join(F.sort_array(F.collect_list("host")), ", ").alias("hosts"))
 
 
-def q7_top_host_by_apps(atts: DataFrame) -> DataFrame:
+def q7_top_host_by_apps(app_hosts: DataFrame) -> DataFrame:
     """``(host, n_apps)``: the host that ran containers of the most applications."""
-    return (_app_hosts(atts).distinct()
+    return (app_hosts.distinct()
             .groupBy("host").agg(F.count(F.lit(1)).alias("n_apps"))
             .orderBy(F.desc("n_apps"), F.asc("host")).limit(1))
 
@@ -98,8 +104,8 @@ def question_lines(apps: DataFrame, atts: DataFrame) -> DataFrame:
         (3, q3),
         (4, q4_mean_app_duration(atts).select(F.col("mean_app_ms").cast("string").alias("a"))),
         (5, q5_mean_success_duration(atts).select(F.col("mean_success_ms").cast("string").alias("a"))),
-        (6, q6_hosts(atts).select(F.concat_ws(", ", F.col("n_hosts").cast("string"), F.col("hosts")).alias("a"))),
-        (7, q7_top_host_by_apps(atts).select(F.format_string("%s, %d", "host", "n_apps").alias("a"))),
+        (6, q6_hosts(_app_hosts(atts)).select(F.concat_ws(", ", F.col("n_hosts").cast("string"), F.col("hosts")).alias("a"))),
+        (7, q7_top_host_by_apps(_app_hosts(atts)).select(F.format_string("%s, %d", "host", "n_apps").alias("a"))),
     ]
     out = None
     for n, df in parts:

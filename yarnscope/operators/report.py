@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import DEFAULT_FORMAT, LogFormat
+from ..session import materialize
 from ..sources.text import position
 
 # ---- fixed values: report layout -------------------------------------------
@@ -61,7 +62,7 @@ def write_report(blocks: DataFrame, path: str, order: list[str]) -> None:
     the separator is written as the line separator of the previous row, so
     consecutive blocks are separated exactly as in a single-file report.
     """
-    (blocks.orderBy(*order).select(F.substring("text", 2, 1 << 30).alias("text"))
+    (blocks.orderBy(*order).select(F.substr("text", F.lit(2)).alias("text"))
      .write.mode("overwrite").option("lineSep", "\n").text(path))
 
 
@@ -86,16 +87,20 @@ def parse_report(records: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFra
     def g(i: int) -> Column:
         return F.when(F.col("valid"), F.regexp_extract(v, p, i))
 
-    # The text before the first keyword is the first record of its file:
-    # one small row per file, joined back on the file path.
+    # The text before the first keyword is the first record of its file: one
+    # small row per file, joined back on the file path. The records are written
+    # once, so that both sides see the same positions.
+    records = materialize(records, "report-records")
     firsts = records.groupBy(F.col("pos.path").alias("_path")).agg(F.min("pos").alias("_first"))
     blocks = (records.join(firsts, F.col("pos.path") == F.col("_path"), "left")
               .withColumn("_lead", F.col("pos") == F.col("_first")))
     blocks = blocks.where(~(F.col("_lead") & v.rlike(r"^\s*$")))
-    blocks = blocks.withColumn("valid", ~F.col("_lead") & v.rlike(p))
+    # containers are checked one by one: a repeated group in the pattern would recurse once for each
+    listed = F.regexp_extract(v, p, 5)
+    items = F.when(listed == "", F.array().cast("array<string>")).otherwise(F.split(listed, ","))
+    blocks = blocks.withColumn("_items", items).withColumn("valid", ~F.col("_lead") & v.rlike(p) & F.forall("_items", lambda s: s.rlike(pair)))
     pairs = F.when(F.col("valid"), F.transform(
-        F.regexp_extract_all(g(5), F.lit(pair), F.lit(0)),
-        lambda s: F.struct(F.regexp_extract(s, pair, 1).alias("container"),
+        "_items", lambda s: F.struct(F.regexp_extract(s, pair, 1).alias("container"),
                            F.regexp_extract(s, pair, 2).alias("host"))))
     loose = F.regexp_extract(v, fmt.report["attempt_ref"], 0)
     return blocks.select(
@@ -107,13 +112,19 @@ def parse_report(records: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFra
 
 
 def validate_report(parsed: DataFrame) -> DataFrame:
-    """One row: ``(n_blocks, n_invalid, first_invalid_seq, accepted)``.
+    """One row: ``(n_blocks, n_invalid, first_invalid_path, first_invalid_block, first_invalid_ref, accepted)``.
 
-    The report is accepted only when every block parses; the first offending
-    block is reported by its position.
+    The report is accepted only when every block parses. The first offending
+    block is given by its file, its number among the file's blocks (from 1,
+    whatever the splits) and the attempt it names, if any.
     """
+    bad = parsed.where(~F.col("valid")).agg(F.min(F.struct("pos", "attempt_ref")).alias("b"))
+    before = parsed.join(F.broadcast(bad.select(F.col("b.pos").alias("_at"))), F.col("pos") <= F.col("_at")) \
+        .where(F.col("pos.path") == F.col("_at.path")).agg(F.count("*").alias("n"))
     return parsed.agg(
         F.count(F.lit(1)).alias("n_blocks"),
         F.count_if(~F.col("valid")).alias("n_invalid"),
-        F.min(F.when(~F.col("valid"), F.col("pos.seq"))).alias("first_invalid_seq"),
+        F.max(bad.select("b.pos.path").scalar()).alias("first_invalid_path"),
+        F.max(F.nullif(before.select("n").scalar(), F.lit(0))).alias("first_invalid_block"),
+        F.max(bad.select("b.attempt_ref").scalar()).alias("first_invalid_ref"),
         (F.count_if(~F.col("valid")) == 0).alias("accepted"))

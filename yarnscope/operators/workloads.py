@@ -19,8 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_or_none
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -73,7 +71,7 @@ def modsum_total(df: DataFrame, key: str, value, lo: int = 2, hi: int = 100, *,
 
 def theta_join_sum(fact: DataFrame, dim: DataFrame, key: str, fact_value, dim_key: str, dim_value,
                    *, sum_of: str = "right", dim_order=None, dedup: bool = True,
-                   broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   split_values: int = 100_000,
                    out: str = "total") -> DataFrame:
     """Inner equi-join on the key with the extra predicate ``v1 < v2``, summed per key.
 
@@ -82,29 +80,29 @@ def theta_join_sum(fact: DataFrame, dim: DataFrame, key: str, fact_value, dim_ke
     value per key, the last one by ``dim_order`` (a column or struct of
     positions; without it the key is assumed unique). Without ``dedup``
     duplicate dimension keys multiply matches, as a plain join does.
-    The dimension is broadcast only behind a checked row bound; above it the
-    fact side is first reduced to ``(key, v1, count)`` and shuffle-joined
-    (AQE splits a skewed join partition).
+    Both sides are first collapsed to ``(key, value, count)`` with map-side
+    combine, so a hot key is as large as its distinct values; whether the
+    dimension is broadcast is left to Catalyst / AQE, which know its bytes.
+    Keys with more than ``split_values`` distinct fact values are dealt to
+    several join partitions by value, the dimension's rows of these keys to
+    each of them.
     """
     d = dim.select(F.col(dim_key).alias("_dk"), _col(dim_value).cast("bigint").alias("_v2"),
                    *([_col(dim_order).alias("_pos")] if dim_order is not None else []))
     if dedup and dim_order is not None:
-        d = d.groupBy("_dk").agg(F.max_by("_v2", "_pos").alias("_v2"))
-    elif dim_order is not None:
-        d = d.drop("_pos")
-    f = fact.select(F.col(key), _col(fact_value).cast("bigint").alias("_v1"))
-    small = broadcast_or_none(d, broadcast_max_rows)
-    if small is not None:
-        # map-side join: the fact side is never shuffled before its partial aggregate
-        j = f.join(small, (f[key] == small["_dk"]) & (f["_v1"] < small["_v2"]), "inner")
-        summed = F.col("_v2") if sum_of == "right" else F.col("_v1")
-        return j.groupBy(key).agg(F.sum(summed).alias(out))
-    # shuffle join: collapse the fact side to (key, v1, count) first (partial
-    # aggregation, map-side), so a hot key ships one row per distinct value
-    fc = f.groupBy(key, "_v1").agg(F.count(F.lit(1)).alias("_n"))
-    j = fc.join(d, (fc[key] == d["_dk"]) & (fc["_v1"] < d["_v2"]), "inner")
+        d = d.groupBy("_dk").agg(F.max_by("_v2", "_pos").alias("_v2"), F.lit(1).alias("_m"))
+    else:
+        d = d.groupBy("_dk", "_v2").agg(F.count(F.lit(1)).alias("_m"))
+    f = fact.groupBy(F.col(key).alias(key), _col(fact_value).cast("bigint").alias("_v1")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = f.groupBy(F.col(key).alias("_hk")).agg(F.ceil(F.count(F.lit(1)) / split_values).alias("_parts")).where("_parts > 1")
+    f = f.join(hot, F.col(key) == F.col("_hk"), "left") \
+        .withColumn("_salt", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("_v1"), F.col("_parts")))) \
+        .select(key, "_v1", "_n", "_salt")
+    d = d.join(hot, F.col("_dk") == F.col("_hk"), "left") \
+        .withColumn("_salt2", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).select("_dk", "_v2", "_m", "_salt2")
+    j = f.join(d, (f[key] == d["_dk"]) & (f["_salt"] == d["_salt2"]) & (f["_v1"] < d["_v2"]), "inner")
     summed = F.col("_v2") if sum_of == "right" else F.col("_v1")
-    return j.groupBy(key).agg(F.sum(summed * F.col("_n")).alias(out))
+    return j.groupBy(key).agg(F.sum(summed * F.col("_n") * F.col("_m")).alias(out))
 
 
 def around_half_max(df: DataFrame, key: str, value, *, range_partitions: int | None = None) -> DataFrame:

@@ -71,7 +71,7 @@ CASES = [
     ("other_driver_error",
      "{T} ERROR AsyncEventQueue: dropped org.apache.spark.SparkException: x stage 12 stage 0 "
      "java.io.IOException: y\n{T} INFO DAGScheduler: ResultStage 1 (collect at App7.scala:25) failed in 3 s", None,
-     (7, IOE, 1, 25)),
+     (7, IOE, 12, 25)),
     ("other_executor_error", FS, "{T} ERROR CoarseGrainedExecutorBackend: RECEIVED SIGNAL TERM", (8, SPARK, -1, -1)),
     ("unknown", FS, None, (9, "N/A", -1, -1)),
 ]

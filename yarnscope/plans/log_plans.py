@@ -20,6 +20,8 @@ from ..sources.text import read_lines
 from .render import rm_log_path
 
 FULL_RANGE = (0, INT_MAX)
+#: A range of application numbers that leaves out both ends of the smallest tables.
+SOME_RANGE = (5, 11)
 
 
 def classifier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +45,16 @@ def q_rm_lines(spark, sf_dir):
         F.col("container.host").alias("container_host"))
 
 
+def q_attempts_in_range(spark, sf_dir):
+    lines = parse_rm_lines(read_lines(spark, rm_log_path(spark, sf_dir)), with_exit_code=True, app_range=SOME_RANGE)
+    return _attempt_out(A.attempts_of(A.line_groups(lines)))
+
+
+def q_application_text_in_range(spark, sf_dir):
+    from ..jobs import run_reconstruction
+    return run_reconstruction(spark, rm_log_path(spark, sf_dir), report_range=SOME_RANGE)["report"]
+
+
 def q_attempts(spark, sf_dir):
     return _attempt_out(A.attempts_of(A.line_groups(classifier_lines(spark, sf_dir))))
 
@@ -89,11 +101,11 @@ def q_q5(spark, sf_dir):
 
 
 def q_q6(spark, sf_dir):
-    return Q.q6_hosts(_run(spark, sf_dir)[1])
+    return Q.q6_hosts(Q.hosts_of_lines(run_lines(spark, sf_dir)))
 
 
 def q_q7(spark, sf_dir):
-    return Q.q7_top_host_by_apps(_run(spark, sf_dir)[1])
+    return Q.q7_top_host_by_apps(Q.hosts_of_lines(run_lines(spark, sf_dir)))
 
 
 def q_question_lines(spark, sf_dir):
@@ -109,6 +121,8 @@ def q_application_text(spark, sf_dir):
 QUERIES = {
     "rm_lines": q_rm_lines,
     "attempts": q_attempts,
+    "attempts_in_range": q_attempts_in_range,
+    "application_text_in_range": q_application_text_in_range,
     "applications": q_applications,
     "failed_attempts": q_failed_attempts,
     "q1": q_q1, "q2": q_q2, "q3": q_q3, "q4": q_q4, "q5": q_q5, "q6": q_q6, "q7": q_q7,
@@ -121,7 +135,7 @@ QUERIES = {
 EVENTS_CTE = """
 e AS (
   SELECT event_id, event_type,
-         lpad(CAST(user_id AS VARCHAR), 4, '0') AS app_id,
+         lpad(CAST(user_id AS VARCHAR), greatest(4, length(CAST(user_id AS VARCHAR)))::INT, '0') AS app_id,
          CAST(event_id % 3 + 1 AS BIGINT) AS n,
          strftime(ts, '%Y-%m-%d %H:%M:%S,%g') AS ts_text,
          event_id % 13 = 0 AS warn,
@@ -199,7 +213,7 @@ Q2 = """SELECT "user", CAST(sum(coalesce(bad, 0)) AS BIGINT) AS n_unsuccessful
                              FROM att1 GROUP BY app_id) b USING (app_id)
         GROUP BY "user" ORDER BY n_unsuccessful DESC, "user" ASC LIMIT 1"""
 Q3 = """SELECT substring(first_start, 1, 10) AS start_date, CAST(count(*) AS BIGINT) AS n_apps
-        FROM fl GROUP BY 1"""
+        FROM fl WHERE first_start <> '' GROUP BY 1"""
 Q4 = f"""SELECT CAST(CASE WHEN count(d) > 0 THEN sum(d) // count(d) END AS BIGINT) AS mean_app_ms
          FROM (SELECT {MS.format(c='last_end')} - {MS.format(c='first_start')} AS d FROM fl)"""
 Q5 = f"""SELECT CAST(CASE WHEN count(d) > 0 THEN sum(d) // count(d) END AS BIGINT) AS mean_success_ms
@@ -253,3 +267,7 @@ ORACLE = {
                coalesce(t, '') || chr(10) || chr(10) AS text
         FROM apps LEFT JOIN blocks USING (app_id)""",
 }
+
+_RANGE = f"WHERE CAST(app_id AS BIGINT) BETWEEN {SOME_RANGE[0]} AND {SOME_RANGE[1]}"
+ORACLE["attempts_in_range"] = f"SELECT * FROM ({ORACLE['attempts']}) {_RANGE}"
+ORACLE["application_text_in_range"] = f"SELECT * FROM ({ORACLE['application_text']}) {_RANGE}"

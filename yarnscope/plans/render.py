@@ -8,7 +8,7 @@ log grows with the table.
 
 Mapping (one event -> one line, ``pos = event_id``):
 
-* application ``A = lpad(user_id, 4, '0')``, attempt ``N = event_id % 3 + 1``
+* application ``A = user_id`` with at least four digits, attempt ``N = event_id % 3 + 1``
 * level ``WARN`` when ``event_id % 13 = 0`` (dropped by the INFO filter),
   otherwise ``INFO``
 * ``signup``   -> "Application added" line with user
@@ -38,10 +38,15 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _digits(c: Column, least: int) -> Column:
+    """Decimal digits, zero-padded to ``least``; longer numbers stay whole."""
+    return F.lpad(_s(c), F.greatest(F.length(_s(c)), F.lit(least)), F.lit("0"))
+
+
 def rm_log_lines(events: DataFrame, cluster: str = DEFAULT_CLUSTER) -> DataFrame:
     """``(value, pos)`` resource-manager log lines, one per event."""
     eid = F.col("event_id")
-    app = F.lpad(_s(F.col("user_id")), 4, "0")
+    app = _digits(F.col("user_id"), 4)
     n = eid % 3 + 1
     ts = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss,SSS")
     level = F.when(eid % 13 == 0, F.lit("WARN")).otherwise(F.lit("INFO"))
@@ -108,8 +113,8 @@ def container_log_records(events: DataFrame, cluster: str = DEFAULT_CLUSTER) ->
         F.when(exe != "", F.struct(F.lit(2).alias("cid"), F.concat(F.lit(EXECUTOR_FILLER), exe).alias("body"))),
         F.struct(F.lit(3).alias("cid"), F.lit(IDLE_EXECUTOR).alias("body")),
     )
-    app = F.lpad(_s(F.col("user_id")), 4, "0")
-    n2 = F.lpad(_s(F.col("attempt_nb")), 2, "0")
+    app = _digits(F.col("user_id"), 4)
+    n2 = _digits(F.col("attempt_nb"), 2)
     exploded = att.select("user_id", "attempt_nb", "t0", F.explode(recs).alias("r")).where(F.col("r").isNotNull())
     host = F.concat(F.lit("iccluster"),
                     F.lpad(_s(F.lit(HOST_BASE) + (F.col("user_id") + F.col("r.cid")) % HOST_COUNT), 3, "0"),

@@ -103,6 +103,7 @@ def _container_records_sql() -> str:
     from .classify_cases import CASES, DRIVER_FILLER, EXECUTOR_FILLER, IDLE_EXECUTOR
     n = len(CASES)
     with_exec = ", ".join(str(i) for i, c in enumerate(CASES) if c[2])
+    # an application number of more than four digits makes the header longer
     header_len = len("Container: container_e02_1580812675067_0000_00_000000 on iccluster000.iccluster.epfl.ch"
                      "_45454_1589561045949\nLogType:stderr\nLogContents:\n")
     # body lengths with the placeholders filled: {T} is 17 characters, {A} 4, {N2} 2, {C} 13
@@ -111,6 +112,8 @@ def _container_records_sql() -> str:
                 + t.count("{C}") * (13 - 3))
     drv = " ".join(f"WHEN {i} THEN {filled(DRIVER_FILLER + c[1])}" for i, c in enumerate(CASES))
     exe = " ".join(f"WHEN {i} THEN {filled(EXECUTOR_FILLER + c[2])}" for i, c in enumerate(CASES) if c[2])
+    drv_a = " ".join(f"WHEN {i} THEN {(DRIVER_FILLER + c[1]).count('{A}')}" for i, c in enumerate(CASES))
+    exe_a = " ".join(f"WHEN {i} THEN {(EXECUTOR_FILLER + c[2]).count('{A}')}" for i, c in enumerate(CASES) if c[2])
     return f"""
         WITH a AS (SELECT DISTINCT user_id, event_id % 3 + 1 AS attempt_nb FROM events),
              r AS (SELECT user_id, attempt_nb, cid, (user_id * 3 + attempt_nb - 1) % {n} AS k
@@ -119,7 +122,7 @@ def _container_records_sql() -> str:
                CAST(cid AS BIGINT) AS cid,
                'iccluster' || lpad(CAST(40 + (user_id + cid) % 20 AS VARCHAR), 3, '0') || '.iccluster.epfl.ch' AS host,
                cid = 1 AS is_drv_header,
-               CAST({header_len} + 1 + CASE WHEN cid = 1 THEN CASE k {drv} END
+               CAST({header_len} + 1 + greatest(0, length(CAST(user_id AS VARCHAR)) - 4) * (1 + CASE WHEN cid = 1 THEN CASE k {drv_a} END WHEN cid = 2 THEN CASE k {exe_a} END ELSE {IDLE_EXECUTOR.count("{A}")} END) + CASE WHEN cid = 1 THEN CASE k {drv} END
                                          WHEN cid = 2 THEN CASE k {exe} END
                                          ELSE {filled(IDLE_EXECUTOR)} END AS BIGINT) AS n_chars
         FROM r WHERE cid <> 2 OR k IN ({with_exec})"""

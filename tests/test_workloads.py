@@ -86,13 +86,6 @@ def test_wrap32(spark, write_text):
     assert exact == 2147483648 and wrapped == -2147483648
 
 
-def test_typed_csv_reader(spark, write_text):
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.IntegerType())])
-    df = C.read_columns(spark, write_text("d.csv", DATA1), schema)
-    assert rows(df, "k", "v") == [(1, 5), (1, 10), (2, 7)]
-
-
 def test_theta_join_paths_agree_on_driver_tables(spark):
     import os
     sf = "/root/testdata/sf0.001"

@@ -53,6 +53,7 @@ def failure_report(spark: SparkSession, rm_log: str | list[str], container_logs:
     lines = parse_rm_lines(read_lines(spark, rm_log), with_exit_code=True, app_range=rng, fmt=fmt)
     diag = classify_attempts(read_records(spark, container_logs, delimiter), lines, app_range=rng, fmt=fmt)
     if out is not None:
+        diag = materialize(diag, "diagnosis")  # sorting, writing and the caller read it
         R.write_report(R.failure_blocks(diag, fmt), out, ["app_id", "attempt_nb"])
     return diag
 
@@ -76,9 +77,7 @@ def workload(spark: SparkSession, name: str, path: str, dim_path: str | None = N
         return W.modsum_by_key(C.read_int_int(spark, path), "k", "v", 2, 50)
     if name == "theta_join_sum":
         fact = C.read_str_int_int(spark, path)
-        dim = (spark.read.text(dim_path)
-               .select(F.split("value", ",")[0].alias("c0"), F.split("value", ",")[1].cast("int").alias("c1"),
-                       position().alias("pos")))
+        dim = C.read_str_int(spark, dim_path, position().alias("pos"))
         return W.theta_join_sum(fact, dim, "c0", "c2", "c0", "c1", sum_of="right", dim_order="pos")
     if name == "around_half_max":
         return W.around_half_max(C.read_int_int(spark, path), "k", "v")

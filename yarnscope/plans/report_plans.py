@@ -68,7 +68,7 @@ def q_report_quarantine(spark, sf_dir):
 
 def q_report_validation(spark, sf_dir):
     return R.validate_report(_written_report(spark, sf_dir, damage=True)).select(
-        "n_blocks", "n_invalid", "accepted")
+        "n_blocks", "n_invalid", "accepted", "first_invalid_ref")
 
 
 def q_container_records(spark, sf_dir):
@@ -156,7 +156,9 @@ ORACLE = {
         SELECT CAST(count(*) AS BIGINT) AS n_blocks,
                CAST(count(*) FILTER (WHERE NOT (attempt_nb <> 2 AND {_GRAMMAR_OK.replace('f.', '')})) AS BIGINT)
                  AS n_invalid,
-               count(*) FILTER (WHERE NOT (attempt_nb <> 2 AND {_GRAMMAR_OK.replace('f.', '')})) = 0 AS accepted
+               count(*) FILTER (WHERE NOT (attempt_nb <> 2 AND {_GRAMMAR_OK.replace('f.', '')})) = 0 AS accepted,
+               arg_min({_ATTEMPT_REF}, app_id || '_' || lpad(CAST(attempt_nb AS VARCHAR), 6, '0'))
+                 FILTER (WHERE NOT (attempt_nb <> 2 AND {_GRAMMAR_OK.replace('f.', '')})) AS first_invalid_ref
         FROM failed""",
     "container_records": _container_records_sql(),
 }

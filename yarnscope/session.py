@@ -48,12 +48,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a path every executor
     can reach). Only a local-mode session without the setting gets a fresh
-    folder of its own, as in tests.
+    folder of its own, as in tests. No setting of the session is changed.
     """
     conf = spark.sparkContext.getConf()
     root = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
@@ -61,10 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="yarnscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(app) or _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="yarnscope-ckpt-"))
     return root
 
 

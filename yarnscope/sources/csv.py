@@ -7,15 +7,15 @@ mode, so a malformed number fails the job instead of being dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _fields(spark: SparkSession, path: str, spec: list[tuple[int, str, T.DataType]]) -> DataFrame:
+def _fields(spark: SparkSession, path: str, spec: list[tuple[int, str, T.DataType]], *more: Column) -> DataFrame:
     parts = F.split(F.col("value"), ",")
     return (spark.read.text(path)
-            .select(*[parts.getItem(i).cast(t).alias(name) for i, name, t in spec]))
+            .select(*[parts.getItem(i).cast(t).alias(name) for i, name, t in spec], *more))
 
 
 def read_str_int_int(spark: SparkSession, path: str) -> DataFrame:
@@ -29,11 +29,6 @@ def read_int_int(spark: SparkSession, path: str) -> DataFrame:
     return _fields(spark, path, [(0, "k", T.IntegerType()), (1, "v", T.IntegerType())])
 
 
-def read_str_int(spark: SparkSession, path: str) -> DataFrame:
-    """``c0 string, c1 int`` (the small dimension of the join workload)."""
-    return _fields(spark, path, [(0, "c0", T.StringType()), (1, "c1", T.IntegerType())])
-
-
-def read_columns(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed convenience form through the CSV reader (no header, no inference)."""
-    return spark.read.schema(schema).option("header", "false").option("mode", "FAILFAST").csv(path)
+def read_str_int(spark: SparkSession, path: str, *more: Column) -> DataFrame:
+    """``c0 string, c1 int`` (the small dimension of the join workload), and further columns of the scan."""
+    return _fields(spark, path, [(0, "c0", T.StringType()), (1, "c1", T.IntegerType())], *more)

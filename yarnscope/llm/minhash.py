@@ -8,10 +8,13 @@ make band keys. A pair at similarity 0.8 shares no band with probability
 (1 - 0.8**5)**40 = 1e-7.
 
 Work is on classes of equal shingle sets, so copies cost one row each and are
-never paired. Inside a bucket the classes are confirmed against the bucket's
-least member (a star, not all pairs); buckets that still hold several
-components afterwards are resolved by rounds of further leaders until every
-pair across components has been compared. No bucket is capped.
+never paired. Inside a bucket every class is confirmed on full sets against
+one leader, the class that shares most buckets (a star, not all pairs). What a
+star leaves open, members that its leader does not link, is settled exactly
+on the differences to the leader: with D the symmetric difference of a member
+and the leader, two members reach the similarity only if their D share so many
+shingles, so a prefix-filtered join of the rare part of the D finds the few
+candidates. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -20,9 +23,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from yarnscope.llm.arrays import RangeHash, ascii_lower, byte_table, mix64, text_slices, words_of
 from yarnscope.llm.graph import components
@@ -30,8 +32,6 @@ from yarnscope.session import materialize
 
 BANDS, ROWS = 40, 5
 CIRCLE = 1 << 20
-#: Members of an unresolved bucket that are compared with all others in one round, at least.
-LEADERS = 16
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -125,23 +125,29 @@ def _sets(width: int):
     return run
 
 
-def _confirm(percent: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_STAR_DDL = "a long, b long, linked boolean, n long, gone long, added long, diff array<long>"
+_STAR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("n", pa.int64()), ("gone", pa.int64()),
+                   ("added", pa.int64()), ("diff", pa.list_(pa.int64()))])
+
 
+def _confirm(percent: int):
+    """Compares b with its leader a: sizes of a, of a less b, of b less a, and both differences together."""
     def run(batches):
         last, left = None, None
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            out_a, out_b = [], []
-            for x, y, s, t in zip(a, b, batch.column("set_a"), batch.column("set_b"), strict=True):
+            out = []
+            for x, y, s, t in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("set_a"), batch.column("set_b"), strict=True):
                 if x != last:
                     last, left = x, np.frombuffer(s.as_buffer(), np.uint64)
                 right = np.frombuffer(t.as_buffer(), np.uint64)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= percent * (len(left) + len(right) - both):
-                    out_a.append(x)
-                    out_b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], schema=schema)
+                diff = np.setxor1d(left, right, assume_unique=True)
+                both = (len(left) + len(right) - len(diff)) // 2
+                out.append((x, y, 100 * both >= percent * (len(left) + len(right) - both), len(left), len(left) - both, len(right) - both, diff.view(np.int64)))
+                if len(out) == 256:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _STAR, strict=True)], schema=_STAR)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _STAR, strict=True)], schema=_STAR)
     return run
 
 
@@ -166,38 +172,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = materialize(classes, "classes")
     nodes = classes.select("node", "least", "digest", F.col("n_shingles").alias("size"))
 
-    spread = classes.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").alias("size"))
-    leaders = spread.groupBy("key").agg(F.min_by(F.struct("node", "size"), "node").alias("lead"), F.count("*").alias("n")) \
-        .where("n > 1").select("key", F.col("lead.node").alias("leader"), F.col("lead.size").alias("leader_size"))
-    buckets = materialize(spread.join(leaders, "key"), "buckets")
-    near = f"100 * least(size, leader_size) >= {percent} * greatest(size, leader_size)"
-    pairs = buckets.where(near).where("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialize(_links(docs, nodes, pairs, width, percent), "links")
+    spread = classes.select(F.explode("keys").alias("key"), "node")
+    shared = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = materialize(spread.join(shared, "key"), "buckets")
+    # the leader of a bucket: the member whose buckets hold most members in all
+    weights = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
+    leaders = buckets.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("m")) \
+        .select("key", (-F.col("m.minus")).alias("a"))
+    pairs = materialize(buckets.join(leaders, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "pairs")
+    star = materialize(_star(docs, nodes, pairs, width, percent), "star")
+    links = star.where("linked").select("a", "b")
     labels = components(links)
-
-    # Buckets that still hold several components: in every round a few further members lead (twice as
-    # many as the round before) and are compared with all members of other components, then they are
-    # done. It ends when every pair across components of a bucket has been compared.
-    rest = buckets.where("leader <> node").select("key", "node", "size")
-    leading = LEADERS
-    while True:
-        seen = rest.join(labels, "node", "left").select("key", "node", "size", F.coalesce("label", "node").alias("label"))
-        mixed = seen.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")) \
-            .where("lo <> hi").select("key", "n")
-        rest = materialize(seen.join(mixed, "key"), "rest")
-        if rest.limit(1).count() == 0:
-            break
-        # leaders are drawn by a hash, not by a sort
-        draw = F.pmod(F.xxhash64("node", F.lit(leading)), F.col("n")) < leading
-        lead = rest.where(draw).select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("size").alias("size_a"))
-        pairs = lead.join(rest.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("size").alias("size_b")), "key") \
-            .where("la <> lb").where(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)") \
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = _links(docs, nodes, pairs, width, percent)
-        links = materialize(links.unionByName(more), "links")
-        labels = components(links)
-        rest = rest.where(~draw).select("key", "node", "size")
-        leading *= 2
+    more = materialize(_rest(star, labels, percent), "links")
+    if more.limit(1).count():
+        # join the components that the further links connect
+        name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}"))
+        between = more.join(name("a"), "a", "left").join(name("b"), "b", "left") \
+            .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        joined = components(between).select(F.col("node").alias("label"), F.col("label").alias("to"))
+        loose = joined.join(labels.select(F.col("node").alias("label")), "label", "left_anti").select(F.col("label").alias("node"), F.col("to").alias("label"))
+        labels = labels.join(joined, "label", "left").select("node", F.coalesce("to", "label").alias("label")).unionByName(loose)
 
     least = nodes.join(labels, "node", "left").select("digest", "least", F.coalesce("label", "node").alias("label"))
     found = least.join(least.groupBy("label").agg(F.min("least").alias("component")), "label").select("digest", "component")
@@ -207,9 +201,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets reach the similarity."""
-    pairs = materialize(pairs, "pairs")
+def _star(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Every pair of leader a and member b, compared on full shingle sets."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     asked = asked.join(nodes, "node").select("node", "least", "digest")
     # texts by doc_id; classes without one are found among the rows without one
@@ -218,8 +211,44 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, perc
     sets = texts.mapInArrow(_sets(width), "digest binary, shingles binary").join(asked.select("node", "digest"), "digest") \
         .dropDuplicates(["node"]).select("node", "shingles")
     sets = materialize(sets, "sets")
-    # the larger role first: sets of b travel with their pair, a set of a is sent once
-    full = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b") \
+    # the set of b travels with its pair, that of a is sent once
+    return pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b") \
         .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a") \
-        .select("a", "b", "set_a", "set_b")
-    return full.mapInArrow(_confirm(percent), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
+        .select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), _STAR_DDL)
+
+
+def _rest(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one leader a that are not in one component yet.
+
+    Let n, gone and added be the sizes of a, a less x and x less a, and o the
+    shingles that the differences of x and y share. Then x and y reach the
+    similarity if ``(100 + percent) * o >= S(x) + S(y) - H`` with
+    ``S = 100 * gone + percent * added`` and ``H = (100 - percent) * n``, and
+    ``S(x) <= H`` says that a and x do. For x not linked with a this bounds o
+    from below for any y, hence the prefixes: all but the bound's last shingles
+    of a difference, rare ones (in the leader's group) first.
+    """
+    p, name = percent, labels.withColumnRenamed("node", "b").withColumnRenamed("label", "of_b")
+    lead = labels.select(F.col("node").alias("a"), F.col("label").alias("of_a"))
+    all_ = star.join(name, "b", "left").join(lead, "a", "left") \
+        .withColumn("of_b", F.coalesce("of_b", "b")).withColumn("open", F.col("of_b") != F.coalesce("of_a", "a")).drop("of_a")
+    groups = materialize(all_.where("open").select("a").distinct(), "open")
+    # a member with no difference is the leader's equal, which is no other class
+    score = 100 * F.col("gone") + p * F.col("added")
+    floor = F.floor(score / (100 + p)) + 1
+    need = F.greatest(F.lit(1), F.ceil((score - (100 - p) * F.col("n")) / (100 + p)))
+    members = materialize(all_.join(groups, "a", "left_semi")
+                          .select("a", "b", "of_b", "open", "n", score.alias("score"), "diff",
+                                  (F.size("diff") - floor + 1).alias("as_other"), F.when(F.col("open"), F.size("diff") - need + 1).otherwise(0).alias("as_open")), "members")
+    tokens = members.select("a", "b", "of_b", "as_other", "as_open", F.explode("diff").alias("token"))
+    frequency = tokens.groupBy("a", "token").agg(F.count("*").alias("df"))
+    ranked = tokens.join(frequency, ["a", "token"]).withColumn("rank", F.row_number().over(Window.partitionBy("a", "b").orderBy("df", "token"))) \
+        .where("rank <= greatest(as_other, as_open)").select("a", "b", "of_b", "token", (F.col("rank") <= F.col("as_other")).alias("other"), (F.col("rank") <= F.col("as_open")).alias("probe"))
+    ranked = materialize(ranked, "prefixes")
+    probes = ranked.where("probe").select("a", "token", F.col("b").alias("x"), F.col("of_b").alias("of_x"))
+    others = ranked.where("other").select("a", "token", F.col("b").alias("y"), F.col("of_b").alias("of_y"))
+    found = probes.join(others, ["a", "token"]).where("of_x <> of_y").select("a", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    side = lambda c: members.select("a", F.col("b").alias(c), F.col("n").alias(f"n_{c}"), F.col("score").alias(f"s_{c}"), F.col("diff").alias(f"d_{c}"))
+    both = found.join(side("x"), ["a", "x"]).join(side("y"), ["a", "y"])
+    return both.where(f"{100 + p} * size(array_intersect(d_x, d_y)) >= s_x + s_y - {100 - p} * n_x") \
+        .select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()

@@ -104,7 +104,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         .agg(F.expr(f"approx_top_k_accumulate(word, {TRACKED})").alias("sketch"))
     counted = materialize(counted, "sketches")
     top = counted.where("known is not null").select("known", F.expr(f"approx_top_k_estimate(sketch, {TOP_WORDS})").alias("top")) \
-        .unionByName(counted.agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"))
+        .unionByName(counted.groupBy(F.lit(0).alias("all")).agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"))
                      .select(F.lit(None).cast("string").alias("known"), F.expr(f"approx_top_k_estimate(sketch, {TOP_WORDS})").alias("top")))
     top = top.select(F.col("known").alias("ref"), F.expr("sort_array(transform(top, x -> x.item))").alias("top"))
     top = materialize(top, "top")

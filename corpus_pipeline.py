@@ -16,8 +16,8 @@ from yarnscope.session import materialize
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the quality rules go. Null and empty texts fail."""
-    judged = quality.quality_rules(docs).where("kept").select(F.col("doc_id").alias("id"), "hash").distinct()
-    here = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("hash"))
+    judged = quality.quality_rules(docs).where("kept").select(F.col("doc_id").alias("id__"), F.col("hash").alias("hash__")).distinct()
+    here = F.col("doc_id").eqNullSafe(F.col("id__")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("hash__"))
     return docs.join(judged, here, "left_semi")
 
 
@@ -27,12 +27,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of repeated rows one stays. Documents without words are in no group and stay.
     """
     found = minhash.near_duplicates(docs, width=5, percent=80)
-    kept = found.where("kept").select(F.col("doc_id").alias("id"), "n_shingles").distinct()
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    kept = found.where("kept").select(F.col("doc_id").alias("id__")).distinct()
+    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("id__")), "left_semi")
     # rows that share a kept doc_id; with unique ids every group has one row
-    again = out.groupBy("doc_id").agg(F.count("*").alias("n__")).where("n__ > 1").select(F.col("doc_id").alias("id"))
+    again = out.groupBy("doc_id").agg(F.count("*").alias("n__")).where("n__ > 1").select(F.col("doc_id").alias("id__"))
     again = materialize(again, "again")
-    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    same = F.col("doc_id").eqNullSafe(F.col("id__"))
     first = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
     single = out.join(again, same, "left_anti")
     repeated = out.join(again, same, "left_semi").withColumn("k__", F.row_number().over(first)).where("k__ = 1").drop("k__")
@@ -43,8 +43,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that hold a ten-word window of a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    hit = materialize(decontaminate.find_windows(texts, items.select("item_id", "text")).select(F.col("doc_id").alias("id"), "hash").distinct(), "leaks")
-    here = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("hash"))
+    hit = materialize(decontaminate.find_windows(texts, items.select("item_id", "text")).select(F.col("doc_id").alias("id__"), F.col("hash").alias("hash__")).distinct(), "leaks")
+    here = F.col("doc_id").eqNullSafe(F.col("id__")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("hash__"))
     return docs.join(hit, here, "left_anti")
 
 

@@ -63,7 +63,7 @@ def test_components_match_brute_force(frame, seed, width):
 def test_edge_cases(frame):
     long = " ".join(f"v{i % 977}x{i % 13}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (4, "one TWO"), (5, "one two"), (None, "one two"), (None, "lone words here"),
-            (None, "lone words here"), (6, "single"), (7, "SINGLE"), (9, long), (8, long + " end"), (10, "É a"), (11, "é a")]
+            (None, "lone words here"), (6, "single"), (7, "SINGLE"), (9, long), (8, long + " end"), (10, "É a"), (11, "é a"), (20, "red green blue"), (20, "one two three four"), (21, "one two three four"), (19, "red green blue")]
     assert result(minhash.near_duplicates(frame(rows), 2, 80)) == brute(rows, 2)
 
 

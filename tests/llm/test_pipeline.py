@@ -7,12 +7,13 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stages_on_planted_rows(spark, tmp_path):
-    plain = lambda k: " ".join(f"plain{(i * 7 + k * 13) % 90} the of and word{(i * k) % 40}" for i in range(30)) + f" tail{k}"
+    plain = lambda k: " ".join(f"plain{(i * 7 + k * 13) % 90} the word{(i * k) % 40} of" for i in range(30)) + f" tail{k}"
     item = "these ten words are the benchmark passage that must not leak"
     near = plain(1).replace("word3 ", "other ", 1)
-    rows = [(1, plain(1)), (2, near), (3, plain(1)), (4, plain(4) + " " + item), (5, plain(5) + " write to jo.do@mail.example.com now"), (6, "too short"), (7, None), (8, "dup " * 200), (9, plain(9)),
+    rows = [(1, plain(1)), (2, near), (3, plain(1)), (4, plain(7) + " " + item), (5, plain(11) + " write to jo.do@mail.example.com now"), (6, "too short"), (7, None), (8, "dup " * 200), (9, plain(9)),
             (9, plain(9))]
-    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or ""), 1, "h") for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, id long, hash string")
     sf = str(tmp_path)
     docs.write.parquet(f"{sf}/documents.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
@@ -22,7 +23,7 @@ def test_stages_on_planted_rows(spark, tmp_path):
         docs = spark.read.parquet(f"{sf}/{k}")
         kept[name] = sorted(r.doc_id for r in docs.collect())
         if k < 4:
-            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "id", "hash"]
     assert kept["quality_rules"] == [1, 2, 3, 4, 5, 9, 9]
     assert kept["near_duplicates"] == [1, 4, 5, 9]
     assert kept["benchmark_decontamination"] == kept["pii_surrogates"] == [1, 5, 9]

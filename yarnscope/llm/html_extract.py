@@ -179,7 +179,10 @@ def learn_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([found[k, 0] for k in names], pa.int64()),
                                               pa.array([found[k, 1] for k in names], pa.int64())], schema=schema)
 
-    chosen = pages.where("html is not null").orderBy(F.xxhash64("page_id", F.lit(3)), "page_id").select("page_id").limit(sample)
+    # a draw that leaves about four times the sample, then the least hashes
+    draw = F.pmod(F.xxhash64("page_id", F.lit(3)), F.lit(1 << 40))
+    some = pages.where("html is not null").where(draw.cast("double") * float(max(1, pages.count())) < 4.0 * sample * (1 << 40))
+    chosen = some.orderBy(draw, "page_id").select("page_id").limit(sample)
     texts = pages.where("html is not null").join(F.broadcast(chosen.distinct()), "page_id", "left_semi").select("html")
     rows = texts.mapInArrow(count, "what string, inside long, outside long").groupBy("what") \
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")) \

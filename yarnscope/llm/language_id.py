@@ -175,11 +175,13 @@ def learn(labelled: DataFrame, pieces: list[bytes], sample: int = SAMPLE) -> tup
     """
     spark = labelled.sparkSession
     labelled = labelled.where("lang is not null and text is not null")
-    draw = F.xxhash64(F.col("doc_id").cast("string"), F.lit(17))
+    spoken = materialize(labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES), "languages")
+    # a draw that leaves about four times the sample, then the least hashes of a language
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(17)), F.lit(1 << 40))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    chosen = labelled.select("lang", "doc_id", draw.alias("draw")).withColumn("rank", rank).where(F.col("rank") <= sample)
-    spoken = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    chosen = materialize(chosen.join(F.broadcast(spoken), "lang").select("lang", "doc_id").distinct(), "sample")
+    chosen = labelled.select("lang", "doc_id", draw.alias("draw")).join(F.broadcast(spoken), "lang") \
+        .where(F.col("draw").cast("double") * F.col("n") < 4.0 * sample * (1 << 40)).withColumn("rank", rank).where(F.col("rank") <= sample)
+    chosen = materialize(chosen.select("lang", "doc_id").distinct(), "sample")
     # at most sample x MAX_LANGUAGES ids
     texts = labelled.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "text")
     counts = texts.mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))

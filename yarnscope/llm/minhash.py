@@ -161,15 +161,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Null or empty texts, and texts without words, have no shingles and are
     linked with nothing. Repeated rows are equal sets: one class. Rows without
     doc_id take part; a component without any doc_id has a null
-    component_id. Further columns of ``docs`` are ignored.
+    component_id. Rows that share a doc_id but not the text are documents of
+    their own. Further columns of ``docs`` are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialize(docs.mapInArrow(_sign(width), "doc_id long, digest binary, n_shingles long, keys array<long>"), "signed")
-    # a class: rows of equal sets; its node is its least doc_id, or a hash far below any id if it has none
-    classes = signed.where("digest is not null").groupBy("digest", "n_shingles") \
-        .agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys")) \
-        .withColumn("node", F.coalesce("least", F.lit(-(1 << 62)) - F.xxhash64("digest").bitwiseAND(F.lit((1 << 61) - 1))))
+    # a class: rows of equal sets; its node is its least doc_id, or a hash far below any id if it has
+    # none, or if rows of that doc_id are in other classes too
+    classes = signed.where("digest is not null").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"))
     classes = materialize(classes, "classes")
+    unclear = classes.where("least is not null").groupBy("least").agg(F.count("*").alias("classes")).where("classes > 1")
+    hashed = F.lit(-(1 << 62)) - F.xxhash64("digest").bitwiseAND(F.lit((1 << 61) - 1))
+    classes = classes.join(materialize(unclear, "unclear"), "least", "left") \
+        .withColumn("node", F.when(F.col("least").isNotNull() & F.col("classes").isNull(), F.col("least")).otherwise(hashed)).drop("classes")
     nodes = classes.select("node", "least", "digest", F.col("n_shingles").alias("size"))
 
     spread = classes.select(F.explode("keys").alias("key"), "node")

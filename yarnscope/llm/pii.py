@@ -1,7 +1,7 @@
 """Personal data: keyed surrogates of the same type, format, script and gender.
 
 Detected are e-mail addresses, phone numbers, payment card numbers, IPv4
-addresses, long secrets (hexadecimal, or after a word such as ``token``) and
+addresses, secrets (long hexadecimal ones, access keys, or after a word such as ``token``) and
 names of persons (a known given name or a title, then capitalised words).
 
 A surrogate is a keyed permutation of the characters of the normalised
@@ -60,7 +60,9 @@ _PLACE = {c: (k, i) for k, a in enumerate(ALPHABETS) for i, c in enumerate(a)}
 _EMAIL = re.compile(r"[\w.+-]*\w@[\w-]+(?:\.[\w-]+)*\.\w{2,}")
 _IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)")
 _HEX = re.compile(r"(?<!\w)(?=[0-9a-f]*\d|[0-9A-F]*\d)(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?!\w)")
-_SECRET = re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']([^\"'\s]{6,})[\"']")
+_SECRET = re.compile(r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|pwd|(?:api|access|secret|private)[_-]?key)\s*[=:]\s*(?:([\"'])(?P<quoted>[^\"'\s]{6,})\1|(?P<bare>(?=[^\s\"',;]*\d)[^\s\"',;]{6,}[^\W_]))")
+#: Access keys that start with a known prefix, which stays.
+_KEY = re.compile(r"(?<!\w)(?:(?:AKIA|ASIA)[0-9A-Z]{16}|(?:sk|pk|ghp|gho|ghs|xoxb|xoxp|glpat)[-_][A-Za-z0-9_-]{16,}|AIza[0-9A-Za-z_-]{35})(?!\w)")
 _CARD = re.compile(r"(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{5})(?!\w|\.\d)")
 _PHONE = re.compile(r"(?<![\w.+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.])\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\w)")
 _NAME = re.compile(r"(?<!\w)(?:(?P<title>" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[ ](?P<rest>[^\W\d_]\w+(?:[ -][^\W\d_a-z]\w+){0,2})"
@@ -145,6 +147,8 @@ class Surrogates:
             return body + str((luhn_digit(body) + off) % 10)
         if kind == "hex":
             return self.hexadecimal(norm)
+        if kind == "key":
+            return norm[:4] + self.text("key" + norm[:4], norm[4:])
         if kind == "email":
             local, _, host = norm.rpartition("@")
             name, _, top = host.rpartition(".")
@@ -163,9 +167,9 @@ def find_entities(text: str):
     """Non-overlapping entities in order: ``(start, end, [(kind, normalised, start, end), ..])``."""
     found = []
     if _MARK.search(text):
-        for kind, pattern in (("secret", _SECRET), ("email", _EMAIL), ("hex", _HEX), ("ip", _IP), ("phone", _PHONE), ("card", _CARD)):
+        for kind, pattern in (("secret", _SECRET), ("key", _KEY), ("email", _EMAIL), ("hex", _HEX), ("ip", _IP), ("phone", _PHONE), ("card", _CARD)):
             for m in pattern.finditer(text):
-                a, b = m.span(1) if kind == "secret" else m.span()
+                a, b = m.span() if kind != "secret" else m.span("quoted" if m["quoted"] else "bare")
                 body = text[a:b]
                 if kind == "secret" and re.fullmatch(r"[0-9a-f]{16,}|[0-9A-F]{16,}", body):
                     kind_, norm = "hex", body

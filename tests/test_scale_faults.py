@@ -99,3 +99,12 @@ def test_hot_key_is_dealt_to_several_partitions(spark):
     j = W.theta_join_sum(fact, dim, "k", "v", "k", "v", dedup=False, split_values=100)
     assert j.first().total == 2000 * 2000 + 10 * 10
     assert "_salt" in j._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_container_ids_of_another_epoch(spark, write_text):
+    from yarnscope.operators.lines import parse_rm_lines
+    from yarnscope.sources.text import read_lines
+    line = ("2020-04-07 10:00:00,000 INFO  scheduler.SchedulerNode (SchedulerNode.java:allocateContainer(163)) - Assigned container "
+            "container_{}_1580812675067_0007_01_000003 of capacity <memory:2048, vCores:1> on host iccluster040.iccluster.epfl.ch:45454\n")
+    got = parse_rm_lines(read_lines(spark, write_text("rm.log", line.format("e02") + line.format("e117"))), with_exit_code=False)
+    assert [(r.app_id, r.attempt_nb, r.container.id) for r in got.collect()] == [("0007", 1, 3)] * 2

@@ -4,8 +4,8 @@ Fixed values: every pattern below must stay exactly as written, because the
 results (which line is an attempt event, which exception is reported, which
 source line) depend on the exact regular expressions, including their greedy
 and find-versus-full-match behaviour. ``{c}`` is the resource-manager cluster
-timestamp and ``{h}`` the host-name pattern; both are parameters of
-``LogFormat`` because they differ between clusters. Patterns used as a full
+timestamp, ``{h}`` the host-name pattern and ``{e}`` the container epoch; they
+are parameters of ``LogFormat`` because they differ between clusters. Patterns used as a full
 match are anchored with ``^...$``; the others are searched (first match).
 """
 
@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 # ---- fixed values: cluster defaults and record layout -----------------------
 DEFAULT_CLUSTER = "1580812675067"
+DEFAULT_EPOCH = r"e\d+"  # part of container ids that counts restarts of the resource manager
 DEFAULT_HOST = r"iccluster\d*\.iccluster\.epfl\.ch"
 RECORD_DELIMITER = "*" * 71 + "\n"
 RM_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss,SSS"
@@ -24,12 +25,12 @@ NOT_AVAILABLE = "N/A"
 # ---- fixed values: resource-manager log lines ---------------------------------
 RM = {
     "info_line": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3} INFO  .*$",
-    "has_id": r"^(?:.*application_{c}_\d*.*|.*appattempt_{c}_\d*.*|.*container_e02_{c}_\d*.*)$",
-    "app_number": r"^.*(application_{c}_|appattempt_{c}_|container_e02_{c}_)(\d*).*$",
-    "attempt_number": r"^.*(appattempt_{c}_\d*_|container_e02_{c}_\d*_)(\d*).*$",
+    "has_id": r"^(?:.*application_{c}_\d*.*|.*appattempt_{c}_\d*.*|.*container_{e}_{c}_\d*.*)$",
+    "app_number": r"^.*(application_{c}_|appattempt_{c}_|container_{e}_{c}_)(\d*).*$",
+    "attempt_number": r"^.*(appattempt_{c}_\d*_|container_{e}_{c}_\d*_)(\d*).*$",
     "user": r"^.*user: ([a-z]*).*$",
     "final_state": r"^.*State change from [A-Z_]* to (FINISHING|FAILED|KILLED).*$",
-    "container": r"^.*container_e02_{c}_\d*_\d*_(\d*).*({h}).*$",
+    "container": r"^.*container_{e}_{c}_\d*_\d*_(\d*).*({h}).*$",
     "exit_status": r"^.* with final state: .*, and exit status: (-*\d*)$",
     "timestamp": r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})",
     "launch": r"^.*from [A-Z]* to LAUNCHED.*$",
@@ -37,10 +38,10 @@ RM = {
 
 # ---- fixed values: aggregated container-log records ---------------------------
 CONTAINER_LOG = {
-    "header_app": r"Container: container_e02_{c}_(\d*)_\d*_\d* on {h}.*",
-    "header_container": r"Container: container_e02_{c}_\d*_\d*_(\d*) on ({h}).*",
-    "driver_header": r"Container: container_e02_{c}_\d*_\d*_000001 on {h}.*",
-    "record_attempt": r".*(appattempt_{c}_\d*_|container_e02_{c}_\d*_)(\d*).*",
+    "header_app": r"Container: container_{e}_{c}_(\d*)_\d*_\d* on {h}.*",
+    "header_container": r"Container: container_{e}_{c}_\d*_\d*_(\d*) on ({h}).*",
+    "driver_header": r"Container: container_{e}_{c}_\d*_\d*_000001 on {h}.*",
+    "record_attempt": r".*(appattempt_{c}_\d*_|container_{e}_{c}_\d*_)(\d*).*",
 }
 
 # ---- fixed values: failure classification -------------------------------------
@@ -77,7 +78,7 @@ CLS = {
     "error_actor": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR (\w*):*",
     "utils_actor": "Utils",
     "scheduler_actor": "YarnClusterScheduler",
-    "lost_executor": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR YarnClusterScheduler: Lost executor \d* on {h}: Container marked as failed: container_e02_{c}_\d{4,}_\d{2,}_(\d{6})*",
+    "lost_executor": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR YarnClusterScheduler: Lost executor \d* on {h}: Container marked as failed: container_{e}_{c}_\d{4,}_\d{2,}_(\d{6})*",
     "executor_exc": r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2} ERROR Executor: .*\n([^:]*):.*\n.*at (.*)\n",
     "user_code_marker": "App",
     "app_line": r"App\d*.scala:(\d*)",
@@ -94,7 +95,7 @@ CLS = {
 # ---- fixed values: failure report --------------------------------------------
 REPORT = {
     "block": r"^\s*:\s*(appattempt_{c}_\d+_\d+)\s+User\s*:\s*([a-z]+)\s+StartTime\s*:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\s+EndTime\s*:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})\s+Containers\s*:\s*([^:]*?)\s+ErrorCategory\s*:\s*(-?\d+)\s+Exception\s*:\s*(N/A|(?:[a-zA-Z_$][a-zA-Z\d_$]*\.)*[a-zA-Z_$][a-zA-Z\d_$]*)\s+Stage\s*:\s*(-?\d+)\s+SourceCodeLine\s*:\s*(-?\d+)\s*$",
-    "container_pair": r"^\s*(container_e02_{c}_\d+_\d+_\d+)\s*->\s*({h})\s*$",
+    "container_pair": r"^\s*(container_{e}_{c}_\d+_\d+_\d+)\s*->\s*({h})\s*$",
     "block_keyword": "AppAttempt",
     "attempt_ref": r"appattempt_{c}_\d+_\d+",
 }
@@ -106,6 +107,7 @@ class LogFormat:
 
     cluster: str = DEFAULT_CLUSTER
     host: str = DEFAULT_HOST
+    epoch: str = DEFAULT_EPOCH
     rm: dict = field(init=False)
     container_log: dict = field(init=False)
     cls: dict = field(init=False)
@@ -113,7 +115,7 @@ class LogFormat:
 
     def __post_init__(self):
         def fill(d):
-            return {k: v.replace("{c}", self.cluster).replace("{h}", self.host) for k, v in d.items()}
+            return {k: v.replace("{c}", self.cluster).replace("{h}", self.host).replace("{e}", self.epoch) for k, v in d.items()}
         object.__setattr__(self, "rm", fill(RM))
         object.__setattr__(self, "container_log", fill(CONTAINER_LOG))
         object.__setattr__(self, "cls", fill(CLS))

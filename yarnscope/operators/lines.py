@@ -30,10 +30,10 @@ INT_MAX = 2147483647
 
 # ---- fixed values: literals every match of the corresponding pattern contains
 GUARDS = {
-    "attempt_number": ("appattempt_", "container_e02_"),
+    "attempt_number": ("appattempt_", "container_e"),
     "user": ("user: ",),
     "final_state": ("State change from ",),
-    "container": ("container_e02_",),
+    "container": ("container_e",),
     "exit_status": (" with final state: ",),
     "launch": (" to LAUNCHED",),
 }

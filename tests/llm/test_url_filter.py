@@ -43,3 +43,10 @@ def test_classifier_follows_words(spark):
 
 def test_empty_table(spark):
     assert uf.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_most_frequent(spark):
+    rows = [(f"w{i}", 1 + (i * 37) % 50) for i in range(400)]
+    got = [(r.word, r.n) for r in uf.most_frequent(spark.createDataFrame(rows, "word string, n long"), 37)]
+    assert got == sorted(rows, key=lambda r: (-r[1], r[0]))[:37]
+    assert uf.most_frequent(spark.createDataFrame([], "word string, n long"), 5) == []

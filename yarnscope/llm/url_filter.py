@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yarnscope.llm.native import ascii_lower
+from yarnscope.session import materialize
 
 #: Rules as (verdict, host and path).
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
@@ -51,12 +52,27 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
+def most_frequent(counts: DataFrame, limit: int) -> list:
+    """The ``limit`` rows of ``counts`` with the greatest ``n`` (ties by its first column), as driver rows.
+
+    A histogram of the sizes of n comes first, so that little more than
+    ``limit`` rows in all are sorted and sent, however many partitions there are.
+    """
+    counts = materialize(counts.withColumn("size__", F.floor(F.log2(F.col("n").cast("double") + 1) * 16).cast("int")), "counts")
+    sizes = sorted(((r["size__"], r["rows"]) for r in counts.groupBy("size__").agg(F.count("*").alias("rows")).collect()), reverse=True)
+    least, total = 0, 0
+    for size, rows in sizes:  # at most 16 * 64 sizes
+        least, total = size, total + rows
+        if total >= limit:
+            break
+    return counts.where(F.col("size__") >= least).orderBy(F.desc("n"), counts.columns[0]).limit(limit).collect()
+
+
 def word_counts(pages: DataFrame, limit: int = VOCABULARY) -> dict[str, int]:
     """The most frequent lower-case words of the pages' text, with their counts."""
     text = F.lower(F.regexp_replace(F.coalesce(F.col("html").cast("string"), F.lit("")), "<[^>]*>", " "))
     words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where(F.length("word").between(1, LONGEST_WORD))
-    rows = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(limit).collect()
-    return {r["word"]: r["n"] for r in rows}
+    return {r["word"]: r["n"] for r in most_frequent(words.groupBy("word").agg(F.count("*").alias("n")), limit)}
 
 
 class Segmenter:
@@ -130,9 +146,9 @@ def judge_urls(pages: DataFrame, rules=RULES, limit: int = VOCABULARY) -> DataFr
     tokens = parts.where("ruled is not null").select("host", "path", "ruled").mapInArrow(learn, "verdict string, token string, n long")
     sums = tokens.groupBy("token").agg(F.sum(F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)).alias("block"),
                                        F.sum(F.when(F.col("verdict") == "allow", F.col("n")).otherwise(0)).alias("allow"))
-    rows = sums.orderBy(F.col("token") != "", F.desc(F.col("block") + F.col("allow")), "token").limit(limit + 1).collect()
-    table = {r["token"]: (r["block"], r["allow"]) for r in rows}
-    urls = table.pop("", (0, 0))
+    sums = materialize(sums.withColumn("n", F.col("block") + F.col("allow")), "tokens")
+    urls = next(((r["block"], r["allow"]) for r in sums.where("token = ''").collect()), (0, 0))  # one row at most
+    table = {r["token"]: (r["block"], r["allow"]) for r in most_frequent(sums.where("token <> ''"), limit)}
     prior = math.log((urls[0] + 1) / (urls[1] + 1))
     size, totals = len(table) + 1, [sum(x[k] for x in table.values()) for k in (0, 1)]
     weights = {t: math.log((b + 1) / (totals[0] + size)) - math.log((a + 1) / (totals[1] + size)) for t, (b, a) in table.items()}

@@ -13,6 +13,21 @@ def test_page():
     assert he.main_text(PAGE, {}) == "A & B title\nFirst bold line. next\nSecond éé.\nx"
 
 
+def test_raw_text_ends_at_its_own_end_tag_only():
+    article = "<article><p>First words.</p>{}<p>Last words.</p></article>"
+    for raw in ("<script>for(i=0;i<n;i++)f()</script>", "<SCRIPT src=/a/>if(a<b)c('</p>')</Script >", "<style>a<b{}</style>", "<textarea>x <y and z</textarea>",
+                "<script>s='<!--'</script>", "<svg><style>a<b{}</style></svg>", "<template><script>a<b</script></template>", '<script src="x"/>',
+                "<datalist><option>a<option>b</datalist>", "<noscript><img src='a'></noscript>"):
+        assert he.main_text("<html><head></head><body>" + article.format(raw) + "</body></html>", {}) == "First words.\nLast words.", raw
+
+
+def test_head_without_end_tag():
+    head = "<!DOCTYPE html><html><head><meta charset=utf-8><title>T <x</title><script>if(a<b)c()</script><template><p>no</p></template>\n"
+    for body in ("<body><p>Some words here.</p>", "<p>Some words here.</p>", "<div>Some words here.</div></body></html>", "Some words here.", "<b>Some</b> words here."):
+        assert he.main_text(head + body, {}) == "Some words here.", body
+        assert he.main_text(head + "</head>" + body, {}) == "Some words here.", body
+
+
 def test_best_region_is_the_maximum():
     rng = random.Random(1)
     for _ in range(300):

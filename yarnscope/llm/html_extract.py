@@ -31,6 +31,10 @@ PLACES = 5000
 
 #: Elements whose content is never text of the page.
 SILENT = frozenset("script style noscript template iframe svg math head title textarea select option button object canvas audio video".split())
+#: Silent elements whose content is no markup: it ends at their own end tag only.
+RAW = frozenset("script style title textarea iframe noscript".split())
+#: Elements of the head; any other start tag, or a word, ends a head without end tag.
+HEAD = frozenset("base link meta script style title noscript template".split())
 #: Elements that hold no content of the article.
 ASIDE = frozenset("nav footer aside form menu dialog".split())
 #: Elements that end a block.
@@ -45,6 +49,9 @@ OTHER = frozenset("""ad ads advert advertisement banner breadcrumb breadcrumbs c
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_RAW_END = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in RAW}
+#: A slash at the end of a tag that belongs to a value without quotes.
+_VALUE_SLASH = re.compile(r"=\s*[^\s\"'=]*/\s*\Z")
 
 
 def page_blocks(page: str):
@@ -56,6 +63,7 @@ def page_blocks(page: str):
     blocks, stack = [], []  # stack of (tag, excluded, in article)
     text, tags = [], []
     closing = None  # a silent element whose end is awaited
+    in_head = False
 
     def flush():
         words = entities.unescape("".join(text)).split()
@@ -69,20 +77,39 @@ def page_blocks(page: str):
     def within():  # tags inside an article are told apart
         return "+" if any(a for _, _, a in stack) else ""
 
-    for m in _TOKEN.finditer(page):
+    pos = 0
+    while pos < len(page):
+        m = _TOKEN.match(page, pos)  # fits everywhere
+        pos = m.end()
         slash, name, rest = m.group(1), m.group(2), m.group(3)
         if name is None:
             piece = m.group(0)
             if closing is None and not (piece.startswith("<!") or piece.startswith("<?")):
+                in_head = in_head and not piece.strip()
                 text.append(piece)
             continue
         name = name.lower()
+        opens = not slash and (not rest.rstrip().endswith("/") or _VALUE_SLASH.search(rest) is not None)
+        if opens and name in RAW:
+            in_head = in_head and name in HEAD
+            end = _RAW_END[name].search(page, pos)
+            pos = end.start() if end else len(page)
+            continue
+        if closing == "option" and (name in BLOCK or name in ("datalist", "optgroup", "select")):
+            closing = None  # its end tag may be missing
         if closing is not None:
             if slash and name == closing:
                 closing = None
             continue
+        if name == "head":
+            in_head = not slash
+            continue
+        if in_head:
+            in_head = name in HEAD or bool(slash) and name not in BLOCK
+            if in_head and name != "template":
+                continue
         if name in SILENT:
-            if not slash and not rest.rstrip().endswith("/"):
+            if opens:
                 closing = name
             continue
         if name in VOID:

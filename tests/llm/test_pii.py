@@ -54,6 +54,15 @@ def test_names_keep_gender_and_script():
     assert out[5] in pii.NAMES["m", "cyrillic"] and re.fullmatch("[а-яА-Я]+", out[6])
 
 
+def test_names_beside_punctuation_stand_alone():
+    for before, first, last, after in (('"', "Maria", " Stone", '"'), ("(", "Peter", " Smith", ")"), ("(Mr. ", "Stone", "", ")"), ("-", "Anna", " Bell", ""),
+                                       ("", "Jean", "-Pierre Martin", ""), ("\u00ab", "Иван", " Петров", "\u00bb"), ("said:", "Emma", " Bell", ", then")):
+        t = plain(before + first + last + after)
+        assert t.startswith(before) and t.endswith(after) and len(t) > len(before + after)
+        assert not set(re.findall(r"\w+", first + last)) & set(re.findall(r"\w+", t)), t
+    assert plain('"Maria Stone"').strip('"') == plain("so Maria Stone went")[3:-5]
+
+
 def test_clean_text_stays():
     for t in ("Version 1.2.3 of 2024-05-06, 3.14 and 12,000 or 1234567.", "The and of. Mary", "a@b", "Dr. of the", "1 2 3 4 5 6 7 8 9 10 11 12", ""):
         assert plain(t) == t

@@ -49,7 +49,8 @@ TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f
 
 _GENDER = {n: g for g, names in NAMES.items() for n in names}
 #: Words that a text must hold to be searched for names.
-_CUES = frozenset(_GENDER) | frozenset(TITLES) | frozenset(t + "." for t in TITLES)
+_CUES = frozenset(_GENDER) | frozenset(TITLES)
+_TOKEN = re.compile(r"\w+")
 
 #: Letters that are permuted among themselves; others stay.
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâãäåæçèéêëìíîïñòóôõöùúûüýÿ",
@@ -182,7 +183,8 @@ def find_entities(text: str):
                 else:
                     kind_, norm = kind, body
                 found.append((a, b, [(kind_, norm, a, b)]))
-    if not _CUES.isdisjoint(text.split()):
+    # the boundaries of _NAME: whatever stands around a cue, it is a token
+    if not _CUES.isdisjoint(_TOKEN.findall(text)):
         for m in _NAME.finditer(text):
             a, b = m.span("rest") if m["title"] else m.span()
             parts = []

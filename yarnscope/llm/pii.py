@@ -1,7 +1,8 @@
 """Personal data: keyed surrogates of the same type, format, script and gender.
 
-Detected are e-mail addresses, phone numbers, payment card numbers, IPv4
-addresses, secrets (long hexadecimal ones, access keys, or after a word such as ``token``) and
+Detected are e-mail addresses, phone numbers (international and national,
+grouped), payment card numbers, IPv4 and IPv6 addresses, IBANs with valid check
+digits, US social security numbers (ddd-dd-dddd), secrets (long hexadecimal ones, access keys, or after a word such as ``token``) and
 names of persons (a known given name or a title, then capitalised words).
 
 A surrogate is a keyed permutation of the characters of the normalised
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import math
 import re
 
@@ -65,10 +67,26 @@ _SECRET = re.compile(r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|pwd|(?:a
 #: Access keys that start with a known prefix, which stays.
 _KEY = re.compile(r"(?<!\w)(?:(?:AKIA|ASIA)[0-9A-Z]{16}|(?:sk|pk|ghp|gho|ghs|xoxb|xoxp|glpat)[-_][A-Za-z0-9_-]{16,}|AIza[0-9A-Za-z_-]{35})(?!\w)")
 _CARD = re.compile(r"(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{5})(?!\w|\.\d)")
-_PHONE = re.compile(r"(?<![\w.+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.])\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\w)")
+_PHONE = re.compile(r"(?<![\w.+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w.])\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\w)"
+                    # an area code in brackets, then digits in one group or in groups of any size
+                    r"|(?<![\w.])\((?:0\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\d{3}\)[ ]?\d{7})(?![\w(]|[.-]\d)")
+#: National numbers: 3-3-4 digits, also after 1; a leading 0 or 00 before groups with one separator; an area code with 0, then the rest.
+_NATIONAL = re.compile(r"(?<![\w+])(?<!\d[./-])(?:(?:1(?P<one>[ .-]))?[2-9]\d\d(?P<s>(?(one)(?P=one)|[ .-]))\d{3}(?P=s)\d{4}"
+                       r"|0(?:[1-9]\d{0,3}|0[1-9]\d{0,2})(?P<t>[ .-])\d{1,8}(?:(?P=t)\d{2,8}){1,4}"
+                       r"|0[1-9]\d{0,4}(?:[ ]?/[ ]?|[ -])\d{2,8}(?:[ -]\d{2,5}){0,3})(?!\w|[./-]\d)")
+_DATE = re.compile(r"\d\d([ .-])\d\d\1(?:19|20)\d\d(?!\d)")
+_LEAD = re.compile(r"(?:\+|00)[1-9]\d{0,2}(?=[ .(-])|\+\d|0|1(?=[ .-])")
+_SSN = re.compile(r"(?<![\w.])(?<!\d-)(?!000|666)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?!\w|-\d|\.\d)")
+_IP6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:|:(?=:))(?:[0-9A-Fa-f]{0,4}:){1,7}(?:\d{1,3}(?:\.\d{1,3}){3}|[0-9A-Fa-f]{1,4})?(?!\w|:\w|\.\d)")
+#: Lengths of IBANs by country.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+                23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+                28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_IBAN = re.compile(r"(?<!\w)(?:" + "|".join(rf"(?:{'|'.join(c.split())})\d\d(?:[ -]?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()) + r")(?!\w)")
 _NAME = re.compile(r"(?<!\w)(?:(?P<title>" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[ ](?P<rest>[^\W\d_]\w+(?:[ -][^\W\d_a-z]\w+){0,2})"
                    r"|(?P<given>" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r")(?P<last>(?:[ -][^\W\d_a-z]\w+){1,2}))(?!\w)")
-_MARK = re.compile(r"[0-9@\"']")
+#: What any other entity than a name holds.
+_MARK = re.compile(r"[0-9@\"']|:[0-9A-Fa-f:]|AKIA|ASIA|AIza|(?:sk|pk|gh[pos]|xox[bp]|glpat)[-_]")
 
 
 def luhn_digit(digits: str) -> int:
@@ -80,6 +98,37 @@ def luhn_digit(digits: str) -> int:
     return -total % 10
 
 
+def iban_digits(country: str, body: str) -> str:
+    """The check digits of an IBAN."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
+
+
+def _is_phone(text: str, m: re.Match) -> bool:
+    """Whether a national number is none of the look-alikes: dates, tables of numbers, thousands in groups, postal codes."""
+    body = m.group(0)
+    groups = re.findall(r"\d+", body)
+    sizes, total = [len(g) for g in groups], sum(len(g) for g in groups)
+    beside = bool(re.search(r"\d[ ]\Z", text[max(0, m.start() - 2):m.start()])) or bool(re.match(r"[ ]\d", text[m.end():m.end() + 2]))
+    if not body.startswith("0"):
+        return not (m["s"] == " " and beside)
+    if _DATE.match(body) or body.startswith("00") and total < 11 or not body.startswith("00") and not 9 <= total <= 12:
+        return False
+    if sizes == [5, 4] and "-" in body or set(sizes) == {3} and beside:
+        return False
+    return set(sizes) != {2} or total == 10 and not beside
+
+
+def _ip6_of(body: str) -> str | None:
+    """The normal form of an IPv6 address; None for times, slices, scopes of names and other text with colons."""
+    groups = [g for g in body.split(":") if g]
+    if len(groups) < 3 and not any(len(g) >= 4 for g in groups) or len(groups) < 3 and not any(c.isdigit() for c in body):
+        return None
+    try:
+        return str(ipaddress.IPv6Address(body))
+    except ValueError:
+        return None
+
+
 class Surrogates:
     """Keyed permutations of entities, by kind."""
 
@@ -141,6 +190,16 @@ class Surrogates:
                 value = value * 256 + int(part)
             value = self.permute("ip", value, 1 << 32)
             return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
+        if kind == "ip6":
+            return str(ipaddress.IPv6Address(self.permute("ip6", int(ipaddress.IPv6Address(norm)), 1 << 128)))
+        if kind == "ssn":
+            out = self.text("ssn", norm)
+            while not _SSN.fullmatch(out):  # walked until it is a number that is given out
+                out = self.text("ssn", out)
+            return out
+        if kind == "iban":
+            body = self.text("iban" + norm[:2], norm[4:])
+            return norm[:2] + iban_digits(norm[:2], body) + body
         if kind == "card":
             # the check digit keeps its distance from the valid one
             off = (int(norm[-1]) - luhn_digit(norm[:-1])) % 10
@@ -168,7 +227,8 @@ def find_entities(text: str):
     """Non-overlapping entities in order: ``(start, end, [(kind, normalised, start, end), ..])``."""
     found = []
     if _MARK.search(text):
-        for kind, pattern in (("secret", _SECRET), ("key", _KEY), ("email", _EMAIL), ("hex", _HEX), ("ip", _IP), ("phone", _PHONE), ("card", _CARD)):
+        for kind, pattern in (("secret", _SECRET), ("key", _KEY), ("email", _EMAIL), ("hex", _HEX), ("ip", _IP), ("phone", _PHONE), ("phone", _NATIONAL), ("card", _CARD),
+                              ("ssn", _SSN), ("ip6", _IP6), ("iban", _IBAN)):
             for m in pattern.finditer(text):
                 a, b = m.span() if kind != "secret" else m.span("quoted" if m["quoted"] else "bare")
                 body = text[a:b]
@@ -177,9 +237,20 @@ def find_entities(text: str):
                 elif kind == "card":
                     kind_, norm = kind, re.sub(r"[ -]", "", body)
                 elif kind == "phone":
-                    plus = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d", body)
-                    lead = plus.group(0) if plus else ""
-                    kind_, norm = kind, f"{lead} {re.sub(r'[^0-9]', '', body[len(lead):])}"
+                    if pattern is _NATIONAL and not _is_phone(text, m):
+                        continue
+                    # 00 and 1 are said as in the international form
+                    lead = _lead(body)
+                    said = "+" + lead[2:] if lead.startswith("00") else "+1" if lead == "1" else lead
+                    kind_, norm = kind, f"{said} {re.sub(r'[^0-9]', '', body[len(lead):])}"
+                elif kind == "ip6":
+                    kind_, norm = kind, _ip6_of(body)
+                    if norm is None:
+                        continue
+                elif kind == "iban":
+                    kind_, norm = kind, re.sub(r"[ -]", "", body)
+                    if iban_digits(norm[:2], norm[4:]) != norm[2:4]:
+                        continue
                 else:
                     kind_, norm = kind, body
                 found.append((a, b, [(kind_, norm, a, b)]))
@@ -205,20 +276,26 @@ def find_entities(text: str):
             yield f
 
 
+def _lead(body: str) -> str:
+    """What a phone number begins with and keeps: +, 00 or 1 with the country, or 0."""
+    m = _LEAD.match(body)
+    return m.group(0) if m else ""
+
+
 def render(kind: str, body: str, surrogate: str) -> str:
-    """The surrogate in the spelling of ``body``: separators of cards and phones stay in place."""
-    if kind not in ("card", "phone"):
+    """The surrogate in the spelling of ``body``: separators of cards, phones and IBANs stay in place."""
+    if kind not in ("card", "phone", "iban"):
         return surrogate
     digits = surrogate
     if kind == "phone":
-        lead, _, digits = surrogate.partition(" ")
+        lead, digits = _lead(body), surrogate.partition(" ")[2]
         return lead + _fill(body[len(lead):], digits)
     return _fill(body, digits)
 
 
 def _fill(body: str, digits: str) -> str:
     it = iter(digits)
-    return "".join(next(it) if c.isdigit() else c for c in body)
+    return "".join(next(it) if c.isalnum() else c for c in body)
 
 
 def _entities(key: bytes):

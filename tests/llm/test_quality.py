@@ -56,6 +56,19 @@ def test_divergence_rejects_odd_text_and_keeps_plain(frame):
     assert all(got[d].kept for d, _ in plain) and not got[900].kept and not got[900].base_failed
 
 
+def test_junk_of_no_or_a_rare_language_is_held_against_the_whole_corpus(frame):
+    rng = random.Random(9)
+    vocabulary = ["the", "of", "and", "to", "in"] * 30 + [f"word{k}" for k in range(200)]
+    text = lambda: " ".join(rng.choice(vocabulary) for _ in range(150))
+    plain = [(d, text()) for d in range(100)]
+    junk = lambda: " ".join(f"junk{rng.randrange(20)}" for _ in range(150))
+    rows = plain + [(200 + k, junk(), None) for k in range(25)] + [(300, junk(), "rare"), (301, text(), "odd"), (302, text(), None)]
+    got = {r.doc_id: r for r in quality.quality_rules(frame(rows)).collect()}
+    assert all(got[d].kept for d, _ in plain) and got[301].kept and got[302].kept
+    for d in (*range(200, 225), 300):
+        assert not got[d].base_failed and not got[d].kept and got[d].word_distance > quality.WORD_DISTANCE
+
+
 def test_js_distance(spark):
     p, q = [5, 0, 3, 2], [1, 4, 0, 5]
     got = spark.createDataFrame([(p, q)], "p array<long>, q array<long>").select(quality.js_distance(F.col("p"), F.col("q"))).first()[0]

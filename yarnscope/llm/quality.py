@@ -26,6 +26,8 @@ TOP_WORDS = 24
 TRACKED = 20_000
 #: Languages with a reference of their own, the most frequent ones; others are held against the whole corpus.
 MAX_LANGUAGES = 1000
+#: Documents and words that a language needs for a reference of its own; rarer ones are held against the whole corpus too.
+MIN_DOCUMENTS, MIN_WORDS = 10, 5000
 #: Distances above which a document is rejected, and the words it needs for that.
 CHAR_DISTANCE, CHAR_MIN_WORDS = 0.33, 50
 WORD_DISTANCE, WORD_MIN_WORDS = 0.42, 80
@@ -92,8 +94,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     Null texts count as empty: no words, base_failed. A distance is null for a
     document without words or whose language has no words. Documents without
-    lang, or of a language beyond MAX_LANGUAGES, are held against the whole
-    corpus. Repeated rows are judged alike; further columns are ignored.
+    lang, or of a language beyond MAX_LANGUAGES or with fewer than
+    MIN_DOCUMENTS documents or MIN_WORDS words, are held against the whole
+    corpus, all documents counted. Repeated rows are judged alike; further columns are ignored.
     """
     texts = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     spoken = texts.groupBy("lang").agg(F.count("*").alias("n")).where("lang is not null").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
@@ -108,30 +111,37 @@ def quality_rules(docs: DataFrame) -> DataFrame:
                      .select(F.lit(None).cast("string").alias("known"), F.expr(f"approx_top_k_estimate(sketch, {TOP_WORDS})").alias("top")))
     top = top.select(F.col("known").alias("ref"), F.expr("sort_array(transform(top, x -> x.item))").alias("top"))
     top = materialize(top, "top")
-
-    out = named.join(F.broadcast(top), F.col("known").eqNullSafe(F.col("ref")), "left").withColumn("top", F.coalesce("top", F.array().cast("array<string>")))
-    out = class_counts(base_counts(out.select("doc_id", "text", "known", "top")))
-    out = out.withColumn("hits", F.expr("filter(words, w -> array_contains(top, w))"))
-    out = out.withColumn("frequent", F.expr("transform(top, w -> cast(size(hits) - size(array_remove(hits, w)) as long))")) \
-        .withColumn("frequent", F.concat("frequent", F.array(F.col("n_words") - F.size("hits"))))
+    # every document counts the words of its language and those of the whole corpus, the words of both are sought once
+    common = top.where("ref is null").select(F.col("top").alias("common"))
+    none = F.array().cast("array<string>")
+    lists = top.crossJoin(F.broadcast(common)).withColumn("either", F.array_union("top", "common"))
+    out = named.join(F.broadcast(lists), F.col("known").eqNullSafe(F.col("ref")), "left") \
+        .select("doc_id", "text", "known", *[F.coalesce(c, none).alias(c) for c in ("top", "common", "either")])
+    out = class_counts(base_counts(out))
+    out = out.withColumn("hits", F.expr("filter(words, w -> array_contains(either, w))"))
+    for name, items in (("frequent", "top"), ("general", "common")):
+        out = out.withColumn(name, F.expr(f"transform({items}, w -> cast(size(hits) - size(array_remove(hits, w)) as long))")) \
+            .withColumn(name, F.concat(name, F.array(F.col("n_words") - F.aggregate(name, F.lit(0).cast("long"), lambda s, x: s + x))))
     metrics = materialize(out.select("doc_id", F.xxhash64("text").alias("hash"), "known", "n_words", "word_chars", "n_symbols",
-                                     "n_dup_lines", "n_repeat_words", "classes", "frequent"), "metrics")
+                                     "n_dup_lines", "n_repeat_words", "classes", "frequent", "general"), "metrics")
     return judge(metrics)
 
 
 def judge(metrics: DataFrame) -> DataFrame:
     """Distances and verdicts from the counts of every document."""
-    def sums(column: str, size: int, only: Column | None = None) -> Column:
-        parts = [F.get(column, F.lit(i)) for i in range(size)]
-        return F.array(*[F.sum(x if only is None else F.when(only, x)) for x in parts]).alias(f"ref_{column}")
+    def sums(column: str, size: int, name: str) -> Column:
+        return F.array(*[F.sum(F.get(column, F.lit(i))) for i in range(size)]).alias(f"ref_{name}")
 
     own = metrics.where("known is not null").groupBy(F.col("known").alias("ref")) \
-        .agg(sums("classes", len(_CLASSES)), sums("frequent", TOP_WORDS + 1))
-    # the frequent words of the whole corpus are counted in documents without a language of their own only
-    rest = metrics.agg(sums("classes", len(_CLASSES)), sums("frequent", TOP_WORDS + 1, F.col("known").isNull()))
+        .agg(sums("classes", len(_CLASSES), "classes"), sums("frequent", TOP_WORDS + 1, "frequent"), F.count("*").alias("docs__"), F.sum("n_words").alias("words__")) \
+        .where((F.col("docs__") >= MIN_DOCUMENTS) & (F.col("words__") >= MIN_WORDS)).drop("docs__", "words__")
+    rest = metrics.agg(sums("classes", len(_CLASSES), "classes"), sums("general", TOP_WORDS + 1, "frequent"))
+    own = materialize(own, "references")
     refs = own.unionByName(rest.withColumn("ref", F.lit(None).cast("string")))
+    metrics = metrics.join(F.broadcast(own.select(F.col("ref").alias("has"))), F.col("known") == F.col("has"), "left") \
+        .withColumn("frequent", F.when(F.col("has").isNull(), F.col("general")).otherwise(F.col("frequent")))
     tidy = F.expr("filter(ref_frequent, x -> x is not null)")
-    out = metrics.join(F.broadcast(refs), F.col("known").eqNullSafe(F.col("ref")), "left") \
+    out = metrics.join(F.broadcast(refs), F.col("has").eqNullSafe(F.col("ref")), "left") \
         .withColumn("ref_frequent", tidy) \
         .withColumn("char_distance", js_distance(F.col("classes"), F.col("ref_classes"))) \
         .withColumn("word_distance", F.when(F.size("frequent") == F.size("ref_frequent"), js_distance(F.col("frequent"), F.col("ref_frequent"))))

@@ -7,7 +7,7 @@ but the last return the columns of documents. Counted as part of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yarnscope.llm import decontaminate, minhash, packing, pii, quality
@@ -24,18 +24,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, 0.8) stays: that with the least doc_id.
 
-    Of repeated rows one stays. Documents without words are in no group and stay.
+    Of rows that share it, or have none, the first by a digest stays. Of
+    repeated rows one stays. Documents without words are in no group and stay.
     """
-    found = minhash.near_duplicates(docs, width=5, percent=80)
-    kept = found.where("kept").select(F.col("doc_id").alias("id__")).distinct()
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("id__")), "left_semi")
-    # rows that share a kept doc_id; with unique ids every group has one row
-    again = out.groupBy("doc_id").agg(F.count("*").alias("n__")).where("n__ > 1").select(F.col("doc_id").alias("id__"))
+    kept = minhash.kept_rows(docs, width=5, percent=80).select(F.col("doc_id").alias("id__"), F.col("hash").alias("hash__")).distinct()
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    here = F.col("doc_id").eqNullSafe(F.col("id__")) & (text_hash == F.col("hash__"))
+    out = docs.join(materialize(kept, "kept"), here, "left_semi")
+    # repeated rows of a kept document; without repeats every group has one row
+    again = out.groupBy(F.col("doc_id").alias("id__"), text_hash.alias("hash__")).agg(F.count("*").alias("n__")).where("n__ > 1").drop("n__")
     again = materialize(again, "again")
-    same = F.col("doc_id").eqNullSafe(F.col("id__"))
-    first = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
-    single = out.join(again, same, "left_anti")
-    repeated = out.join(again, same, "left_semi").withColumn("k__", F.row_number().over(first)).where("k__ = 1").drop("k__")
+    single = out.join(again, here, "left_anti")
+    repeated = out.join(again, here, "left_semi").withColumn("hash__", text_hash).dropDuplicates(["doc_id", "hash__"]).drop("hash__")
     return single.unionByName(repeated)
 
 

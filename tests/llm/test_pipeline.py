@@ -32,6 +32,20 @@ def test_stages_on_planted_rows(spark, tmp_path):
     assert "jo.do" not in text and re.search(r"write to [a-z]{2}\.[a-z]{2}@[a-z]{4}\.[a-z]{7}\.com now", text)
 
 
+def test_one_row_of_each_group_with_null_and_shared_ids(spark):
+    plain = lambda k: " ".join(f"plain{(i * 7 + k * 13) % 90} the word{(i * k) % 40} of" for i in range(30)) + f" tail{k}"
+    near = lambda k, end: plain(k) + f" {end}"
+    rows = [(None, plain(1)), (None, near(1, "x")), (None, near(1, "y")), (None, plain(1)),  # no id at all
+            (3, plain(2)), (None, near(2, "x")), (None, near(2, "y")),  # near a document with an id
+            (5, plain(3)), (5, near(3, "x")), (5, plain(4)), (2, near(4, "x")),  # a shared id: in one group, and in the group of 2
+            (7, plain(5)), (7, plain(5)), (8, "")]
+    docs = spark.createDataFrame([(d, t, "s") for d, t in rows], "doc_id long, text string, source string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert all(x in rows for x in got) and len(got) == 6
+    group = sorted((t.split()[119 + 1] if t else "", d) for d, t in got)
+    assert group == [("", 8), ("tail1", None), ("tail2", 3), ("tail3", 5), ("tail4", 2), ("tail5", 7)]
+
+
 def test_empty_documents(spark, tmp_path):
     sf = str(tmp_path)
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")

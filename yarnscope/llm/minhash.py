@@ -92,14 +92,14 @@ class Circulant:
         return mix64(band + np.arange(self.bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("keys", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("keys", pa.list_(pa.int64())), ("hash", pa.int64())])
 
 
 def _sign(width: int):
     def run(batches):
         hashing = Circulant()
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, hashes = batch.column("doc_id"), batch.column("hash")
             for first, last, data, offsets in text_slices(batch.column("text")):
                 digests, counts, keys = [], [], []
                 for s in shingle_sets(data, offsets, width):
@@ -107,8 +107,8 @@ def _sign(width: int):
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     keys.append(hashing.keys(s) if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, last - first), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                    schema=_SIGNED)
+                    [ids.slice(first, last - first), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                     hashes.slice(first, last - first)], schema=_SIGNED)
     return run
 
 
@@ -164,17 +164,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     component_id. Rows that share a doc_id but not the text are documents of
     their own. Further columns of ``docs`` are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(docs.mapInArrow(_sign(width), "doc_id long, digest binary, n_shingles long, keys array<long>"), "signed")
+    signed, groups = _groups(docs, width, percent)
+    found = groups.join(groups.groupBy("label").agg(F.min("least").alias("component")), "label").select("digest", "component")
+    return signed.select("doc_id", "digest", "n_shingles").join(found, "digest", "left") \
+        .select("doc_id", "n_shingles",
+                F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id")) \
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def kept_rows(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, hash`` of one row of each group, and of every row without words; ``hash`` is that of the text, null as empty.
+
+    The row is that with the least doc_id, one with an id before one without;
+    ties, and groups without ids, go by the digest of the shingle set and the hash.
+    """
+    signed, groups = _groups(docs, width, percent)
+    least = F.min(F.struct("first.none", "first.doc_id", "digest", "first.hash")).alias("m")
+    return groups.groupBy("label").agg(least).select("m.doc_id", "m.hash") \
+        .unionByName(signed.where("digest is null").select("doc_id", "hash"))
+
+
+def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and ``digest, least, first, label`` of every class: its least doc_id, its first row, its component."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    signed = materialize(docs.mapInArrow(_sign(width), "doc_id long, digest binary, n_shingles long, keys array<long>, hash long"), "signed")
     # a class: rows of equal sets; its node is its least doc_id, or a hash far below any id if it has
     # none, or if rows of that doc_id are in other classes too
-    classes = signed.where("digest is not null").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"))
+    classes = signed.where("digest is not null").groupBy("digest", "n_shingles").agg(
+        F.min("doc_id").alias("least"), F.first("keys").alias("keys"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first"))
     classes = materialize(classes, "classes")
     unclear = classes.where("least is not null").groupBy("least").agg(F.count("*").alias("classes")).where("classes > 1")
     hashed = F.lit(-(1 << 62)) - F.xxhash64("digest").bitwiseAND(F.lit((1 << 61) - 1))
     classes = classes.join(materialize(unclear, "unclear"), "least", "left") \
         .withColumn("node", F.when(F.col("least").isNotNull() & F.col("classes").isNull(), F.col("least")).otherwise(hashed)).drop("classes")
-    nodes = classes.select("node", "least", "digest", F.col("n_shingles").alias("size"))
+    nodes = classes.select("node", "least", "digest", "first", F.col("n_shingles").alias("size"))
 
     spread = classes.select(F.explode("keys").alias("key"), "node")
     shared = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -197,12 +221,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         loose = joined.join(labels.select(F.col("node").alias("label")), "label", "left_anti").select(F.col("label").alias("node"), F.col("to").alias("label"))
         labels = labels.join(joined, "label", "left").select("node", F.coalesce("to", "label").alias("label")).unionByName(loose)
 
-    least = nodes.join(labels, "node", "left").select("digest", "least", F.coalesce("label", "node").alias("label"))
-    found = least.join(least.groupBy("label").agg(F.min("least").alias("component")), "label").select("digest", "component")
-    return signed.select("doc_id", "digest", "n_shingles").join(found, "digest", "left") \
-        .select("doc_id", "n_shingles",
-                F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id")) \
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return signed, nodes.join(labels, "node", "left").select("digest", "least", "first", F.coalesce("label", "node").alias("label"))
 
 
 def _star(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:

@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from yarnscope.llm import license_scan
+
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _ITEM = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
@@ -69,8 +71,68 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM far
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP11 = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT row_number() OVER () AS r, lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+words AS (SELECT r, lang, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w),
+runs AS (SELECT lang, x, lead(x) OVER p AS y, lead(x, 2) OVER p AS z FROM words WINDOW p AS (PARTITION BY r ORDER BY i)),
+grams AS (SELECT lang, 1 AS k, x AS phrase FROM runs UNION ALL SELECT lang, 2, x || ' ' || y FROM runs WHERE y IS NOT NULL
+          UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM runs WHERE z IS NOT NULL),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+longer AS (SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM cand WHERE k = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM cand WHERE k = 3),
+most AS (SELECT lang, phrase, max(a) AS b FROM longer GROUP BY ALL),
+stay AS (SELECT c.* FROM cand c LEFT JOIN most m ON c.k = 2 AND m.lang = c.lang AND m.phrase = c.phrase WHERE 100 * coalesce(b, 0) < 50 * a),
+cuts AS (SELECT lang, k, phrase, a, c, array_to_string(w[:c], ' ') AS x, array_to_string(w[c + 1:], ' ') AS y
+         FROM (SELECT *, unnest(range(1, k)) AS c FROM stay)),
+scored AS (SELECT cuts.lang, cuts.phrase, a, c, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+           FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+               FROM best JOIN n USING (lang)) WHERE rank <= 2000
+"""
+
+
+def _op12() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = ",\n".join(f"({r.rank}, {r.priority}, {quoted(r.label)}, {r.weight}::DOUBLE, [{', '.join(map(quoted, r.keywords))}], {quoted(r.pattern)})"
+                       for r in license_scan.rules())
+    base = ", ".join(f"({quoted(''.join(f'<{w}>' for w in phrase.split()))}, {quoted(label)})" for phrase, label in license_scan.BASE)
+    words = lambda x: f"(length({x}) - length(replace({x}, '<', '')))"
+    return rf"""
+WITH rules(rank, priority, label, weight, keywords, pattern) AS (VALUES {rules}),
+base(phrase, label) AS (VALUES {base}),
+docs AS (SELECT row_number() OVER () AS d, doc_id, array_to_string(list_transform({_ITEM}, lambda x: '<' || x || '>'), '') AS chain FROM documents),
+matches AS (SELECT d, rank, priority, label, weight, string_split_regex(chain, pattern) AS gaps, regexp_extract_all(chain, pattern) AS hits
+            FROM docs JOIN rules ON len(list_filter(keywords, lambda k: contains(chain, k))) > 0 AND regexp_matches(chain, pattern)),
+parts AS (SELECT d, rank, priority, label, weight, unnest(list_transform(hits, lambda x: {words('x')})) AS n,
+                 unnest(list_transform(gaps[:len(hits)], lambda x: {words('x')})) AS gap, unnest(range(1, len(hits) + 1)) AS i FROM matches),
+placed AS (SELECT d, rank, priority, label, weight, n, sum(gap) OVER p + sum(n) OVER p - n AS s
+           FROM parts WINDOW p AS (PARTITION BY d, rank ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+spans AS (SELECT d, s, s + n AS e, priority, rank, label, weight FROM placed),
+swept AS (SELECT *, max(CASE WHEN priority <= 1 THEN e END) OVER p AS m1, max(CASE WHEN priority <= 2 THEN e END) OVER p AS m2, max(e) OVER p AS m3
+          FROM spans WINDOW p AS (PARTITION BY d ORDER BY s, -e, priority, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stay AS (SELECT d, label, weight FROM swept WHERE coalesce(CASE priority WHEN 1 THEN m1 WHEN 2 THEN m2 ELSE m3 END, -1) < e),
+words AS (SELECT d, unnest(string_split(replace(chain, '><', '> <'), ' ')) AS w, unnest(range(0, {words('chain')})) AS i FROM docs WHERE chain <> ''),
+runs AS (SELECT d, i, w || coalesce(lead(w) OVER p, '') || coalesce(lead(w, 2) OVER p, '') AS three,
+                w || coalesce(lead(w) OVER p, '') || coalesce(lead(w, 2) OVER p, '') || coalesce(lead(w, 3) OVER p, '') AS four
+         FROM words WINDOW p AS (PARTITION BY d ORDER BY i)),
+places AS (SELECT d, i, label FROM runs JOIN base ON three = phrase OR four = phrase),
+based AS (SELECT d, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY d),
+named AS (SELECT d, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT d, label FROM stay UNION ALL SELECT d, label FROM places) GROUP BY d),
+weighed AS (SELECT d, max(weight) AS weight FROM (SELECT d, weight FROM stay UNION ALL SELECT d, {license_scan.VERSIONED} FROM places) GROUP BY d)
+SELECT doc_id, {words('chain')}::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(weight, 0)::DOUBLE AS score
+FROM docs LEFT JOIN based USING (d) LEFT JOIN named USING (d) LEFT JOIN weighed USING (d)
+"""
+
+
 SQL = {
     "op3_benchmark_decontamination": OP3,
     "op5_chat_formatting": OP5,
     "op9_quality_divergence": OP9,
+    "op11_phrase_collocations": OP11,
+    "op12_license_scan": _op12(),
 }

@@ -129,10 +129,31 @@ FROM docs LEFT JOIN based USING (d) LEFT JOIN named USING (d) LEFT JOIN weighed
 """
 
 
+OP13 = rf"""
+WITH runs AS (SELECT id, run, count(*) AS n FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+hexed AS (SELECT run, n, hex(encode(id || ':' || run)) AS x FROM runs),
+sums AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(x) + 1, 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+             lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, (y & 1) * 3988292384)))) AS h FROM hexed),
+typed AS (SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM sums),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+dels AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS d FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n FROM dels a JOIN dels b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+         UNION SELECT dels.word, words.word, words.n FROM dels JOIN words ON d = words.word
+         UNION SELECT words.word, dels.word, dels.n FROM dels JOIN words ON d = words.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS most FROM near GROUP BY word),
+forms AS (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * words.n THEN other END AS form, CASE WHEN most >= 2 * words.n THEN most END AS form_n
+          FROM words LEFT JOIN best ON best.word = words.word),
+walk AS (WITH RECURSIVE w AS (SELECT word, word AS here FROM forms UNION ALL SELECT w.word, f.form FROM w JOIN forms f ON f.word = w.here WHERE f.form IS NOT NULL) SELECT * FROM w)
+SELECT f.word, f.form, walk.here AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM forms f JOIN walk ON walk.word = f.word JOIN forms e ON e.word = walk.here AND e.form IS NULL
+"""
+
+
 SQL = {
     "op3_benchmark_decontamination": OP3,
     "op5_chat_formatting": OP5,
     "op9_quality_divergence": OP9,
     "op11_phrase_collocations": OP11,
     "op12_license_scan": _op12(),
+    "op13_spelling_variants": OP13,
 }

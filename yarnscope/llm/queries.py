@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yarnscope.llm import (chat_format, collocations, decontaminate, html_extract, language_id, license_scan, minhash, oracles,
-                           packing, pii, quality, suffix_dedup, url_filter)
+                           packing, pii, quality, spelling, suffix_dedup, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,8 +85,13 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (op1_language_id, op2_suffix_array_dedup, op3_benchmark_decontamination, op4_url_filters, op5_chat_formatting, op6_html_extraction,
-            op7_sum_of_squares_packing, op8_pii_surrogates, op9_quality_divergence, op10_circulant_minhash, op11_phrase_collocations, op12_license_scan)
+            op7_sum_of_squares_packing, op8_pii_surrogates, op9_quality_divergence, op10_circulant_minhash, op11_phrase_collocations, op12_license_scan,
+            op13_spelling_variants)
 
 
 def queries() -> dict:

@@ -84,12 +84,14 @@ def test_theta_join(spark, fact, dim, broadcast):
             want_right[k] += last[k]
     f = df(spark, fact)
     d = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(dim)], "k int, v int, i int")
-    bound = 1_000 if broadcast else 1
-    right = W.theta_join_sum(f, d, "k", "v", "k", "v", sum_of="right", dim_order=F.col("i"),
-                             split_values=bound)
-    left = W.theta_join_sum(f, d, "k", "v", "k", "v", sum_of="left", dedup=False, split_values=bound)
+    parts = None if broadcast else 7
+    right = W.theta_join_sum(f, d, "k", "v", "k", "v", sum_of="right", dim_order=F.col("i"))
+    left = W.theta_join_sum(f, d, "k", "v", "k", "v", sum_of="left", dedup=False, ranges=parts)
     assert {r.k: r.total for r in right.collect()} == dict(want_right)
     assert {r.k: r.total for r in left.collect()} == dict(want_left)
+    pairs = [(k, v2) for k, v1 in fact for dk, v2 in dim if dk == k and v1 < v2]
+    both = W.theta_join_sum(f, d, "k", "v", "k", "v", sum_of="right", dedup=False, ranges=parts)
+    assert {r.k: r.total for r in both.collect()} == {k: sum(v for j, v in pairs if j == k) for k, _ in pairs}
 
 
 def test_theta_join_hot_key_on_shuffle_path(spark):
@@ -102,5 +104,5 @@ def test_theta_join_hot_key_on_shuffle_path(spark):
         if v1 < 5:
             want[k] += 5
     d = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(dim)], "k int, v int, i int")
-    got = W.theta_join_sum(df(spark, fact), d, "k", "v", "k", "v", dim_order=F.col("i"), split_values=1)
+    got = W.theta_join_sum(df(spark, fact), d, "k", "v", "k", "v", dim_order=F.col("i"))
     assert {r.k: r.total for r in got.collect()} == dict(want)

@@ -93,12 +93,32 @@ def test_prefilter_keeps_all_members(spark, n):
     assert got.count() <= want.count() + 40
 
 
-def test_hot_key_is_dealt_to_several_partitions(spark):
+def test_hot_key_fills_several_ranges(spark):
     fact = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
     dim = spark.createDataFrame([(1, 2000), (1, 10)], "k int, v long")
-    j = W.theta_join_sum(fact, dim, "k", "v", "k", "v", dedup=False, split_values=100)
+    j = W.theta_join_sum(fact, dim, "k", "v", "k", "v", dedup=False, ranges=9)
     assert j.first().total == 2000 * 2000 + 10 * 10
-    assert "_salt" in j._jdf.queryExecution().optimizedPlan().toString()
+    plan = j._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "_v1" in plan
+
+
+def test_theta_join_of_a_million_values_a_side(spark):
+    """One key; pairs would be 5 * 10^11."""
+    n = 1_000_000
+    fact = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    t = time.time()
+    right = W.theta_join_sum(fact, dim, "k", "v", "k", "v", sum_of="right", dedup=False).first().total
+    left = W.theta_join_sum(fact, dim, "k", "v", "k", "v", sum_of="left", dedup=False).first().total
+    assert right == sum(v * v for v in range(n)) and left == sum(v * (n - 1 - v) for v in range(n))
+    assert time.time() - t < 120
+
+
+def test_theta_join_nulls_and_no_match(spark):
+    fact = spark.createDataFrame([(None, 1), (1, None), (2, 5), (3, -4)], "k int, v long")
+    dim = spark.createDataFrame([(None, 9), (1, 9), (2, 5), (3, 0), (3, None)], "k int, v long")
+    for side, want in (("right", 0), ("left", -4)):
+        assert [tuple(r) for r in W.theta_join_sum(fact, dim, "k", "v", "k", "v", sum_of=side, dedup=False).collect()] == [(3, want)]
 
 
 def test_container_ids_of_another_epoch(spark, write_text):

@@ -51,7 +51,7 @@ def test_theta_join_original_form_multiplies_duplicates(spark, write_text):
 def test_theta_join_without_broadcast_bound(spark, write_text):
     fact = C.read_str_int_int(spark, write_text("d3.csv", DATA3))
     dim = C.read_str_int(spark, write_text("d4.csv", "a,10\nb,60\n"))
-    got = W.theta_join_sum(fact, dim, "c0", "c2", "c0", "c1", split_values=1)
+    got = W.theta_join_sum(fact, dim, "c0", "c2", "c0", "c1", ranges=1)
     assert rows(got, "c0", "total") == [("a", 10), ("b", 60)]
 
 
@@ -97,5 +97,5 @@ def test_theta_join_paths_agree_on_driver_tables(spark):
     for side in ("right", "left"):
         a = W.theta_join_sum(li, part, "l_partkey", q, "p_partkey", "p_size", sum_of=side, dedup=False)
         b = W.theta_join_sum(li, part, "l_partkey", q, "p_partkey", "p_size", sum_of=side, dedup=False,
-                             split_values=1)
+                             ranges=5)
         assert rows(a, "l_partkey", "total") == rows(b, "l_partkey", "total")

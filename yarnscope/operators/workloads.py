@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -71,7 +71,7 @@ def modsum_total(df: DataFrame, key: str, value, lo: int = 2, hi: int = 100, *,
 
 def theta_join_sum(fact: DataFrame, dim: DataFrame, key: str, fact_value, dim_key: str, dim_value,
                    *, sum_of: str = "right", dim_order=None, dedup: bool = True,
-                   split_values: int = 100_000,
+                   ranges: int | None = None,
                    out: str = "total") -> DataFrame:
     """Inner equi-join on the key with the extra predicate ``v1 < v2``, summed per key.
 
@@ -80,29 +80,57 @@ def theta_join_sum(fact: DataFrame, dim: DataFrame, key: str, fact_value, dim_ke
     value per key, the last one by ``dim_order`` (a column or struct of
     positions; without it the key is assumed unique). Without ``dedup``
     duplicate dimension keys multiply matches, as a plain join does.
+
     Both sides are first collapsed to ``(key, value, count)`` with map-side
-    combine, so a hot key is as large as its distinct values; whether the
-    dimension is broadcast is left to Catalyst / AQE, which know its bytes.
-    Keys with more than ``split_values`` distinct fact values are dealt to
-    several join partitions by value, the dimension's rows of these keys to
-    each of them.
+    combine. A dimension of one value per key meets each fact row once, in a
+    plain equi-join (broadcast if Catalyst / AQE find it small). A dimension
+    with many values per key would meet it in pairs, so there the sums come
+    from running totals instead (``prefix_theta_sum``, dealt to ``ranges``
+    partitions). Rows with a null key or value match nothing; keys without a
+    match have no row.
     """
     d = dim.select(F.col(dim_key).alias("_dk"), _col(dim_value).cast("bigint").alias("_v2"),
                    *([_col(dim_order).alias("_pos")] if dim_order is not None else []))
-    if dedup and dim_order is not None:
-        d = d.groupBy("_dk").agg(F.max_by("_v2", "_pos").alias("_v2"), F.lit(1).alias("_m"))
-    else:
-        d = d.groupBy("_dk", "_v2").agg(F.count(F.lit(1)).alias("_m"))
     f = fact.groupBy(F.col(key).alias(key), _col(fact_value).cast("bigint").alias("_v1")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = f.groupBy(F.col(key).alias("_hk")).agg(F.ceil(F.count(F.lit(1)) / split_values).alias("_parts")).where("_parts > 1")
-    f = f.join(hot, F.col(key) == F.col("_hk"), "left") \
-        .withColumn("_salt", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("_v1"), F.col("_parts")))) \
-        .select(key, "_v1", "_n", "_salt")
-    d = d.join(hot, F.col("_dk") == F.col("_hk"), "left") \
-        .withColumn("_salt2", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).select("_dk", "_v2", "_m", "_salt2")
-    j = f.join(d, (f[key] == d["_dk"]) & (f["_salt"] == d["_salt2"]) & (f["_v1"] < d["_v2"]), "inner")
+    if not (dedup and dim_order is not None):
+        d = d.groupBy("_dk", "_v2").agg(F.count(F.lit(1)).alias("_m"))
+        return prefix_theta_sum(f, d, key, sum_of=sum_of, ranges=ranges, out=out)
+    d = d.groupBy("_dk").agg(F.max_by("_v2", "_pos").alias("_v2"))
+    j = f.join(d, f[key] == d["_dk"], "inner").where(F.col("_v1") < F.col("_v2"))
     summed = F.col("_v2") if sum_of == "right" else F.col("_v1")
-    return j.groupBy(key).agg(F.sum(summed * F.col("_n") * F.col("_m")).alias(out))
+    return j.groupBy(key).agg(F.sum(summed * F.col("_n")).alias(out))
+
+
+def prefix_theta_sum(f: DataFrame, d: DataFrame, key: str, *, sum_of: str, ranges: int | None = None, out: str = "total") -> DataFrame:
+    """Sum over all pairs with equal key and ``v1 < v2``, without making the pairs.
+
+    ``f(key, _v1, _n)`` and ``d(_dk, _v2, _m)`` hold distinct values with their
+    counts. Both are laid in one order of (key, value), dimension first among
+    equal values, and cut into ranges. Inside a range a running total of the
+    fact side gives every dimension value what lies below it; a second pass
+    over the totals of the ranges of a key, one row each, adds what lies in
+    the ranges before. Linear in the rows but for the sort, and a key may fill
+    any number of ranges.
+    """
+    none = F.lit(0).cast("bigint")
+    rows = f.where(F.col(key).isNotNull() & F.col("_v1").isNotNull()) \
+        .select(F.col(key).alias("_k"), F.col("_v1").alias("_v"), F.lit(1).alias("_side"), F.col("_n"),
+                (F.col("_n") if sum_of == "right" else F.col("_v1") * F.col("_n")).alias("_below"), none.alias("_m"), none.alias("_weight")) \
+        .unionByName(d.where(F.col("_dk").isNotNull() & F.col("_v2").isNotNull())
+                     .select(F.col("_dk").alias("_k"), F.col("_v2").alias("_v"), F.lit(0).alias("_side"), none.alias("_n"), none.alias("_below"),
+                             F.col("_m"), (F.col("_v2") * F.col("_m") if sum_of == "right" else F.col("_m")).alias("_weight")))
+    parts = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionByRange(parts, "_k", "_v").withColumn("_range", F.spark_partition_id())
+    so_far = Window.partitionBy("_k", "_range").orderBy("_v", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_seen", F.sum("_n").over(so_far)).withColumn("_run", F.sum("_below").over(so_far))
+    blocks = rows.groupBy("_k", "_range").agg(
+        F.sum(F.col("_weight") * F.col("_run")).alias("_inside"), F.sum("_weight").alias("_weight"), F.sum("_below").alias("_below"),
+        F.sum("_n").alias("_n"), F.max("_m").alias("_m"), F.max(F.when(F.col("_m") > 0, F.col("_seen")).otherwise(0)).alias("_seen"))
+    before = Window.partitionBy("_k").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_under", F.coalesce(F.sum("_below").over(before), none)).withColumn("_facts", F.coalesce(F.sum("_n").over(before), none))
+    matched = (F.col("_seen") > 0) | ((F.col("_m") > 0) & (F.col("_facts") > 0))
+    return blocks.groupBy("_k").agg(F.sum(F.col("_inside") + F.col("_weight") * F.col("_under")).alias(out), F.max(matched).alias("_matched")) \
+        .where("_matched").select(F.col("_k").alias(key), out)
 
 
 def around_half_max(df: DataFrame, key: str, value, *, range_partitions: int | None = None) -> DataFrame:

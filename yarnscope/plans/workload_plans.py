@@ -105,12 +105,12 @@ def _order_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def theta_sum_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.theta_join_sum(table(spark, sf_dir, "lineitem"), _order_values(spark, sf_dir), "l_suppkey", _price("l_quantity"),
-                            "o_custkey", "v", sum_of="right", dim_order=F.col("o_orderkey"), split_values=10)
+                            "o_custkey", "v", sum_of="right", dim_order=F.col("o_orderkey"))
 
 
 def theta_sum_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.theta_join_sum(table(spark, sf_dir, "lineitem"), _order_values(spark, sf_dir), "l_suppkey", _price("l_quantity"),
-                            "o_custkey", "v", sum_of="left", dedup=False, split_values=10)
+                            "o_custkey", "v", sum_of="left", dedup=False, ranges=16)
 
 
 QUERIES = {

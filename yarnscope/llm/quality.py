@@ -12,7 +12,7 @@ what leaves a text is a row of counts, so no text is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yarnscope.llm.native import space_words, without
@@ -22,10 +22,8 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 #: Frequent words of a language that make its word histogram.
 TOP_WORDS = 24
-#: Items that the frequent-word sketch of a language tracks.
-TRACKED = 20_000
-#: Languages with a reference of their own, the most frequent ones; others are held against the whole corpus.
-MAX_LANGUAGES = 1000
+#: Parts that the words of the corpus are ranked in before the best of each are ranked together.
+PARTS = 64
 #: Documents and words that a language needs for a reference of its own; rarer ones are held against the whole corpus too.
 MIN_DOCUMENTS, MIN_WORDS = 10, 5000
 #: Distances above which a document is rejected, and the words it needs for that.
@@ -85,6 +83,28 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.when((total(p) > 0) & (total(q) > 0), F.sqrt(F.greatest(F.lit(0.0), total(terms))))
 
 
+def references(texts: DataFrame) -> DataFrame:
+    """``ref, top, ref_frequent``: the most frequent words of each language, sorted, and their counts with that of all other words.
+
+    Languages of fewer than MIN_DOCUMENTS documents or MIN_WORDS words have no
+    row; the row with null ``ref`` is the whole corpus. Counts are exact.
+    """
+    counted = texts.select("lang", F.explode(space_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counted = materialize(counted, "word-counts")
+    spoken = texts.where("lang is not null").groupBy("lang").agg(F.count("*").alias("docs")).where(F.col("docs") >= MIN_DOCUMENTS)
+    sizes = counted.groupBy("lang").agg(F.sum("n").alias("words"))
+    own = sizes.where(F.col("words") >= MIN_WORDS).join(spoken.select("lang"), "lang")
+    frequent = counted.join(own, "lang").withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("k") <= TOP_WORDS)
+    # the whole corpus: the best of each part of the words, then the best of these
+    whole = counted.groupBy("word").agg(F.sum("n").alias("n")).withColumn("k", F.row_number().over(
+        Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(PARTS))).orderBy(F.desc("n"), "word"))).where(F.col("k") <= TOP_WORDS) \
+        .orderBy(F.desc("n"), "word").limit(TOP_WORDS).select(F.lit(None).cast("string").alias("lang"), F.lit(None).cast("long").alias("words"), "word", "n")
+    total = sizes.select(F.sum("words")).scalar()
+    both = frequent.select("lang", "words", "word", "n").unionByName(whole).withColumn("words", F.coalesce("words", total))
+    lists = both.groupBy(F.col("lang").alias("ref")).agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("w"), (F.max("words") - F.sum("n")).alias("other"))
+    return lists.select("ref", F.col("w.word").alias("top"), F.concat("w.n", F.array("other")).alias("ref_frequent"))
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs(doc_id, text, lang)``.
 
@@ -94,57 +114,35 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     Null texts count as empty: no words, base_failed. A distance is null for a
     document without words or whose language has no words. Documents without
-    lang, or of a language beyond MAX_LANGUAGES or with fewer than
-    MIN_DOCUMENTS documents or MIN_WORDS words, are held against the whole
-    corpus, all documents counted. Repeated rows are judged alike; further columns are ignored.
+    lang, or of a language with fewer than MIN_DOCUMENTS documents or
+    MIN_WORDS words, are held against the whole corpus, all documents counted.
+    Repeated rows are judged alike; further columns are ignored.
     """
     texts = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
-    spoken = texts.groupBy("lang").agg(F.count("*").alias("n")).where("lang is not null").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    spoken = materialize(spoken.select("lang"), "languages")
-    # a null language is the whole corpus: every word counts for its language and for that
-    named = texts.join(F.broadcast(spoken.withColumnRenamed("lang", "known")), F.col("lang") == F.col("known"), "left")
-    counted = named.select("known", F.explode(space_words(F.col("text"))).alias("word")).groupBy("known") \
-        .agg(F.expr(f"approx_top_k_accumulate(word, {TRACKED})").alias("sketch"))
-    counted = materialize(counted, "sketches")
-    top = counted.where("known is not null").select("known", F.expr(f"approx_top_k_estimate(sketch, {TOP_WORDS})").alias("top")) \
-        .unionByName(counted.groupBy(F.lit(0).alias("all")).agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"))
-                     .select(F.lit(None).cast("string").alias("known"), F.expr(f"approx_top_k_estimate(sketch, {TOP_WORDS})").alias("top")))
-    top = top.select(F.col("known").alias("ref"), F.expr("sort_array(transform(top, x -> x.item))").alias("top"))
-    top = materialize(top, "top")
-    # every document counts the words of its language and those of the whole corpus, the words of both are sought once
-    common = top.where("ref is null").select(F.col("top").alias("common"))
+    lists = materialize(references(texts), "references")
+    common = lists.where("ref is null").select("top").scalar()
     none = F.array().cast("array<string>")
-    lists = top.crossJoin(F.broadcast(common)).withColumn("either", F.array_union("top", "common"))
-    out = named.join(F.broadcast(lists), F.col("known").eqNullSafe(F.col("ref")), "left") \
-        .select("doc_id", "text", "known", *[F.coalesce(c, none).alias(c) for c in ("top", "common", "either")])
+    # a document counts the words of its own reference only; the join is left to Catalyst, which knows the lists' bytes
+    out = texts.join(lists.where("ref is not null").select("ref", "top"), F.col("lang") == F.col("ref"), "left") \
+        .select("doc_id", "text", "ref", F.coalesce("top", common, none).alias("top"))
     out = class_counts(base_counts(out))
-    out = out.withColumn("hits", F.expr("filter(words, w -> array_contains(either, w))"))
-    for name, items in (("frequent", "top"), ("general", "common")):
-        out = out.withColumn(name, F.expr(f"transform({items}, w -> cast(size(hits) - size(array_remove(hits, w)) as long))")) \
-            .withColumn(name, F.concat(name, F.array(F.col("n_words") - F.aggregate(name, F.lit(0).cast("long"), lambda s, x: s + x))))
-    metrics = materialize(out.select("doc_id", F.xxhash64("text").alias("hash"), "known", "n_words", "word_chars", "n_symbols",
-                                     "n_dup_lines", "n_repeat_words", "classes", "frequent", "general"), "metrics")
-    return judge(metrics)
-
-
-def judge(metrics: DataFrame) -> DataFrame:
-    """Distances and verdicts from the counts of every document."""
-    def sums(column: str, size: int, name: str) -> Column:
-        return F.array(*[F.sum(F.get(column, F.lit(i))) for i in range(size)]).alias(f"ref_{name}")
-
-    own = metrics.where("known is not null").groupBy(F.col("known").alias("ref")) \
-        .agg(sums("classes", len(_CLASSES), "classes"), sums("frequent", TOP_WORDS + 1, "frequent"), F.count("*").alias("docs__"), F.sum("n_words").alias("words__")) \
-        .where((F.col("docs__") >= MIN_DOCUMENTS) & (F.col("words__") >= MIN_WORDS)).drop("docs__", "words__")
-    rest = metrics.agg(sums("classes", len(_CLASSES), "classes"), sums("general", TOP_WORDS + 1, "frequent"))
-    own = materialize(own, "references")
-    refs = own.unionByName(rest.withColumn("ref", F.lit(None).cast("string")))
-    metrics = metrics.join(F.broadcast(own.select(F.col("ref").alias("has"))), F.col("known") == F.col("has"), "left") \
-        .withColumn("frequent", F.when(F.col("has").isNull(), F.col("general")).otherwise(F.col("frequent")))
-    tidy = F.expr("filter(ref_frequent, x -> x is not null)")
-    out = metrics.join(F.broadcast(refs), F.col("has").eqNullSafe(F.col("ref")), "left") \
-        .withColumn("ref_frequent", tidy) \
+    out = out.withColumn("hits", F.expr("filter(words, w -> array_contains(top, w))")) \
+        .withColumn("frequent", F.expr("transform(top, w -> cast(size(hits) - size(array_remove(hits, w)) as long))")) \
+        .withColumn("frequent", F.concat("frequent", F.array(F.col("n_words") - F.aggregate("frequent", F.lit(0).cast("long"), lambda s, x: s + x))))
+    metrics = materialize(out.select("doc_id", F.xxhash64("text").alias("hash"), "ref", "n_words", "word_chars", "n_symbols",
+                                     "n_dup_lines", "n_repeat_words", "classes", "frequent"), "metrics")
+    return judge(metrics, lists)
+
+
+def judge(metrics: DataFrame, lists: DataFrame) -> DataFrame:
+    """Distances and verdicts from the counts of every document and the word counts of the references."""
+    sums = F.array(*[F.sum(F.get("classes", F.lit(i))) for i in range(len(_CLASSES))]).alias("ref_classes")
+    classes = metrics.where("ref is not null").groupBy("ref").agg(sums).unionByName(metrics.agg(sums).withColumn("ref", F.lit(None).cast("string")))
+    refs = classes.join(lists.select(F.col("ref").alias("of"), "ref_frequent"), F.col("ref").eqNullSafe(F.col("of")), "left").drop("of")
+    refs = materialize(refs, "classes").withColumnRenamed("ref", "of")
+    out = metrics.join(refs, F.col("ref").eqNullSafe(F.col("of")), "left") \
         .withColumn("char_distance", js_distance(F.col("classes"), F.col("ref_classes"))) \
-        .withColumn("word_distance", F.when(F.size("frequent") == F.size("ref_frequent"), js_distance(F.col("frequent"), F.col("ref_frequent"))))
+        .withColumn("word_distance", js_distance(F.col("frequent"), F.col("ref_frequent")))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     far = ((F.col("n_words") >= CHAR_MIN_WORDS) & (F.col("char_distance") > CHAR_DISTANCE)) | \
         ((F.col("n_words") >= WORD_MIN_WORDS) & (F.col("word_distance") > WORD_DISTANCE))

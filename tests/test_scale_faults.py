@@ -37,6 +37,41 @@ def test_five_megabyte_log_is_quick(spark):
     assert time.time() - t < 20
 
 
+@pytest.mark.parametrize("key", ["driver_failure", "missing_input"])
+def test_search_before_the_last_boundary_equals_the_pattern(spark, key):
+    rng = random.Random(7)
+    ts = "20/04/07 15:58:18"
+    bits = {"driver_failure": [ts + " INFO ApplicationMaster: Final app status: FAILED, exitCode: 15, (reason: User class threw exception: ", ", exitCode: 1, (reason: User class threw exception: ", "java.io.IOException: "],
+            "missing_input": [ts + " ERROR ApplicationMaster: User class threw exception: org.apache.hadoop.mapred.InvalidInputException:"]}[key]
+    bits = bits + [": ", ":", "\n", "\n", "=", ts, " x", "\n\tat A.main(App3.scala:22)", "\r", "\u2028", ")", "😀"]
+    rows = [("".join(rng.choice(bits) for _ in range(rng.randrange(0, 14))),) for _ in range(8000)]
+    df = spark.createDataFrame(rows, "v string")
+    groups = 3 if key == "driver_failure" else 2
+    before, short = X.before_last(F.col("v"), CLS["boundary"]), X.until_boundary(CLS[key], CLS["boundary"])
+    got = df.select("v", F.col("v").rlike(CLS[key]).alias("a"), before.rlike(short).alias("b"),
+                    *[F.regexp_extract("v", CLS[key], g).alias(f"a{g}") for g in range(1, groups + 1)],
+                    *[F.regexp_extract(before, short, g).alias(f"b{g}") for g in range(1, groups + 1)]).collect()
+    bad = [r for r in got if r.a != r.b or any(r[f"a{g}"] != r[f"b{g}"] for g in range(1, groups + 1))]
+    assert not bad, bad[:3]
+    assert sum(r.a for r in got) > 300
+
+
+def test_five_megabyte_driver_log_is_quick(spark):
+    """Many colons, a long trace, and no boundary behind it: the whole pattern needs minutes for a megabyte."""
+    from yarnscope.operators.containers import record_features
+    ts = "20/04/07 15:58:18"
+    head = ts + " INFO ApplicationMaster: Final app status: FAILED, exitCode: 15, (reason: User class threw exception: " + "a.B: " * 40
+    head += "\n" + ts + " ERROR ApplicationMaster: User class threw exception: org.apache.spark.SparkException: " + "x: " * 40
+    log = head + "\n\tat org.example.Frame.run(Frame.java:1)" * 130_000
+    assert len(log) > 5_000_000
+    df = spark.createDataFrame([(1, 1, 1, log)], "app_num int, attempt_nb int, cid int, value string") \
+        .withColumn("is_drv_header", F.lit(True)).withColumn("pos", F.lit(1))
+    t = time.time()
+    r = record_features(df).collect()[0]
+    assert time.time() - t < 30
+    assert not r.any_f.f2_hit and r.drv_f.f3_hit and r.drv_f.f3_exc == "a.B"
+
+
 def test_users_beyond_ten_thousand(spark, tmp_path):
     from yarnscope.plans import registry, render
     rows = [(i, 9998 + i % 15, kind, float(i % 40), "2020-04-07 10:00:%02d" % (i % 60)) for i, kind in
@@ -93,6 +128,15 @@ def test_prefilter_keeps_all_members(spark, n):
     assert got.count() <= want.count() + 40
 
 
+def test_prefilter_passes_few_others(spark):
+    """One hash on a bitmap of 2^26 bits let 63 % of the others pass at 67 million keys."""
+    assert joins.passes(10**4) < 0.02 and joins.passes(67_000_000) < 0.02 and joins.passes(10**8) < 0.02
+    keys = spark.range(0, 200_000, 2).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    others = spark.range(1, 200_001, 2).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert joins.prefilter(keys, keys, ["a", "b"]).count() == 100_000
+    assert joins.prefilter(others, keys, ["a", "b"]).count() < 2_000
+
+
 def test_hot_key_fills_several_ranges(spark):
     fact = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
     dim = spark.createDataFrame([(1, 2000), (1, 10)], "k int, v long")

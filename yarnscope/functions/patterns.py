@@ -46,6 +46,7 @@ CONTAINER_LOG = {
 
 # ---- fixed values: failure classification -------------------------------------
 CLS = {
+    "boundary": r"\n.*?=|\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}",
     "class_not_found": r"(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}) ERROR ApplicationMaster: Uncaught exception: \njava.lang.ClassNotFoundException: ",
     "missing_input": r"(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}) ERROR ApplicationMaster: User class threw exception: org\.apache\.hadoop\.mapred\.InvalidInputException:([\s\S]*)?(?=\n.*?=|\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})",
     "frame_line": r"at .*\(App.*:(.*)\)",

@@ -88,6 +88,26 @@ def exception_after(flat: Column, lead: str) -> Column:
     return F.when(ok, F.substring_index(rest, ":", 1)).otherwise(F.lit(""))
 
 
+def before_last(c: Column, boundary: str) -> Column:
+    """Text before the last place where ``boundary`` matches; '' without one.
+
+    A pattern ``HEAD([\\s\\S]*)?(?=boundary)`` is greedy to the last boundary
+    from wherever its head ends, so its first match is that of
+    ``HEAD([\\s\\S]*)`` in this text. Going back from the end meets every place
+    once; trying every end of the head against every rest, as the whole
+    pattern does, is quadratic.
+    """
+    return F.regexp_extract(c, rf"^([\s\S]*)(?={boundary})", 1)
+
+
+def until_boundary(pattern: str, boundary: str) -> str:
+    """``HEAD([\\s\\S]*)`` of a pattern ``HEAD([\\s\\S]*)?(?=boundary)``."""
+    tail = f"?(?={boundary})"
+    if not pattern.endswith(tail):
+        raise ValueError(f"no trailing boundary: {pattern}")
+    return pattern[:-len(tail)]
+
+
 def line_start(pattern: str) -> str:
     """Anchor a search pattern that starts with ``.*`` to line starts.
 

@@ -144,12 +144,15 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT, *, all_fr
     flat = X.flatten_lines(v)
     is_driver = (F.col("cid") == 1) | F.col("is_drv_header")
 
-    # -- facts of every record
-    missing = _found(c, v, "missing_input")
+    # -- facts of every record; the two patterns that run up to the last
+    # boundary of the record are searched in the text before it
+    before = F.when(_g(v, "missing_input") | _g(v, "driver_failure"), X.before_last(v, c["boundary"]))
+    missing_input, driver_failure = (X.until_boundary(c[k], c["boundary"]) for k in ("missing_input", "driver_failure"))
+    missing = _g(v, "missing_input") & before.rlike(missing_input)
     ex_hit = _found(c, v, "executor_exc")
     any_f = F.struct(
         missing.alias("f2_hit"),
-        F.when(missing, _frame_line(c, F.regexp_extract(v, c["missing_input"], 2))).alias("f2_line"),
+        F.when(missing, _frame_line(c, F.regexp_extract(before, missing_input, 2))).alias("f2_line"),
         _found(c, v, "any_error").alias("has_error"),
         F.when(_found(c, v, "any_error"), _generic(c, v, all_frames)).alias("generic"),
         ex_hit.alias("ex_hit"),
@@ -160,8 +163,8 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT, *, all_fr
     )
 
     # -- driver facts
-    f3_match = _found(c, v, "driver_failure")
-    f3_exc_text = F.when(f3_match, F.regexp_extract(v, c["driver_failure"], 2)).otherwise(F.lit(""))
+    f3_match = _g(v, "driver_failure") & before.rlike(driver_failure)
+    f3_exc_text = F.when(f3_match, F.regexp_extract(before, driver_failure, 2)).otherwise(F.lit(""))
     cancels = _extract_all(c, v, "cancel_stage_any", 2)
     actors = _extract_all(c, v, "error_actor", 1)
     # leading "Utils" actors: actor names are \w*, so joined with commas the
@@ -177,7 +180,7 @@ def record_features(keyed: DataFrame, fmt: LogFormat = DEFAULT_FORMAT, *, all_fr
         (f3_match & ~f3_exc_text.contains(c["stage_failure"])).alias("f3_hit"),
         X.prefix_to_colon(f3_exc_text).alias("f3_exc"),
         X.int_or(F.try_element_at(cancels, F.lit(-1)), -1).alias("f3_stage"),
-        F.when(f3_match, _frame_line(c, F.regexp_extract(v, c["driver_failure"], 3))).otherwise(-1).alias("f3_line"),
+        F.when(f3_match, _frame_line(c, F.regexp_extract(before, driver_failure, 3))).otherwise(-1).alias("f3_line"),
         # one extraction per group: '' is "no match" (or an empty number)
         F.when(final_stage_on, X.int_or(F.regexp_extract(v, final_stage, 1), -1)).otherwise(-1).alias("final_stage"),
         F.when(final_stage_on, X.int_or(F.regexp_extract(v, final_stage, 2), -1)).otherwise(-1).alias("final_line"),

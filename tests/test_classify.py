@@ -14,7 +14,7 @@ from yarnscope.sources.text import read_records, synthetic_position
 T = "20/04/07 16:00:00"
 
 
-def header(app: int, attempt: int, cid: int, host: str = "iccluster056.iccluster.epfl.ch") -> str:
+def header(app: int, attempt: int, cid: int, host: str = "iccluster041.iccluster.epfl.ch") -> str:
     return (f"Container: container_e02_{DEFAULT_CLUSTER}_{app:04d}_{attempt:02d}_{cid:06d} on {host}_45454_1\n"
             "LogType:stderr\nLogContents:\n")
 
@@ -53,7 +53,7 @@ def test_class_not_found_sample_shape(spark):
     body = ("SLF4J: Class path contains multiple SLF4J bindings.\n"
             "20/05/15 18:44:04 INFO ApplicationMaster: Starting the user application in a separate Thread\n"
             "20/05/15 18:44:04 ERROR ApplicationMaster: Uncaught exception: \n"
-            "java.lang.ClassNotFoundException: App200\n\tat java.net.URLClassLoader.findClass(URLClassLoader.java:381)\n")
+            "java.lang.ClassNotFoundException: App77\n\tat java.net.URLClassLoader.findClass(URLClassLoader.java:381)\n")
     assert diagnose_records(spark, [record(9471, 1, body)])[9471] == (1, "java.lang.ClassNotFoundException", -1, -1)
 
 
@@ -66,9 +66,9 @@ def test_first_driver_record_decides_rule_1(spark):
 
 
 def test_last_driver_record_decides_rule_4(spark):
-    fs = "{T} INFO DAGScheduler: Final stage: ResultStage 0 (collect at App4.scala:24)"
+    fs = "{T} INFO DAGScheduler: Final stage: ResultStage 0 (collect at App14.scala:31)"
     recs = [record(7001, 1, fs), record(7001, 1, fs + "\n{T} WARN X: bigger than spark.driver.maxResultSize")]
-    assert diagnose_records(spark, recs)[7001] == (4, "org.apache.spark.SparkException", 0, 24)
+    assert diagnose_records(spark, recs)[7001] == (4, "org.apache.spark.SparkException", 0, 31)
     recs.reverse()
     assert diagnose_records(spark, recs)[7001] == (9, "N/A", -1, -1)
 
@@ -80,13 +80,13 @@ def test_lost_executor_without_log_falls_through(spark):
 
 
 def test_first_executor_by_container_id_wins(spark):
-    fs = "{T} INFO DAGScheduler: Final stage: ResultStage 0 (collect at App4.scala:24)"
+    fs = "{T} INFO DAGScheduler: Final stage: ResultStage 0 (collect at App14.scala:31)"
     fetch = "{T} ERROR OneForOneBlockFetcher: Failed while starting block fetches\njava.io.IOException: reset"
     heartbeat = "{T} ERROR Executor: Exit as unable to send heartbeats to driver more than 60 times"
     recs = [record(7003, 1, fs), record(7003, 3, fetch), record(7003, 2, heartbeat)]
-    assert diagnose_records(spark, recs)[7003] == (4, "org.apache.spark.SparkException", 0, 24)
+    assert diagnose_records(spark, recs)[7003] == (4, "org.apache.spark.SparkException", 0, 31)
     recs = [record(7004, 1, fs), record(7004, 2, fetch), record(7004, 3, heartbeat)]
-    assert diagnose_records(spark, recs)[7004] == (4, "java.io.IOException", 0, 24)
+    assert diagnose_records(spark, recs)[7004] == (4, "java.io.IOException", 0, 31)
 
 
 def test_no_driver_record_uses_executor_error(spark):
@@ -94,14 +94,14 @@ def test_no_driver_record_uses_executor_error(spark):
     assert diagnose_records(spark, recs)[7005] == (8, "org.apache.spark.SparkException", 3, -1)
 
 
-RM = """2020-04-07 15:58:17,101 INFO  capacity.ParentQueue (ParentQueue.java:addApplication(468)) - Application added - appId: application_1580812675067_5006 user: basil leaf-queue of parent: root #applications: 1
-2020-04-07 15:58:18,644 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:handle(925)) - appattempt_1580812675067_5006_000001 State change from ALLOCATED to LAUNCHED on event = LAUNCHED
-2020-04-07 15:58:25,000 INFO  scheduler.SchedulerNode (SchedulerNode.java:allocateContainer(163)) - Assigned container container_e02_1580812675067_5006_01_000001 of capacity <memory:2048, vCores:1> on host iccluster056.iccluster.epfl.ch:45454
-2020-04-07 15:59:32,600 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:rememberTarget(1291)) - Updating application attempt appattempt_1580812675067_5006_000001 with final state: FAILED, and exit status: 15
-2020-04-07 15:59:32,625 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:handle(925)) - appattempt_1580812675067_5006_000001 State change from FINAL_SAVING to FAILED on event = ATTEMPT_UPDATE_SAVED
-2020-04-07 16:00:00,000 INFO  capacity.ParentQueue (ParentQueue.java:addApplication(468)) - Application added - appId: application_1580812675067_5007 user: alice leaf-queue of parent: root #applications: 1
-2020-04-07 16:00:01,000 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:handle(925)) - appattempt_1580812675067_5007_000001 State change from ALLOCATED to LAUNCHED on event = LAUNCHED
-2020-04-07 16:00:05,500 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:handle(925)) - appattempt_1580812675067_5007_000001 State change from RUNNING to FINISHING on event = UNREGISTERED
+RM = """2020-04-07 15:58:17,101 INFO  capacity.ParentQueue (ParentQueue.java:addApplication(468)) - Application added - appId: application_1580812675067_8106 user: mira leaf-queue of parent: root #applications: 1
+2020-04-07 15:58:18,644 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:handle(925)) - appattempt_1580812675067_8106_000001 State change from ALLOCATED to LAUNCHED on event = LAUNCHED
+2020-04-07 15:58:25,000 INFO  scheduler.SchedulerNode (SchedulerNode.java:allocateContainer(163)) - Assigned container container_e02_1580812675067_8106_01_000001 of capacity <memory:2048, vCores:1> on host iccluster041.iccluster.epfl.ch:45454
+2020-04-07 15:59:32,600 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:rememberTarget(1291)) - Updating application attempt appattempt_1580812675067_8106_000001 with final state: FAILED, and exit status: 15
+2020-04-07 15:59:32,625 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:handle(925)) - appattempt_1580812675067_8106_000001 State change from FINAL_SAVING to FAILED on event = ATTEMPT_UPDATE_SAVED
+2020-04-07 16:00:00,000 INFO  capacity.ParentQueue (ParentQueue.java:addApplication(468)) - Application added - appId: application_1580812675067_8107 user: alice leaf-queue of parent: root #applications: 1
+2020-04-07 16:00:01,000 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:handle(925)) - appattempt_1580812675067_8107_000001 State change from ALLOCATED to LAUNCHED on event = LAUNCHED
+2020-04-07 16:00:05,500 INFO  attempt.RMAppAttemptImpl (RMAppAttemptImpl.java:handle(925)) - appattempt_1580812675067_8107_000001 State change from RUNNING to FINISHING on event = UNREGISTERED
 """
 
 
@@ -109,8 +109,8 @@ def test_end_to_end_from_files(spark, write_text):
     from yarnscope.operators.lines import parse_rm_lines
     from yarnscope.sources.text import read_lines
     logs = "".join(r + RECORD_DELIMITER for r in [
-        record(5006, 1, DRIVER_FILLER + CASES[6][1]),          # failed attempt, block-manager case
-        record(5007, 1, DRIVER_FILLER + CASES[0][1]),          # attempt that succeeded: dropped
+        record(8106, 1, DRIVER_FILLER + CASES[6][1]),          # failed attempt, block-manager case
+        record(8107, 1, DRIVER_FILLER + CASES[0][1]),          # attempt that succeeded: dropped
         "\n",                                                   # trailing blank record: dropped
     ])
     rm = parse_rm_lines(read_lines(spark, write_text("rm.log", RM)), app_range=(0, 9999))
@@ -118,12 +118,12 @@ def test_end_to_end_from_files(spark, write_text):
     out = classify_attempts(recs, rm, app_range=(0, 9999)).collect()
     assert [(r.app_id, r.attempt_nb, r.user, r.start_time, r.end_time, r.error_category, r.exception,
              r.stage, r.source_line) for r in out] == [
-        ("5006", 1, "basil", "2020-04-07 15:58:18,644", "2020-04-07 15:59:32,625", 4, "java.io.IOException", 0, 24)]
-    assert [(c.id, c.host) for c in out[0].containers] == [(1, "iccluster056.iccluster.epfl.ch")]
+        ("8106", 1, "mira", "2020-04-07 15:58:18,644", "2020-04-07 15:59:32,625", 4, "java.io.IOException", 0, 31)]
+    assert [(c.id, c.host) for c in out[0].containers] == [(1, "iccluster041.iccluster.epfl.ch")]
 
 
 def test_generic_rule_all_frames_option(spark):
-    body = "{T} ERROR X: boom\n\tat App3$.main(App3.scala:17)\n"
+    body = "{T} ERROR X: boom\n\tat App13$.main(App3.scala:17)\n"
     df = spark.createDataFrame([(record(7100, 1, body), 0)], "value string, i long")
     df = df.select("value", synthetic_position("t", F.col("i")).alias("pos"))
     default = record_features(keyed_records(df)).first().any_f.generic.line
@@ -155,7 +155,7 @@ def test_every_case_with_shuffled_and_extra_records(spark):
         assert got[6000 + i] == expected, name
 
 
-FS_LINE = "{T} INFO DAGScheduler: Final stage: ResultStage 0 (collect at App4.scala:24)"
+FS_LINE = "{T} INFO DAGScheduler: Final stage: ResultStage 0 (collect at App14.scala:31)"
 CS_LINE = "{T} INFO YarnClusterScheduler: Cancelling stage 1"
 
 
@@ -163,7 +163,7 @@ def test_block_manager_without_exception_falls_through_to_executors(spark):
     drv = FS_LINE + "\n{T} WARN BlockManager: Failed to fetch block broadcast_3 after retries"
     exe = "{T} ERROR Executor: Exit as unable to send heartbeats to driver more than 60 times"
     got = diagnose_records(spark, [record(7200, 1, drv), record(7200, 2, exe)])[7200]
-    assert got == (4, "org.apache.spark.SparkException", 0, 24)
+    assert got == (4, "org.apache.spark.SparkException", 0, 31)
 
 
 def test_nested_exception_with_lost_executor_failure_is_not_rule_4(spark):
@@ -176,7 +176,7 @@ def test_rule_5_empty_exception_uses_utils_fallback(spark):
     lost = CASES[15][1].split("\n")[0]
     drv = ("{T} ERROR Utils: Uncaught exception in thread x\n"
            "{T} INFO Utils: shutdown hook\njava.lang.OutOfMemoryError: Java heap space\n" + lost + "\n" + CS_LINE)
-    exe = "{T} ERROR Executor: Exception in task 0.0\n: no class\n\tat App1$.main(App1.scala:7)\n"
+    exe = "{T} ERROR Executor: Exception in task 0.0\n: no class\n\tat App11$.main(App1.scala:7)\n"
     got = diagnose_records(spark, [record(7202, 1, drv), record(7202, 2, exe)])[7202]
     assert got == (5, "java.lang.OutOfMemoryError", 1, 7)
 
@@ -192,16 +192,16 @@ def test_rule_5_exception_without_message_crosses_lines(spark):
 def test_driver_failure_due_to_stage_failure_is_not_rule_3(spark):
     drv = (CS_LINE + "\n{T} INFO ApplicationMaster: Final app status: FAILED, exitCode: 15, (reason: User class "
            "threw exception: org.apache.spark.SparkException: Job aborted due to stage failure: Task 3 failed: "
-           "java.lang.OutOfMemoryError: Java heap space\n\tat App3$.main(App3.scala:22)\n)\n"
+           "java.lang.OutOfMemoryError: Java heap space\n\tat App13$.main(App13.scala:38)\n)\n"
            "{T} INFO ShutdownHookManager: bye")
     assert diagnose_records(spark, [record(7204, 1, drv)])[7204] == (9, "N/A", -1, -1)
 
 
 def test_missing_input_in_an_executor_record(spark):
     exe = ("{T} ERROR ApplicationMaster: User class threw exception: org.apache.hadoop.mapred.InvalidInputException: "
-           "Input path does not exist\n\tat App1$.main(App1.scala:29)\n{T} INFO X: y")
+           "Input path does not exist\n\tat App11$.main(App11.scala:52)\n{T} INFO X: y")
     got = diagnose_records(spark, [record(7205, 1, FS_LINE), record(7205, 2, exe)])[7205]
-    assert got == (2, "org.apache.hadoop.mapred.InvalidInputException", -1, 29)
+    assert got == (2, "org.apache.hadoop.mapred.InvalidInputException", -1, 52)
 
 
 def test_result_getter_with_scheduler_error_is_not_rule_4(spark):

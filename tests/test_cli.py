@@ -24,7 +24,7 @@ def read_parts(folder):
 
 
 def test_failure_report_and_validation(write_text, tmp_path):
-    logs = "".join(r + RECORD_DELIMITER for r in [record(5006, 1, DRIVER_FILLER + CASES[6][1])])
+    logs = "".join(r + RECORD_DELIMITER for r in [record(8106, 1, DRIVER_FILLER + CASES[6][1])])
     out = str(tmp_path / "report")
     r = run("failure-report", write_text("rm.log", RM), write_text("logs.txt", logs), "5000", "5010", out)
     assert r.returncode == 0, r.stderr[-2000:]
@@ -38,7 +38,7 @@ def test_run_report(write_text, tmp_path):
     r = run("run-report", write_text("rm.log", RM), out, "--first", "5000", "--last", "5010")
     assert r.returncode == 0, r.stderr[-2000:]
     apps = read_parts(os.path.join(out, "applications"))
-    assert apps.startswith("ApplicationId : application_1580812675067_5006\n\nUser          : basil")
+    assert apps.startswith("ApplicationId : application_1580812675067_8106\n\nUser          : mira")
     assert apps.endswith("\n\n")
     assert read_parts(os.path.join(out, "questions")).startswith("1. ")
 

@@ -9,24 +9,24 @@ from test_rm_log import RM_LOG
 
 
 def test_run_reconstruction(spark, write_text):
-    out = jobs.run_reconstruction(spark, write_text("rm.log", RM_LOG), report_range=(5030, 5030))
-    assert [r.app_id for r in out["report"].collect()] == ["5030"]
+    out = jobs.run_reconstruction(spark, write_text("rm.log", RM_LOG), report_range=(8130, 8130))
+    assert [r.app_id for r in out["report"].collect()] == ["8130"]
     assert out["questions"].count() == 7
 
 
 def test_failure_report_written_and_validated(spark, write_text, tmp_path):
-    logs = "".join(r + RECORD_DELIMITER for r in [record(5006, 1, DRIVER_FILLER + CASES[6][1])])
+    logs = "".join(r + RECORD_DELIMITER for r in [record(8106, 1, DRIVER_FILLER + CASES[6][1])])
     out = str(tmp_path / "report")
     diag = jobs.failure_report(spark, write_text("rm.log", RM), write_text("logs.txt", logs), 5000, 5010, out=out)
-    assert [(r.app_id, r.error_category) for r in diag.collect()] == [("5006", 4)]
+    assert [(r.app_id, r.error_category) for r in diag.collect()] == [("8106", 4)]
     v = jobs.validate_report(spark, out)
     s = v["summary"].first()
     assert (s.n_blocks, s.n_invalid, s.accepted) == (1, 0, True)
 
 
 def test_failure_report_range_excludes(spark, write_text):
-    logs = "".join(r + RECORD_DELIMITER for r in [record(5006, 1, DRIVER_FILLER + CASES[6][1])])
-    diag = jobs.failure_report(spark, write_text("rm.log", RM), write_text("logs.txt", logs), 5007, 5010)
+    logs = "".join(r + RECORD_DELIMITER for r in [record(8106, 1, DRIVER_FILLER + CASES[6][1])])
+    diag = jobs.failure_report(spark, write_text("rm.log", RM), write_text("logs.txt", logs), 8107, 5010)
     assert diag.count() == 0
 
 

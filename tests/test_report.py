@@ -11,21 +11,21 @@ SCHEMA = ("app_id string, attempt_nb int, user string, start_time string, end_ti
           "stage int, source_line int")
 
 GOLDEN = [
-    ("5023", 1, "basil", "2020-04-07 15:58:18,644", "2020-04-07 15:59:32,625",
-     [(1, "iccluster056.iccluster.epfl.ch"), (2, "iccluster057.iccluster.epfl.ch"),
-      (3, "iccluster056.iccluster.epfl.ch")], 4, "org.apache.spark.SparkException", 0, 24),
-    ("5022", 1, "basil", "2020-04-07 15:53:57,629", "2020-04-07 15:57:11,676",
-     [(1, "iccluster063.iccluster.epfl.ch"), (2, "iccluster056.iccluster.epfl.ch"),
-      (3, "iccluster061.iccluster.epfl.ch")], 3, "java.lang.OutOfMemoryError", -1, 22),
-    ("5030", 2, "alice", "2020-04-07 16:00:01,000", "2020-04-07 16:00:05,500", [], 9, "N/A", -1, -1),
+    ("8123", 1, "mira", "2020-04-07 15:58:18,644", "2020-04-07 15:59:32,625",
+     [(1, "iccluster041.iccluster.epfl.ch"), (2, "iccluster042.iccluster.epfl.ch"),
+      (3, "iccluster041.iccluster.epfl.ch")], 4, "org.apache.spark.SparkException", 0, 24),
+    ("8122", 1, "mira", "2020-04-07 15:53:57,629", "2020-04-07 15:57:11,676",
+     [(1, "iccluster044.iccluster.epfl.ch"), (2, "iccluster041.iccluster.epfl.ch"),
+      (3, "iccluster043.iccluster.epfl.ch")], 3, "java.lang.OutOfMemoryError", -1, 22),
+    ("8130", 2, "alice", "2020-04-07 16:00:01,000", "2020-04-07 16:00:05,500", [], 9, "N/A", -1, -1),
 ]
 
-BLOCK_5023 = (
-    "\n\nAppAttempt  : appattempt_1580812675067_5023_000001\n\nUser          : basil"
+BLOCK_8123 = (
+    "\n\nAppAttempt  : appattempt_1580812675067_8123_000001\n\nUser          : mira"
     "\n\nStartTime     : 2020-04-07 15:58:18,644\n\nEndTime       : 2020-04-07 15:59:32,625"
-    "\n\nContainers    : container_e02_1580812675067_5023_01_000001 -> iccluster056.iccluster.epfl.ch, "
-    "container_e02_1580812675067_5023_01_000002 -> iccluster057.iccluster.epfl.ch, "
-    "container_e02_1580812675067_5023_01_000003 -> iccluster056.iccluster.epfl.ch"
+    "\n\nContainers    : container_e02_1580812675067_8123_01_000001 -> iccluster041.iccluster.epfl.ch, "
+    "container_e02_1580812675067_8123_01_000002 -> iccluster042.iccluster.epfl.ch, "
+    "container_e02_1580812675067_8123_01_000003 -> iccluster041.iccluster.epfl.ch"
     "\n\nErrorCategory : 4\n\nException     : org.apache.spark.SparkException\n\nStage         : 0"
     "\n\nSourceCodeLine: 24 ")
 
@@ -37,7 +37,7 @@ def diag(spark):
 
 def test_block_layout(diag):
     text = {(r.app_id, r.attempt_nb): r.text for r in R.failure_blocks(diag).collect()}
-    assert text[("5023", 1)] == BLOCK_5023
+    assert text[("8123", 1)] == BLOCK_8123
 
 
 def test_round_trip(spark, diag, tmp_path):
@@ -46,21 +46,21 @@ def test_round_trip(spark, diag, tmp_path):
     parsed = R.parse_report(R.read_report(spark, path)).collect()
     assert all(r.valid for r in parsed) and len(parsed) == 3
     got = {r.attempt_id: r for r in parsed}
-    r = got["appattempt_1580812675067_5023_000001"]
+    r = got["appattempt_1580812675067_8123_000001"]
     assert (r.user, r.start_time, r.end_time, r.error_category, r.exception, r.stage, r.source_line) == (
-        "basil", "2020-04-07 15:58:18,644", "2020-04-07 15:59:32,625", 4, "org.apache.spark.SparkException", 0, 24)
+        "mira", "2020-04-07 15:58:18,644", "2020-04-07 15:59:32,625", 4, "org.apache.spark.SparkException", 0, 24)
     assert [(c.container, c.host) for c in r.containers] == [
-        ("container_e02_1580812675067_5023_01_000001", "iccluster056.iccluster.epfl.ch"),
-        ("container_e02_1580812675067_5023_01_000002", "iccluster057.iccluster.epfl.ch"),
-        ("container_e02_1580812675067_5023_01_000003", "iccluster056.iccluster.epfl.ch")]
-    r = got["appattempt_1580812675067_5030_000002"]
+        ("container_e02_1580812675067_8123_01_000001", "iccluster041.iccluster.epfl.ch"),
+        ("container_e02_1580812675067_8123_01_000002", "iccluster042.iccluster.epfl.ch"),
+        ("container_e02_1580812675067_8123_01_000003", "iccluster041.iccluster.epfl.ch")]
+    r = got["appattempt_1580812675067_8130_000002"]
     assert (r.exception, r.containers) == ("N/A", [])
     summary = R.validate_report(R.parse_report(R.read_report(spark, path))).first()
     assert (summary.n_blocks, summary.n_invalid, summary.accepted) == (3, 0, True)
 
 
 def test_single_file_report_is_accepted(spark, write_text):
-    path = write_text("report.txt", BLOCK_5023 + BLOCK_5023.replace("5023", "5024"))
+    path = write_text("report.txt", BLOCK_8123 + BLOCK_8123.replace("8123", "8124"))
     parsed = R.parse_report(R.read_report(spark, path)).collect()
     assert [r.valid for r in parsed] == [True, True]
 
@@ -68,15 +68,15 @@ def test_single_file_report_is_accepted(spark, write_text):
 @pytest.mark.parametrize("damage", DAMAGE)
 def test_damaged_block_is_quarantined(spark, write_text, damage):
     a, b = damage
-    path = write_text("bad.txt", BLOCK_5023 + BLOCK_5023.replace("5023", "5024").replace(a, b))
+    path = write_text("bad.txt", BLOCK_8123 + BLOCK_8123.replace("8123", "8124").replace(a, b))
     parsed = R.parse_report(R.read_report(spark, path))
     flags = sorted((r.attempt_ref, r.valid) for r in parsed.collect())
-    assert flags == [("appattempt_1580812675067_5023_000001", True), ("appattempt_1580812675067_5024_000001", False)]
+    assert flags == [("appattempt_1580812675067_8123_000001", True), ("appattempt_1580812675067_8124_000001", False)]
     s = R.validate_report(parsed).first()
     assert (s.n_blocks, s.n_invalid, s.accepted) == (2, 1, False)
 
 
 def test_text_before_first_block_is_rejected(spark, write_text):
-    path = write_text("lead.txt", "garbage" + BLOCK_5023)
+    path = write_text("lead.txt", "garbage" + BLOCK_8123)
     flags = [r.valid for r in R.parse_report(R.read_report(spark, path)).collect()]
     assert sorted(flags) == [False, True]

@@ -96,9 +96,9 @@ def test_users_beyond_ten_thousand(spark, tmp_path):
 
 def test_report_block_with_many_containers(spark, tmp_path):
     host = "iccluster040.iccluster.epfl.ch"
-    block = lambda n, a: (f"\n\nAppAttempt  : appattempt_1580812675067_5006_{a:06d}\n\nUser          : u\n\nStartTime     : 2020-04-07 15:58:18,644"
+    block = lambda n, a: (f"\n\nAppAttempt  : appattempt_1580812675067_8106_{a:06d}\n\nUser          : u\n\nStartTime     : 2020-04-07 15:58:18,644"
                           "\n\nEndTime       : 2020-04-07 15:59:32,625\n\nContainers    : "
-                          + ", ".join(f"container_e02_1580812675067_5006_01_{i:06d} -> {host}" for i in range(n))
+                          + ", ".join(f"container_e02_1580812675067_8106_01_{i:06d} -> {host}" for i in range(n))
                           + "\n\nErrorCategory : 4\n\nException     : java.io.IOException\n\nStage         : 0\n\nSourceCodeLine: 24 ")
     path = tmp_path / "report.txt"
     path.write_text(block(50_000, 1) + block(0, 2) + block(2, 3).replace(" -> ", " => ") + block(1, 4))

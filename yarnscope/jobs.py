@@ -23,10 +23,11 @@ from .operators import questions as Q
 from .operators import report as R
 from .operators import workloads as W
 from .operators.classify import classify_attempts
+from .operators.condense import read_long_records
 from .operators.lines import parse_rm_lines
 from .session import materialize
 from .sources import csv as C
-from .sources.text import position, read_lines, read_records
+from .sources.text import position, read_lines
 
 
 def run_reconstruction(spark: SparkSession, rm_log: str | list[str], *,
@@ -48,10 +49,13 @@ def run_reconstruction(spark: SparkSession, rm_log: str | list[str], *,
 def failure_report(spark: SparkSession, rm_log: str | list[str], container_logs: str | list[str],
                    first_id: int, last_id: int, *, out: str | None = None,
                    delimiter: str = RECORD_DELIMITER, fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
-    """Diagnose the failed attempts of applications ``first_id..last_id``."""
+    """Diagnose the failed attempts of applications ``first_id..last_id``.
+
+    Container logs are read by lines, so a container's log may have any size.
+    """
     rng = (int(first_id), int(last_id))
     lines = parse_rm_lines(read_lines(spark, rm_log), with_exit_code=True, app_range=rng, fmt=fmt)
-    diag = classify_attempts(read_records(spark, container_logs, delimiter), lines, app_range=rng, fmt=fmt)
+    diag = classify_attempts(read_long_records(spark, container_logs, delimiter), lines, app_range=rng, fmt=fmt)
     if out is not None:
         diag = materialize(diag, "diagnosis")  # sorting, writing and the caller read it
         R.write_report(R.failure_blocks(diag, fmt), out, ["app_id", "attempt_nb"])

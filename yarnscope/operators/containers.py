@@ -24,8 +24,8 @@ RECORD_KEY = ["app_num", "attempt_nb"]
 
 
 def keyed_records(records: DataFrame, *, app_range: tuple[int, int] | None = None,
-                  fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
-    """``(value, pos)`` -> ``(app_num, attempt_nb, cid, host, is_drv_header, value, pos)``."""
+                  fmt: LogFormat = DEFAULT_FORMAT, keep: list[str] | None = None) -> DataFrame:
+    """``(value, pos)`` -> ``(app_num, attempt_nb, cid, host, is_drv_header, value, pos)`` and the columns of ``keep``."""
     p = fmt.container_log
     v = F.col("value")
     out = (records.where(v.rlike(p["header_app"]))
@@ -34,7 +34,7 @@ def keyed_records(records: DataFrame, *, app_range: tuple[int, int] | None = Non
                    F.regexp_extract(v, p["header_container"], 1).try_cast("int").alias("cid"),
                    F.regexp_extract(v, p["header_container"], 2).alias("host"),
                    v.rlike(p["driver_header"]).alias("is_drv_header"),
-                   v, F.col("pos")))
+                   v, F.col("pos"), *(keep or [])))
     if app_range is not None:
         out = out.where(F.col("app_num").between(int(app_range[0]), int(app_range[1])))
     return out

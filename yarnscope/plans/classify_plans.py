@@ -14,25 +14,31 @@ from pyspark.sql import functions as F
 from ..operators import attempts as A
 from ..operators import report as R
 from ..operators.classify import classify_attempts
+from ..operators.condense import read_long_records
 from .classify_cases import CASES
 from .log_plans import FULL_RANGE, WITH_ALL, classifier_lines
 from ..sources.text import read_records
 from .render import container_log_path
 
 
-def diagnosis(spark: SparkSession, sf_dir: str):
-    records = read_records(spark, container_log_path(spark, sf_dir))
+def diagnosis(spark: SparkSession, sf_dir: str, read=read_records):
+    records = read(spark, container_log_path(spark, sf_dir))
     return classify_attempts(records, classifier_lines(spark, sf_dir), app_range=FULL_RANGE)
 
 
-def q_classify(spark, sf_dir):
-    return diagnosis(spark, sf_dir).select(
+def q_classify(spark, sf_dir, read=read_records):
+    return diagnosis(spark, sf_dir, read).select(
         "app_id", F.col("attempt_nb").cast("bigint"), "user", "start_time", "end_time",
         A.containers_text().alias("containers"),
         *[F.col(c).cast("bigint").alias(c) for c in ("error_category",)], "exception",
         F.col("stage").cast("bigint"), F.col("source_line").cast("bigint"))
 
 
+def q_classify_by_lines(spark, sf_dir):
+    """The same from condensed records: container logs of any size."""
+    return q_classify(spark, sf_dir, read_long_records)
+
+
 def q_report_text(spark, sf_dir):
     return R.failure_blocks(diagnosis(spark, sf_dir)).select(
         "app_id", F.col("attempt_nb").cast("bigint"), "text")
@@ -40,6 +46,7 @@ def q_report_text(spark, sf_dir):
 
 QUERIES = {
     "classify": q_classify,
+    "classify_by_lines": q_classify_by_lines,
     "report_text": q_report_text,
 }
 
@@ -89,3 +96,4 @@ ORACLE = {
                       f.error_category, f.exception, f.stage, f.source_line) AS text
         FROM failed f LEFT JOIN rcs ON f.app_id = rcs.app_id AND f.attempt_nb = rcs.attempt_nb""",
 }
+ORACLE["classify_by_lines"] = ORACLE["classify"]

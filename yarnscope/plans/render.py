@@ -93,25 +93,36 @@ def case_index(user_id: Column, attempt_nb: Column) -> Column:
     return (user_id * 3 + attempt_nb - 1) % len(CASES)
 
 
+def repeats(user_id: Column, attempt_nb: Column) -> Column:
+    """Further driver records of an attempt: two for one in six, one for another in six."""
+    turn = (user_id + attempt_nb) % 6
+    return F.when(turn == 0, 2).when(turn == 1, 1).otherwise(0)
+
+
 def container_log_records(events: DataFrame, cluster: str = DEFAULT_CLUSTER) -> DataFrame:
     """``(value, pos)`` aggregated container-log records, per attempt of ``events``.
 
     Attempts are ``(user_id, event_id % 3 + 1)``, found with a partial
-    aggregate. Each attempt gets a driver record (container 1), the case's
-    executor record (container 2) when it has one, and an idle executor
+    aggregate. Each attempt gets a driver record (container 1; some have one
+    or two more, see ``repeats``), the case's executor record (container 2) when it has one, and an idle executor
     record (container 3); the case follows ``case_index``.
     """
-    from .classify_cases import CASES, DRIVER_FILLER, EXECUTOR_FILLER, IDLE_EXECUTOR
+    from .classify_cases import CASES, DRIVER_DECOY, DRIVER_FILLER, EXECUTOR_FILLER, FIRST_DECIDES, IDLE_EXECUTOR
 
     att = (events.groupBy(F.col("user_id"), (F.col("event_id") % 3 + 1).alias("attempt_nb"))
            .agg(F.min("ts").alias("t0")))
     idx = case_index(F.col("user_id"), F.col("attempt_nb")) + 1
     drv = F.element_at(F.array(*[F.lit(c[1]) for c in CASES]), idx.cast("int"))
     exe = F.element_at(F.array(*[F.lit(c[2] or "") for c in CASES]), idx.cast("int"))
+    # repeated records of a container: one or two more driver records that name another diagnosis; they
+    # stand behind the case where the first record decides and before it where the last one does
+    again = repeats(F.col("user_id"), F.col("attempt_nb"))
+    first_decides = F.element_at(F.array(*[F.lit(c[3][0] in FIRST_DECIDES) for c in CASES]), idx.cast("int"))
     recs = F.array(
-        F.struct(F.lit(1).alias("cid"), F.concat(F.lit(DRIVER_FILLER), drv).alias("body")),
-        F.when(exe != "", F.struct(F.lit(2).alias("cid"), F.concat(F.lit(EXECUTOR_FILLER), exe).alias("body"))),
-        F.struct(F.lit(3).alias("cid"), F.lit(IDLE_EXECUTOR).alias("body")),
+        F.struct(F.lit(1).alias("cid"), F.lit(0).alias("turn"), F.concat(F.lit(DRIVER_FILLER), drv).alias("body")),
+        *[F.when(again >= n, F.struct(F.lit(1).alias("cid"), F.when(first_decides, n).otherwise(-n).alias("turn"), F.lit(DRIVER_DECOY).alias("body"))) for n in (1, 2)],
+        F.when(exe != "", F.struct(F.lit(2).alias("cid"), F.lit(0).alias("turn"), F.concat(F.lit(EXECUTOR_FILLER), exe).alias("body"))),
+        F.struct(F.lit(3).alias("cid"), F.lit(0).alias("turn"), F.lit(IDLE_EXECUTOR).alias("body")),
     )
     app = _digits(F.col("user_id"), 4)
     n2 = _digits(F.col("attempt_nb"), 2)
@@ -126,7 +137,7 @@ def container_log_records(events: DataFrame, cluster: str = DEFAULT_CLUSTER) ->
     for key, val in (("{T}", F.date_format(F.col("t0"), "yy/MM/dd HH:mm:ss")), ("{A}", app), ("{N2}", n2),
                      ("{C}", F.lit(cluster))):
         text = F.replace(text, F.lit(key), val)
-    seq = (F.col("user_id") * 3 + F.col("attempt_nb")) * 4 + F.col("r.cid")
+    seq = ((F.col("user_id") * 3 + F.col("attempt_nb")) * 4 + F.col("r.cid")) * 8 + F.col("r.turn")
     return exploded.select(text.alias("value"), synthetic_position("container_logs", seq).alias("pos"))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import report as R
+from ..operators.condense import read_long_records
 from ..operators.containers import keyed_records
 from ..session import scratch_path
 from ..sources.text import read_records
@@ -78,6 +79,12 @@ def q_container_records(spark, sf_dir):
                         F.length("value").cast("bigint").alias("n_chars"))
 
 
+def q_container_records_by_lines(spark, sf_dir):
+    """The same from condensed records; their length is that of the whole ones."""
+    keyed = keyed_records(read_long_records(spark, container_log_path(spark, sf_dir)), keep=["n_chars"])
+    return keyed.select(F.col("app_num").cast("bigint"), F.col("attempt_nb").cast("bigint"), F.col("cid").cast("bigint"), "host", "is_drv_header", "n_chars")
+
+
 def q_record_scan(spark, sf_dir):
     """Every document as one star-delimited record, read back whole."""
     recs = read_records(spark, document_records_path(spark, sf_dir))
@@ -90,6 +97,7 @@ QUERIES = {
     "report_quarantine": q_report_quarantine,
     "report_validation": q_report_validation,
     "container_records": q_container_records,
+    "container_records_by_lines": q_container_records_by_lines,
 }
 
 # A block parses when its user and both timestamps are present (the report
@@ -100,7 +108,7 @@ _ATTEMPT_REF = "'appattempt_1580812675067_' || app_id || '_' || lpad(CAST(attemp
 
 
 def _container_records_sql() -> str:
-    from .classify_cases import CASES, DRIVER_FILLER, EXECUTOR_FILLER, IDLE_EXECUTOR
+    from .classify_cases import CASES, DRIVER_DECOY, DRIVER_FILLER, EXECUTOR_FILLER, IDLE_EXECUTOR
     n = len(CASES)
     with_exec = ", ".join(str(i) for i, c in enumerate(CASES) if c[2])
     # an application number of more than four digits makes the header longer
@@ -117,12 +125,14 @@ def _container_records_sql() -> str:
     return f"""
         WITH a AS (SELECT DISTINCT user_id, event_id % 3 + 1 AS attempt_nb FROM events),
              r AS (SELECT user_id, attempt_nb, cid, (user_id * 3 + attempt_nb - 1) % {n} AS k
-                   FROM a, (VALUES (1), (2), (3)) c(cid))
+                   FROM a, (VALUES (1), (2), (3)) c(cid)
+                   UNION ALL SELECT user_id, attempt_nb, 1, -1 FROM a WHERE (user_id + attempt_nb) % 6 < 2
+                   UNION ALL SELECT user_id, attempt_nb, 1, -1 FROM a WHERE (user_id + attempt_nb) % 6 = 0)
         SELECT CAST(user_id AS BIGINT) AS app_num, CAST(attempt_nb AS BIGINT) AS attempt_nb,
                CAST(cid AS BIGINT) AS cid,
                'iccluster' || lpad(CAST(40 + (user_id + cid) % 20 AS VARCHAR), 3, '0') || '.iccluster.epfl.ch' AS host,
                cid = 1 AS is_drv_header,
-               CAST({header_len} + 1 + greatest(0, length(CAST(user_id AS VARCHAR)) - 4) * (1 + CASE WHEN cid = 1 THEN CASE k {drv_a} END WHEN cid = 2 THEN CASE k {exe_a} END ELSE {IDLE_EXECUTOR.count("{A}")} END) + CASE WHEN cid = 1 THEN CASE k {drv} END
+               CAST({header_len} + 1 + greatest(0, length(CAST(user_id AS VARCHAR)) - 4) * (1 + CASE WHEN cid = 1 THEN CASE k {drv_a} ELSE 0 END WHEN cid = 2 THEN CASE k {exe_a} END ELSE {IDLE_EXECUTOR.count("{A}")} END) + CASE WHEN cid = 1 THEN CASE k {drv} ELSE {filled(DRIVER_DECOY)} END
                                          WHEN cid = 2 THEN CASE k {exe} END
                                          ELSE {filled(IDLE_EXECUTOR)} END AS BIGINT) AS n_chars
         FROM r WHERE cid <> 2 OR k IN ({with_exec})"""
@@ -162,3 +172,4 @@ ORACLE = {
         FROM failed""",
     "container_records": _container_records_sql(),
 }
+ORACLE["container_records_by_lines"] = ORACLE["container_records"]

@@ -209,3 +209,19 @@ def test_result_getter_with_scheduler_error_is_not_rule_4(spark):
            "java.lang.OutOfMemoryError: Java heap space\n{T} ERROR TaskResultGetter: Exception while getting result\n"
            "{T} ERROR YarnClusterScheduler: something else")
     assert diagnose_records(spark, [record(7206, 1, drv)])[7206] == (7, "java.lang.OutOfMemoryError", -1, -1)
+
+
+def test_rendered_repeats_tell_the_first_record_from_the_last(spark):
+    """Every repeated driver record of the rendered logs gives another diagnosis if first and last are swapped."""
+    from yarnscope.plans.classify_cases import DRIVER_DECOY, FIRST_DECIDES
+    for swapped in (False, True):
+        recs = []
+        for i, (_, drv, exe, expected) in enumerate(CASES):
+            group = [record(7300 + i, 1, DRIVER_FILLER + drv), record(7300 + i, 1, DRIVER_DECOY)]
+            recs += group if (expected[0] in FIRST_DECIDES) != swapped else group[::-1]
+            if exe:
+                recs.append(record(7300 + i, 2, EXECUTOR_FILLER + exe))
+        got = diagnose_records(spark, recs)
+        for i, (name, _, _, expected) in enumerate(CASES):
+            same = got[7300 + i] == expected
+            assert same if not swapped else (not same or expected[0] == 2), name

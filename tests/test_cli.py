@@ -26,7 +26,7 @@ def read_parts(folder):
 def test_failure_report_and_validation(write_text, tmp_path):
     logs = "".join(r + RECORD_DELIMITER for r in [record(8106, 1, DRIVER_FILLER + CASES[6][1])])
     out = str(tmp_path / "report")
-    r = run("failure-report", write_text("rm.log", RM), write_text("logs.txt", logs), "5000", "5010", out)
+    r = run("failure-report", write_text("rm.log", RM), write_text("logs.txt", logs), "8100", "8110", out)
     assert r.returncode == 0, r.stderr[-2000:]
     assert "ErrorCategory : 4" in read_parts(out)
     r = run("validate-report", out)
@@ -35,7 +35,7 @@ def test_failure_report_and_validation(write_text, tmp_path):
 
 def test_run_report(write_text, tmp_path):
     out = str(tmp_path / "run")
-    r = run("run-report", write_text("rm.log", RM), out, "--first", "5000", "--last", "5010")
+    r = run("run-report", write_text("rm.log", RM), out, "--first", "8100", "--last", "8110")
     assert r.returncode == 0, r.stderr[-2000:]
     apps = read_parts(os.path.join(out, "applications"))
     assert apps.startswith("ApplicationId : application_1580812675067_8106\n\nUser          : mira")

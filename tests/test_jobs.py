@@ -17,7 +17,7 @@ def test_run_reconstruction(spark, write_text):
 def test_failure_report_written_and_validated(spark, write_text, tmp_path):
     logs = "".join(r + RECORD_DELIMITER for r in [record(8106, 1, DRIVER_FILLER + CASES[6][1])])
     out = str(tmp_path / "report")
-    diag = jobs.failure_report(spark, write_text("rm.log", RM), write_text("logs.txt", logs), 5000, 5010, out=out)
+    diag = jobs.failure_report(spark, write_text("rm.log", RM), write_text("logs.txt", logs), 8100, 8110, out=out)
     assert [(r.app_id, r.error_category) for r in diag.collect()] == [("8106", 4)]
     v = jobs.validate_report(spark, out)
     s = v["summary"].first()
@@ -26,7 +26,7 @@ def test_failure_report_written_and_validated(spark, write_text, tmp_path):
 
 def test_failure_report_range_excludes(spark, write_text):
     logs = "".join(r + RECORD_DELIMITER for r in [record(8106, 1, DRIVER_FILLER + CASES[6][1])])
-    diag = jobs.failure_report(spark, write_text("rm.log", RM), write_text("logs.txt", logs), 8107, 5010)
+    diag = jobs.failure_report(spark, write_text("rm.log", RM), write_text("logs.txt", logs), 8107, 8110)
     assert diag.count() == 0
 
 

@@ -102,3 +102,37 @@ def test_hot_attempt_holding_a_third_of_the_lines(spark, write_text, tiny_splits
     assert len(atts) == 1
     assert atts[0].start_time == last_launch
     assert {(c.id, c.host) for c in atts[0].containers} == hosts
+
+
+def test_rotated_files_in_order_of_their_first_timestamp(spark, tmp_path, tiny_splits):
+    text, expected = random_log(4, 600)
+    lines = text.splitlines(keepends=True)
+    whole = tmp_path / "one"
+    rotated = tmp_path / "rotated"
+    for d in (whole, rotated):
+        d.mkdir()
+    (whole / "rm.log").write_text(text)
+    # .log is the newest, .log.11 the oldest; the second line of a file may be the first with a timestamp
+    for i in range(12):
+        part = "".join(lines[50 * i:50 * i + 50])
+        (rotated / ("rm.log" if i == 11 else f"rm.log.{11 - i}")).write_text(("continued\n" if i % 2 else "") + part)
+
+    def attempts(path, **how):
+        out = A.attempts_of(A.line_groups(parse_rm_lines(read_lines(spark, str(path), **how), with_exit_code=True)))
+        return sorted(tuple(map(str, r)) for r in out.collect())
+
+    assert attempts(rotated, by_time=True) == attempts(whole)
+    assert attempts(rotated) != attempts(whole)
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_least_number_of_scan_partitions(spark, tmp_path, files):
+    for i in range(files):
+        (tmp_path / f"{i}.log").write_text("a line of a log\n" * 3000)
+    before = dict(spark.conf.getAll)
+    fine = read_lines(spark, str(tmp_path), min_partitions=40)
+    assert fine.rdd.getNumPartitions() >= 40 > read_lines(spark, str(tmp_path)).rdd.getNumPartitions()
+    # the wish belongs to the scan, also inside a plan of the caller's session
+    joined = spark.range(1).crossJoin(fine.select("value"))
+    assert joined.rdd.getNumPartitions() >= 40 and joined.count() == 3000 * files
+    assert dict(spark.conf.getAll) == before

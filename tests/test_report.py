@@ -80,3 +80,23 @@ def test_text_before_first_block_is_rejected(spark, write_text):
     path = write_text("lead.txt", "garbage" + BLOCK_8123)
     flags = [r.valid for r in R.parse_report(R.read_report(spark, path)).collect()]
     assert sorted(flags) == [False, True]
+
+
+@pytest.mark.parametrize(("a", "b", "field", "at"), [
+    ("appattempt_", "attempt_", "AppAttempt", ":"), ("User ", "Usr ", "User", "Usr"), ("mira", "M", "User", "User"), ("StartTime  ", "Start ", "StartTime", "Start "),
+    ("EndTime       :", "EndTime       ;", "EndTime", "EndTime"), ("Containers ", "Container ", "Containers", "Container "),
+    (" -> iccluster042", " => iccluster042", "Containers", "container_e02_1580812675067_8123_01_000002"),
+    ("ErrorCategory : 4", "ErrorCategory : x", "ErrorCategory", "ErrorCategory"), ("Exception     : org", "Exception     : 9", "Exception", "Exception"),
+    ("Stage         : 0", "Stage         : z", "Stage", "Stage"), ("SourceCodeLine: 24", "SourceCodeLine: l", "SourceCodeLine", "SourceCodeLine"),
+    ("SourceCodeLine: 24 ", "SourceCodeLine: 24 more", "end", "more")])
+def test_place_inside_a_damaged_block(spark, write_text, a, b, field, at):
+    text = BLOCK_8123.replace(a, b, 1)
+    assert text != BLOCK_8123
+    parsed = R.parse_report(R.read_report(spark, write_text("bad.txt", BLOCK_8123 + text)))
+    rows = parsed.orderBy("pos").collect()
+    assert rows[0].valid and rows[0].misfit is None and not rows[1].valid
+    inside = text.split("AppAttempt", 1)[1]
+    where = inside.index(at, inside.index("_000001") + 8 if field == "Containers" and at.startswith("container_") else 0)
+    assert (rows[1].misfit.field, rows[1].misfit["at"]) == (field, where)
+    s = R.validate_report(parsed).first()
+    assert (s.first_invalid_block, s.first_invalid_field, s.first_invalid_offset) == (2, field, where)

@@ -52,7 +52,7 @@ def test_line_fields(spark, rm_path):
 
 
 def test_app_range_filter(spark, rm_path):
-    lines = parse_rm_lines(read_lines(spark, rm_path), app_range=(5024, 8130))
+    lines = parse_rm_lines(read_lines(spark, rm_path), app_range=(8124, 8130))
     assert {r.app_id for r in lines.collect()} == {"8130"}
 
 

@@ -31,11 +31,12 @@ from .sources.text import position, read_lines
 
 
 def run_reconstruction(spark: SparkSession, rm_log: str | list[str], *,
-                       report_range: tuple[int, int] = (121, 130),
+                       report_range: tuple[int, int] = (121, 130), by_time: bool = False,
                        fmt: LogFormat = DEFAULT_FORMAT) -> dict[str, DataFrame]:
     """Applications and attempts of a resource-manager log, the application
-    report for ``report_range`` (inclusive) and the question lines."""
-    groups = materialize(A.line_groups(parse_rm_lines(read_lines(spark, rm_log), with_exit_code=False, fmt=fmt)),
+    report for ``report_range`` (inclusive) and the question lines. ``by_time``
+    orders rotated files by their first timestamp instead of their names."""
+    groups = materialize(A.line_groups(parse_rm_lines(read_lines(spark, rm_log, by_time=by_time), with_exit_code=False, fmt=fmt)),
                          "run-groups")
     apps, atts = A.applications_of(groups), A.attempts_of(groups)
     full = A.applications_with_attempts(apps, atts)
@@ -47,14 +48,14 @@ def run_reconstruction(spark: SparkSession, rm_log: str | list[str], *,
 
 
 def failure_report(spark: SparkSession, rm_log: str | list[str], container_logs: str | list[str],
-                   first_id: int, last_id: int, *, out: str | None = None,
+                   first_id: int, last_id: int, *, out: str | None = None, by_time: bool = False,
                    delimiter: str = RECORD_DELIMITER, fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
     """Diagnose the failed attempts of applications ``first_id..last_id``.
 
     Container logs are read by lines, so a container's log may have any size.
     """
     rng = (int(first_id), int(last_id))
-    lines = parse_rm_lines(read_lines(spark, rm_log), with_exit_code=True, app_range=rng, fmt=fmt)
+    lines = parse_rm_lines(read_lines(spark, rm_log, by_time=by_time), with_exit_code=True, app_range=rng, fmt=fmt)
     diag = classify_attempts(read_long_records(spark, container_logs, delimiter), lines, app_range=rng, fmt=fmt)
     if out is not None:
         diag = materialize(diag, "diagnosis")  # sorting, writing and the caller read it

@@ -73,12 +73,58 @@ def read_report(spark: SparkSession, path: str, fmt: LogFormat = DEFAULT_FORMAT)
             .select("value", position().alias("pos")))
 
 
+#: Names of the fields of a block, in order; the first is the keyword itself.
+FIELDS = ("AppAttempt", "User", "StartTime", "EndTime", "Containers", "ErrorCategory", "Exception", "Stage", "SourceCodeLine")
+
+
+def _fields(block: str) -> list[str]:
+    """The block pattern up to and with each field, the last one without the end of the block."""
+    out, at = [], 0
+    for name in FIELDS[1:]:
+        at = block.index(rf"\s+{name}\s*:", at)
+        out.append(block[:at])
+    return [*out, block.removesuffix(r"\s*$")]
+
+
+def misfit(v: Column, items: Column, fmt: LogFormat = DEFAULT_FORMAT) -> Column:
+    """``(field, at)`` of the first field of a block that does not fit, as its character offset in the block; null for a block that fits.
+
+    The pattern is matched field by field: the longest prefix that matches
+    ends where the offending field begins. Of a container list it is the first
+    pair that does not fit. Text behind the last field is named ``end``.
+    """
+    prefixes, pair = _fields(fmt.report["block"]), fmt.report["container_pair"]
+
+    def behind(prefix: str) -> Column:
+        return F.length(F.regexp_extract(v, prefix + r"\s*", 0))
+
+    def found(name: str, at: Column) -> Column:
+        return F.struct(F.lit(name).alias("field"), at.cast("int").alias("at"))
+
+    bad = F.array_position(F.transform(items, lambda s: s.rlike(pair)), False)
+    before = F.aggregate(F.slice(items, 1, F.greatest(F.lit(1), bad).cast("int") - 1), F.lit(0), lambda n, s: n + F.length(s) + 1)
+    pair_at = F.element_at(items, F.greatest(F.lit(1), bad).cast("int"))
+    chain = F.when(~v.rlike(prefixes[0]), found(FIELDS[0], behind("^")))
+    for i in range(1, len(prefixes)):
+        at = behind(prefixes[i - 1])
+        if FIELDS[i - 1] == "Containers":  # its pattern takes as little as it can: the next label is the word before the next colon
+            label = F.length(F.regexp_extract(v, prefixes[i - 2] + r"\s+Containers\s*:[^:]*\s(?=[^\s:]+\s*:)", 0))
+            at = F.when(label > 0, label).otherwise(at)
+        chain = chain.when(~v.rlike(prefixes[i]), found(FIELDS[i], at))
+        if FIELDS[i] == "Containers":
+            chain = chain.when(bad > 0, found("Containers", behind(prefixes[i]) + before + F.length(pair_at) - F.length(F.ltrim(pair_at))))
+    return chain.when(~v.rlike(fmt.report["block"]), found("end", behind(prefixes[-1])))
+
+
 def parse_report(records: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFrame:
-    """Blocks -> ``(pos, valid, attempt_id, user, start_time, end_time,
+    """Blocks -> ``(pos, valid, misfit struct<field, at>, attempt_id, user, start_time, end_time,
     containers array<struct<container, host>>, error_category, exception, stage, source_line)``.
 
     The text before the first keyword must be blank; every later record must
-    match the block pattern as a whole. Invalid blocks keep NULL fields.
+    match the block pattern as a whole. Invalid blocks keep NULL fields, and
+    ``misfit`` names the first one that does not fit and its offset in the
+    block, counted from the end of the keyword (``start`` for other text
+    before the first keyword).
     """
     p = fmt.report["block"]
     v = F.col("value")
@@ -104,7 +150,8 @@ def parse_report(records: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFra
                            F.regexp_extract(s, pair, 2).alias("host"))))
     loose = F.regexp_extract(v, fmt.report["attempt_ref"], 0)
     return blocks.select(
-        "pos", "valid", F.when(loose != "", loose).alias("attempt_ref"),
+        "pos", "valid", F.when(F.col("_lead"), F.struct(F.lit("start").alias("field"), F.length(F.regexp_extract(v, r"^\s*", 0)).alias("at")))
+        .when(~F.col("valid"), misfit(v, F.col("_items"), fmt)).alias("misfit"), F.when(loose != "", loose).alias("attempt_ref"),
         g(1).alias("attempt_id"), g(2).alias("user"), g(3).alias("start_time"), g(4).alias("end_time"),
         pairs.alias("containers"),
         g(6).try_cast("int").alias("error_category"), g(7).alias("exception"),
@@ -112,13 +159,14 @@ def parse_report(records: DataFrame, fmt: LogFormat = DEFAULT_FORMAT) -> DataFra
 
 
 def validate_report(parsed: DataFrame) -> DataFrame:
-    """One row: ``(n_blocks, n_invalid, first_invalid_path, first_invalid_block, first_invalid_ref, accepted)``.
+    """One row: ``(n_blocks, n_invalid, first_invalid_path, first_invalid_block, first_invalid_ref, first_invalid_field, first_invalid_offset, accepted)``.
 
     The report is accepted only when every block parses. The first offending
     block is given by its file, its number among the file's blocks (from 1,
-    whatever the splits) and the attempt it names, if any.
+    whatever the splits), the attempt it names, if any, and the field and
+    offset inside it.
     """
-    bad = parsed.where(~F.col("valid")).agg(F.min(F.struct("pos", "attempt_ref")).alias("b"))
+    bad = parsed.where(~F.col("valid")).agg(F.min(F.struct("pos", "attempt_ref", "misfit")).alias("b"))
     before = parsed.join(F.broadcast(bad.select(F.col("b.pos").alias("_at"))), F.col("pos") <= F.col("_at")) \
         .where(F.col("pos.path") == F.col("_at.path")).agg(F.count("*").alias("n"))
     return parsed.agg(
@@ -127,4 +175,6 @@ def validate_report(parsed: DataFrame) -> DataFrame:
         F.max(bad.select("b.pos.path").scalar()).alias("first_invalid_path"),
         F.max(F.nullif(before.select("n").scalar(), F.lit(0))).alias("first_invalid_block"),
         F.max(bad.select("b.attempt_ref").scalar()).alias("first_invalid_ref"),
+        F.max(bad.select("b.misfit.field").scalar()).alias("first_invalid_field"),
+        F.max(bad.select("b.misfit.at").scalar()).alias("first_invalid_offset"),
         (F.count_if(~F.col("valid")) == 0).alias("accepted"))

@@ -82,4 +82,4 @@ IDLE_EXECUTOR = "{T} INFO MemoryStore: MemoryStore started with capacity 366.3 M
 #: Categories that the first driver record decides; the last one decides the others.
 FIRST_DECIDES = (1, 3)
 #: A driver record of another diagnosis (category 4) for every case: it counts as the last record only.
-DRIVER_DECOY = FS + "\n{T} WARN TaskSetManager: Total size of results is bigger than spark.driver.maxResultSize\n"
+DRIVER_DECOY = "{T} INFO DAGScheduler: Final stage: ResultStage 9 (collect at App19.scala:91)\n{T} WARN TaskSetManager: Total size of results is bigger than spark.driver.maxResultSize\n"

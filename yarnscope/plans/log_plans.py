@@ -8,14 +8,14 @@ integer range; the run-reconstruction variant reads no exit codes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import attempts as A
 from ..operators import questions as Q
 from ..operators import report as R
 from ..operators.lines import INT_MAX, parse_rm_lines
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources.text import read_lines
 from .render import rm_log_path
 
@@ -52,7 +52,11 @@ def q_attempts_in_range(spark, sf_dir):
 
 def q_application_text_in_range(spark, sf_dir):
     from ..jobs import run_reconstruction
-    return run_reconstruction(spark, rm_log_path(spark, sf_dir), report_range=SOME_RANGE)["report"]
+    # written in its order and read back: ``place`` is where a block stands in the report
+    path = scratch_path(spark, "application-report")
+    run_reconstruction(spark, rm_log_path(spark, sf_dir), report_range=SOME_RANGE)["report"].write.parquet(path)
+    written = spark.read.parquet(path).select("app_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return written.select("app_id", "text", F.row_number().over(Window.orderBy("file", "row")).cast("bigint").alias("place"))
 
 
 def q_attempts(spark, sf_dir):
@@ -270,4 +274,4 @@ ORACLE = {
 
 _RANGE = f"WHERE CAST(app_id AS BIGINT) BETWEEN {SOME_RANGE[0]} AND {SOME_RANGE[1]}"
 ORACLE["attempts_in_range"] = f"SELECT * FROM ({ORACLE['attempts']}) {_RANGE}"
-ORACLE["application_text_in_range"] = f"SELECT * FROM ({ORACLE['application_text']}) {_RANGE}"
+ORACLE["application_text_in_range"] = f"SELECT *, row_number() OVER (ORDER BY app_id) AS place FROM ({ORACLE['application_text']}) {_RANGE}"

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.patterns import DEFAULT_CLUSTER
 from ..operators import report as R
 from ..operators.condense import read_long_records
 from ..operators.containers import keyed_records
@@ -64,12 +65,12 @@ def q_report_roundtrip(spark, sf_dir):
 
 
 def q_report_quarantine(spark, sf_dir):
-    return _written_report(spark, sf_dir, damage=True).select("attempt_ref", "valid")
+    return _written_report(spark, sf_dir, damage=True).select("attempt_ref", "valid", "misfit.field", F.col("misfit.at").cast("bigint").alias("char_at"))
 
 
 def q_report_validation(spark, sf_dir):
     return R.validate_report(_written_report(spark, sf_dir, damage=True)).select(
-        "n_blocks", "n_invalid", "accepted", "first_invalid_ref")
+        "n_blocks", "n_invalid", "accepted", "first_invalid_ref", "first_invalid_field", F.col("first_invalid_offset").cast("bigint"))
 
 
 def q_container_records(spark, sf_dir):
@@ -104,7 +105,7 @@ QUERIES = {
 # grammar has no empty user or time); attempts without a launch line have no
 # start time, so their blocks are rejected, as the grammar requires.
 _GRAMMAR_OK = "(f.\"user\" <> '' AND f.start_time <> '' AND f.end_time <> '')"
-_ATTEMPT_REF = "'appattempt_1580812675067_' || app_id || '_' || lpad(CAST(attempt_nb AS VARCHAR), 6, '0')"
+_ATTEMPT_REF = f"'appattempt_{DEFAULT_CLUSTER}_' || app_id || '_' || lpad(CAST(attempt_nb AS VARCHAR), 6, '0')"
 
 
 def _container_records_sql() -> str:
@@ -138,6 +139,22 @@ def _container_records_sql() -> str:
         FROM r WHERE cid <> 2 OR k IN ({with_exec})"""
 
 
+# every field label has 16 characters and a blank line before it; the block begins with "  : ", behind the keyword
+_JUDGED = _FAILED + f""",
+    rc AS (SELECT DISTINCT app_id, attempt_nb, container_id, container_host FROM rm
+           WHERE attempt_nb > 0 AND container_id IS NOT NULL AND NOT (exit_code = 0 AND is_launch)),
+    rcs AS (SELECT app_id, attempt_nb, sum(length(printf('container_e02_{DEFAULT_CLUSTER}_%s_%02d_%06d -> %s', app_id, attempt_nb, container_id, container_host)) + 2) - 2 AS n
+            FROM rc GROUP BY app_id, attempt_nb),
+    sized AS (SELECT f.*, {_ATTEMPT_REF.replace('app_id', 'f.app_id').replace('attempt_nb', 'f.attempt_nb')} AS attempt_ref, f.app_id || '_' || lpad(CAST(f.attempt_nb AS VARCHAR), 6, '0') AS place,
+                     CASE WHEN f.attempt_nb = 2 THEN CAST(f.app_id AS BIGINT) % 4 ELSE -1 END AS kind, coalesce(rcs.n, 0) AS listed
+              FROM failed f LEFT JOIN rcs ON f.app_id = rcs.app_id AND f.attempt_nb = rcs.attempt_nb),
+    judged AS (SELECT attempt_ref, place, field IS NULL AS valid, field,
+                      CAST(CASE WHEN field IS NOT NULL THEN 6 + length(attempt_ref) END
+                           + CASE field WHEN 'User' THEN 0 WHEN 'StartTime' THEN 18 + length("user") WHEN 'EndTime' THEN 36 + length("user") + length(start_time)
+                             ELSE 108 + length("user") + length(start_time) + length(end_time) + listed + length(CAST(error_category AS VARCHAR)) + length(exception) END AS BIGINT) AS char_at
+               FROM (SELECT *, CASE WHEN kind = 1 OR "user" = '' THEN 'User' WHEN kind = 2 OR start_time = '' THEN 'StartTime'
+                                    WHEN kind = 3 OR end_time = '' THEN 'EndTime' WHEN kind = 0 THEN 'Stage' END AS field FROM sized))"""
+
 ORACLE = {
     "record_scan": """SELECT md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars FROM documents""",
     "report_roundtrip": _FAILED + f""",
@@ -159,17 +176,12 @@ ORACLE = {
                CASE WHEN {_GRAMMAR_OK} THEN f.stage END AS stage,
                CASE WHEN {_GRAMMAR_OK} THEN f.source_line END AS source_line
         FROM failed f LEFT JOIN rcs ON f.app_id = rcs.app_id AND f.attempt_nb = rcs.attempt_nb""",
-    "report_quarantine": _FAILED + f"""
-        SELECT {_ATTEMPT_REF} AS attempt_ref, attempt_nb <> 2 AND {_GRAMMAR_OK.replace('f.', '')} AS valid
-        FROM failed""",
-    "report_validation": _FAILED + f"""
-        SELECT CAST(count(*) AS BIGINT) AS n_blocks,
-               CAST(count(*) FILTER (WHERE NOT (attempt_nb <> 2 AND {_GRAMMAR_OK.replace('f.', '')})) AS BIGINT)
-                 AS n_invalid,
-               count(*) FILTER (WHERE NOT (attempt_nb <> 2 AND {_GRAMMAR_OK.replace('f.', '')})) = 0 AS accepted,
-               arg_min({_ATTEMPT_REF}, app_id || '_' || lpad(CAST(attempt_nb AS VARCHAR), 6, '0'))
-                 FILTER (WHERE NOT (attempt_nb <> 2 AND {_GRAMMAR_OK.replace('f.', '')})) AS first_invalid_ref
-        FROM failed""",
+    "report_quarantine": _JUDGED + " SELECT attempt_ref, valid, field, char_at FROM judged",
+    "report_validation": _JUDGED + """
+        SELECT CAST(count(*) AS BIGINT) AS n_blocks, CAST(count(*) FILTER (WHERE NOT valid) AS BIGINT) AS n_invalid,
+               count(*) FILTER (WHERE NOT valid) = 0 AS accepted, arg_min(attempt_ref, place) FILTER (WHERE NOT valid) AS first_invalid_ref,
+               arg_min(field, place) FILTER (WHERE NOT valid) AS first_invalid_field, arg_min(char_at, place) FILTER (WHERE NOT valid) AS first_invalid_offset
+        FROM judged""",
     "container_records": _container_records_sql(),
 }
 ORACLE["container_records_by_lines"] = ORACLE["container_records"]

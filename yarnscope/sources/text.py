@@ -12,10 +12,10 @@ task (lost executor) reproduces it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.patterns import RECORD_DELIMITER
+from ..functions.patterns import RECORD_DELIMITER, RM
 
 POS_FIELDS = ("path", "block", "seq")
 
@@ -26,9 +26,53 @@ def position() -> Column:
                     F.monotonically_increasing_id().alias("seq"))
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per line: ``(value string, pos struct)``; splittable."""
-    return spark.read.text(path).select("value", position().alias("pos"))
+def split_session(spark: SparkSession, min_partitions: int | None) -> SparkSession:
+    """A session whose file scans have at least ``min_partitions`` partitions where the files' bytes allow it.
+
+    Spark derives the split size of a scan from the listed bytes and the least
+    number of partitions of the session that reads. The caller's session is
+    not touched: the scan belongs to a sibling with its settings and that one
+    more. ``None`` gives the caller's session.
+    """
+    if min_partitions is None:
+        return spark
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    sibling.conf.set("spark.sql.files.minPartitionNum", str(int(min_partitions)))
+    # the bytes of a split count with a surcharge a file, which would swallow the wish for small files
+    sibling.conf.set("spark.sql.files.openCostInBytes", "1")
+    return sibling
+
+
+def read_lines(spark: SparkSession, path: str | list[str], *, min_partitions: int | None = None, by_time: bool = False) -> DataFrame:
+    """One row per line: ``(value string, pos struct)``; splittable.
+
+    Files are in order of their paths, or ``by_time`` of the first timestamp in
+    them (rotated logs: ``.log.10`` is older than ``.log.2``); files without
+    one come first, equal ones by path. ``min_partitions`` asks for a finer scan.
+    """
+    lines = split_session(spark, min_partitions).read.text(path).select("value", position().alias("pos"))
+    return in_time_order(lines) if by_time else lines
+
+
+def in_time_order(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``pos.path`` replaced by the ordinal of the file, by the first timestamp in it.
+
+    One row per file is written and joined back; its bytes decide how. The
+    ordinal is zero-padded text, so positions compare as before.
+    """
+    from ..session import materialize
+
+    stamp = F.regexp_extract("value", RM["timestamp"], 1)
+    first = F.min_by(F.when(stamp != "", stamp), F.when(stamp != "", F.struct("pos.block", "pos.seq")))
+    files = lines.groupBy(F.col("pos.path").alias("_file")).agg(F.coalesce(first, F.lit("")).alias("_first"))
+    numbered = files.select("_file", F.row_number().over(Window.orderBy("_first", "_file")).alias("_n"))
+    numbered = materialize(numbered, "file-order")
+    path = F.lpad(F.col("_n").cast("string"), 10, "0")
+    return lines.join(numbered, F.col("pos.path") == F.col("_file")) \
+        .select("value", F.struct(path.alias("path"), F.col("pos.block").alias("block"), F.col("pos.seq").alias("seq")).alias("pos"))
 
 
 def read_records(spark: SparkSession, path: str | list[str], delimiter: str = RECORD_DELIMITER) -> DataFrame:

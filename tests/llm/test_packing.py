@@ -49,6 +49,18 @@ def test_edge_cases(frame):
     assert pieces(pack(frame([]))) == []
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\u3000 \t"])
+def test_megabytes_of_white_space(blank):
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        encode = packing.encoder(f.read(), public_tokenizers.PATTERN)
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    run = blank * (2_000_000 // len(blank))
+    for text in (run, "a" + run + "word's " + run + "<|endoftext|>" + run + "\u2028\x1c", run + "5" + " " * 20_000 + "é"):
+        assert encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_least_sum_of_squares():
     rng = np.random.default_rng(3)
     p = packing.Packer(window=16)

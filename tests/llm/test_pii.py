@@ -1,3 +1,4 @@
+import random
 import re
 
 from yarnscope.llm import pii
@@ -127,3 +128,15 @@ def test_surrogates_that_are_entities_move_on(frame):
         third = s.once("ip", second)
         assert got == {1: f"a {third} b", 2: f"c {third} d", 3: f"e {third} f"} or got[1].split()[1] != got[2].split()[1]
         assert got[1].split()[1] == got[3].split()[1] and second not in got[1]
+
+
+def test_addresses_equal_the_pattern_and_long_runs_are_quick():
+    import time
+    rng = random.Random(12)
+    for _ in range(20_000):
+        text = "".join(rng.choice(["a", "b1", "@", ".", "-", "+", " ", "_", "é", "com", "²"]) for _ in range(rng.randrange(14)))
+        assert [m.span() for m in pii._Addresses.finditer(text)] == [m.span() for m in pii._EMAIL.finditer(text)], text
+    t = time.time()
+    assert pii.find_entities("x" * 1_000_000 + " 1") == []
+    assert [e[2][0][1] for e in pii.find_entities("y" * 300_000 + " me@example.org 1 " + "@" * 100_000)] == ["me@example.org"]
+    assert time.time() - t < 20

@@ -75,3 +75,13 @@ def test_long_text(frame):
 
 def test_empty_table(frame):
     assert result(sd.remove_repeats(frame([]))) == []
+
+
+def test_texts_whose_short_hashes_collide(spark, frame):
+    """Rows without id whose texts have one 32-bit hash stay apart."""
+    from pyspark.sql import functions as F
+    seen = spark.range(300_000).select(F.concat(F.lit("unlike "), F.col("id").cast("string")).alias("t")).select("t", F.hash("t").alias("h"))
+    twin = seen.groupBy("h").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").first()
+    body = "the shared words of both texts, long enough"
+    rows = [(None, twin.a), (None, twin.b), (None, twin.a + body * 3), (None, twin.b + " other " + body), (None, twin.a)]
+    assert result(sd.remove_repeats(frame(rows), length=20, gram=6)) == brute(rows, 20)

@@ -270,7 +270,10 @@ def _rest(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     ranked = materialize(ranked, "prefixes")
     probes = ranked.where("probe").select("a", "token", F.col("b").alias("x"), F.col("of_b").alias("of_x"))
     others = ranked.where("other").select("a", "token", F.col("b").alias("y"), F.col("of_b").alias("of_y"))
-    found = probes.join(others, ["a", "token"]).where("of_x <> of_y").select("a", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    # components meet first, so that members of one component are not paired with each other
+    meet = probes.select("a", "token", "of_x").distinct().join(others.select("a", "token", "of_y").distinct(), ["a", "token"]) \
+        .where("of_x <> of_y").select("a", "of_x", "of_y").distinct()
+    found = probes.join(materialize(meet, "meet"), ["a", "of_x"]).join(others, ["a", "token", "of_y"]).select("a", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     side = lambda c: members.select("a", F.col("b").alias(c), F.col("n").alias(f"n_{c}"), F.col("score").alias(f"s_{c}"), F.col("diff").alias(f"d_{c}"))
     both = found.join(side("x"), ["a", "x"]).join(side("y"), ["a", "y"])
     return both.where(f"{100 + p} * size(array_intersect(d_x, d_y)) >= s_x + s_y - {100 - p} * n_x") \

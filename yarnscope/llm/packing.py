@@ -20,6 +20,7 @@ file of the same vocabulary is read, as its encoder is several times faster
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +40,41 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
 _DDL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+#: White space of the pattern in runs that its look-ahead may have no stack for.
+_BLANKS = re.compile("[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+_TAIL = r"\s+(?!\S)|\s+"
+
+
 def encoder(ranks: bytes, pattern: str):
-    """A function from text to token ids (numpy) for a rank file's content."""
+    """A function from text to token ids (numpy) for a rank file's content.
+
+    Very long white space makes the pattern's look-ahead fail. Such a text is
+    cut where the pattern cuts it: a run before a word is one piece but for
+    its last character, a run at the end is one piece.
+    """
     import tiktoken
 
     table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
     encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens=SPECIAL)
-    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
+    special = re.compile(f"({'|'.join(map(re.escape, SPECIAL))})")
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return encoding.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            if not pattern.endswith(_TAIL) or not _BLANKS.search(text):
+                raise
+        # a special string ends the text before it for the pattern
+        parts = special.split(text)
+        if len(parts) > 1:
+            return np.concatenate([encode(p) for p in parts])
+        out, at = [], 0
+        for m in _BLANKS.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            out += [encode(text[at:m.start()]), np.array(encoding._encode_single_piece(text[m.start():end]), np.uint32)]
+            at = end
+        return np.concatenate([*out, encode(text[at:])])
+    return encode
 
 
 class Packer:

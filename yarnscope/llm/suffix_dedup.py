@@ -40,9 +40,9 @@ GRAM = 24
 SHARD_BYTES = 2 << 20
 HOT = 4096
 
-_RAW = pa.schema([("doc_id", pa.int64()), ("check", pa.int32()), ("start", pa.int64()), ("size", pa.int64()),
+_RAW = pa.schema([("doc_id", pa.int64()), ("check", pa.int64()), ("start", pa.int64()), ("size", pa.int64()),
                   ("anchor", pa.int64()), ("content", pa.int64()), ("n", pa.int64())])
-_RAW_DDL = "doc_id long, check int, start long, size long, anchor long, content long, n long"
+_RAW_DDL = "doc_id long, check long, start long, size long, anchor long, content long, n long"
 
 
 # ---------------------------------------------------------------- regions
@@ -108,7 +108,7 @@ def _regions(length: int, gram: int):
                 drop = np.concatenate([np.zeros(k, bool), np.ones(m, bool)])
                 starts = np.concatenate([begin[pick], s_from]) - offsets[rows]
                 yield pa.RecordBatch.from_arrays([
-                    out_ids.cast(pa.int64()), pa.array(checks[first + rows], pa.int32()), pa.array(starts),
+                    out_ids.cast(pa.int64()), pa.array(checks[first + rows], pa.int64()), pa.array(starts),
                     pa.array(np.concatenate([size[pick], s_size])),
                     pa.array(np.concatenate([anchor[pick].view(np.int64), empty]), mask=drop),
                     pa.array(np.concatenate([content[pick].view(np.int64), empty]), mask=drop),
@@ -221,9 +221,9 @@ def repeated_windows(texts: list[bytes], windows: np.ndarray, length: int) -> tu
     return place, text, group[base[text] + place]
 
 
-_FOUND = pa.schema([("doc_id", pa.int64()), ("check", pa.int32()), ("start", pa.int64()), ("size", pa.int64()),
+_FOUND = pa.schema([("doc_id", pa.int64()), ("check", pa.int64()), ("start", pa.int64()), ("size", pa.int64()),
                     ("low", pa.int64()), ("high", pa.int64())])
-_FOUND_DDL = "doc_id long, check int, start long, size long, low long, high long"
+_FOUND_DDL = "doc_id long, check long, start long, size long, low long, high long"
 
 
 def _search(length: int):
@@ -281,7 +281,7 @@ def _merge(table: pa.Table) -> pa.Table:
 
 def _cut(batches):
     """Bytes of the asked regions of every text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("check", pa.int32()), ("start", pa.int64()), ("single", pa.bool_()),
+    schema = pa.schema([("doc_id", pa.int64()), ("check", pa.int64()), ("start", pa.int64()), ("single", pa.bool_()),
                         ("shard", pa.int64()), ("split", pa.bool_()), ("bytes", pa.binary())])
     for batch in batches:
         ids, checks, asked = batch.column("doc_id"), batch.column("check"), batch.column("asked")
@@ -332,7 +332,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     an id like any other. Further columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
-        .withColumn("check", F.hash("text"))
+        .withColumn("check", F.xxhash64("text"))
     raw = materialize(docs.select("doc_id", "check", "text").mapInArrow(_regions(length, gram), _RAW_DDL), "regions")
     regions = raw.where("anchor is not null")
     spans = [raw.where("anchor is null").select("doc_id", "check", "start", "size")]
@@ -358,16 +358,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     lists = asked.groupBy("doc_id", "check").agg(F.collect_list(F.struct("start", "size", "single", "shard", "split")).alias("asked"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["check"] == b["check"])
     cut = docs.join(lists, same(docs, lists)).select(docs["doc_id"], docs["check"], "text", "asked") \
-        .mapInArrow(_cut, "doc_id long, check int, start long, single boolean, shard long, split boolean, bytes binary")
+        .mapInArrow(_cut, "doc_id long, check long, start long, single boolean, shard long, split boolean, bytes binary")
     found = materialize(cut.groupBy("shard").applyInArrow(_search(length), _FOUND_DDL), "found")
     spans.append(found.where("low is null").select("doc_id", "check", "start", "size"))
     digests = found.where("low is not null")
     parts = max(1, digests.count() // 200_000)
-    spans.append(digests.groupBy(F.pmod(F.col("low"), F.lit(parts))).applyInArrow(_merge, "doc_id long, check int, start long, size long"))
+    spans.append(digests.groupBy(F.pmod(F.col("low"), F.lit(parts))).applyInArrow(_merge, "doc_id long, check long, start long, size long"))
 
     gone = spans[0]
     for more in spans[1:]:
         gone = gone.unionByName(more)
-    gone = gone.groupBy("doc_id", "check").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    # rows that share id and text share their spans: each is kept once
+    gone = gone.groupBy("doc_id", "check").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
     return docs.join(gone, same(docs, gone), "left").select(docs["doc_id"], "text", "spans") \
         .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

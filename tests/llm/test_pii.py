@@ -137,6 +137,6 @@ def test_addresses_equal_the_pattern_and_long_runs_are_quick():
         text = "".join(rng.choice(["a", "b1", "@", ".", "-", "+", " ", "_", "é", "com", "²"]) for _ in range(rng.randrange(14)))
         assert [m.span() for m in pii._Addresses.finditer(text)] == [m.span() for m in pii._EMAIL.finditer(text)], text
     t = time.time()
-    assert pii.find_entities("x" * 1_000_000 + " 1") == []
+    assert list(pii.find_entities("x" * 1_000_000 + " 1")) == []
     assert [e[2][0][1] for e in pii.find_entities("y" * 300_000 + " me@example.org 1 " + "@" * 100_000)] == ["me@example.org"]
     assert time.time() - t < 20

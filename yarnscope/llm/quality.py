@@ -46,7 +46,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     out = out.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")).drop("lines")
     # hashes of the 3-word windows; those that occur again, as the equal neighbours of a sorted copy
     out = out.withColumn("windows", F.when(F.col("n_words") < 3, F.array().cast("array<long>")).otherwise(F.expr(
-        "transform(sequence(0, size(words) - 3), i -> xxhash64(words[i], words[i + 1], words[i + 2]))")))
+        "transform(sequence(0, size(words) - 3), i -> xxhash64(get(words, i), get(words, i + 1), get(words, i + 2)))")))
     out = out.withColumn("ordered", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array("windows"))
                          .otherwise(F.array().cast("array<long>")))
     out = out.withColumn("again", F.expr("array_distinct(filter(ordered, (x, i) -> i > 0 and x = ordered[i - 1]))"))
@@ -84,7 +84,7 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def references(texts: DataFrame) -> DataFrame:
-    """``ref, top, ref_frequent``: the most frequent words of each language, sorted, and their counts with that of all other words.
+    """``ref, top, longest, ref_frequent``: the most frequent words of each language, sorted, the bytes of the longest one, and their counts with that of all other words.
 
     Languages of fewer than MIN_DOCUMENTS documents or MIN_WORDS words have no
     row; the row with null ``ref`` is the whole corpus. Counts are exact.
@@ -102,7 +102,7 @@ def references(texts: DataFrame) -> DataFrame:
     total = sizes.select(F.sum("words")).scalar()
     both = frequent.select("lang", "words", "word", "n").unionByName(whole).withColumn("words", F.coalesce("words", total))
     lists = both.groupBy(F.col("lang").alias("ref")).agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("w"), (F.max("words") - F.sum("n")).alias("other"))
-    return lists.select("ref", F.col("w.word").alias("top"), F.concat("w.n", F.array("other")).alias("ref_frequent"))
+    return lists.select("ref", F.col("w.word").alias("top"), F.array_max(F.transform("w.word", F.octet_length)).alias("longest"), F.concat("w.n", F.array("other")).alias("ref_frequent"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -120,13 +120,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     lists = materialize(references(texts), "references")
-    common = lists.where("ref is null").select("top").scalar()
+    common, common_longest = (lists.where("ref is null").select(c).scalar() for c in ("top", "longest"))
     none = F.array().cast("array<string>")
     # a document counts the words of its own reference only; the join is left to Catalyst, which knows the lists' bytes
-    out = texts.join(lists.where("ref is not null").select("ref", "top"), F.col("lang") == F.col("ref"), "left") \
-        .select("doc_id", "text", "ref", F.coalesce("top", common, none).alias("top"))
+    out = texts.join(lists.where("ref is not null").select("ref", "top", "longest"), F.col("lang") == F.col("ref"), "left") \
+        .select("doc_id", "text", "ref", F.coalesce("top", common, none).alias("top"), F.coalesce("longest", common_longest, F.lit(0)).alias("longest"))
     out = class_counts(base_counts(out))
-    out = out.withColumn("hits", F.expr("filter(words, w -> array_contains(top, w))")) \
+    out = out.withColumn("hits", F.expr("filter(words, w -> octet_length(w) <= longest and array_contains(top, w))")) \
         .withColumn("frequent", F.expr("transform(top, w -> cast(size(hits) - size(array_remove(hits, w)) as long))")) \
         .withColumn("frequent", F.concat("frequent", F.array(F.col("n_words") - F.aggregate("frequent", F.lit(0).cast("long"), lambda s, x: s + x))))
     metrics = materialize(out.select("doc_id", F.xxhash64("text").alias("hash"), "ref", "n_words", "word_chars", "n_symbols",

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from yarnscope.llm.arrays import RangeHash, ascii_lower, text_slices, words_of
+from yarnscope.llm.arrays import RangeHash, ascii_lower, mix64, text_slices, words_of
 from yarnscope.session import materialize
 
 #: Bytes of text that a task turns into one run, and of text whose phrases of one order one group merges.
@@ -36,6 +36,7 @@ TOP = 2000
 #: Parts that a language's candidates are ranked in before their best are ranked together.
 PARTS = 64
 
+_MULT = np.uint64(0x9E3779B97F4A7C15)
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BLANKS = b" \t"
 _BLOCKS = pa.schema([("bucket", pa.int64()), ("k", pa.int32()), ("lang", pa.string()), ("n", pa.int64()), ("bytes", pa.int64()),
@@ -77,16 +78,19 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def phrase_runs(data: np.ndarray, offsets: np.ndarray):
-    """``(k, phrases, counts)`` for k = 1, 2, 3: the distinct phrases of the texts in word order."""
+    """``(k, phrases, counts, places)`` for k = 1, 2, 3: the distinct phrases of the texts in word order.
+
+    ``places`` are 64-bit numbers made of the words alone, by which phrases are dealt out.
+    """
     data = ascii_lower(data)
     inside = np.ones(256, bool)
     inside[list(_BREAKS + _BLANKS)] = False
     start, end, row = words_of(data, offsets, inside)
     if len(start) == 0:
         return
-    broken = np.zeros(256, np.int64)
+    broken = np.zeros(256, np.int8)
     broken[list(_BREAKS)] = 1
-    piece = np.cumsum(broken[data])[start]
+    piece = np.cumsum(broken[data], dtype=np.int64 if len(data) >> 31 else np.int32)[start]
     joined = (piece[1:] == piece[:-1]) & (row[1:] == row[:-1])
     coded = _binary(data[inside[data]], end - start).dictionary_encode()
     order = pc.sort_indices(coded.dictionary)
@@ -94,28 +98,31 @@ def phrase_runs(data: np.ndarray, offsets: np.ndarray):
     rank = np.empty(len(words), np.int64)
     rank[order.to_numpy()] = np.arange(len(words))
     word = rank[coded.indices.to_numpy()]
-    yield 1, words, np.bincount(word, minlength=len(words))
+    raw, bounds = _view(words)
+    place = RangeHash(raw).of(bounds[:-1], bounds[1:])
+    yield 1, words, np.bincount(word, minlength=len(words)), place
     at = np.flatnonzero(joined)
     if len(at) == 0:
         return
     pairs, counts, pair = _distinct((word[at] << 32) | word[at + 1])
     both = pc.binary_join_element_wise(words.take(pa.array(pairs >> 32)), words.take(pa.array(pairs & 0xFFFFFFFF)), pa.scalar(b" ", pa.large_binary()))
-    yield 2, both, counts
+    both_place = mix64(place[pairs >> 32] * _MULT + place[pairs & 0xFFFFFFFF])
+    yield 2, both, counts, both_place
     # pairs that the next word of the piece follows: place of the pair, then that word
     third = np.zeros(len(word), bool)
     third[at] = True
     third = third[at + 1]
     if third.any():
         triples, counts, _ = _distinct((pair[third] << 32) | word[at[third] + 2])
-        yield 3, pc.binary_join_element_wise(both.take(pa.array(triples >> 32)), words.take(pa.array(triples & 0xFFFFFFFF)), pa.scalar(b" ", pa.large_binary())), counts
+        yield 3, pc.binary_join_element_wise(both.take(pa.array(triples >> 32)), words.take(pa.array(triples & 0xFFFFFFFF)), pa.scalar(b" ", pa.large_binary())), counts, \
+            mix64(both_place[triples >> 32] * _MULT + place[triples & 0xFFFFFFFF])
 
 
 def _runs(buckets: int):
     def blocks(lang: str, texts: list):
         for _, _, data, offsets in text_slices(pa.concat_arrays(texts), 1 << 62):
-            for k, phrases, counts in phrase_runs(data, offsets):
-                raw, bounds = _view(phrases)
-                bucket = (RangeHash(raw).of(bounds[:-1], bounds[1:]) % np.uint64(buckets)).astype(np.int64)
+            for k, phrases, counts, places in phrase_runs(data, offsets):
+                bucket = (places % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")  # inside a bucket phrases stay sorted
                 phrases, counts, bucket = phrases.take(pa.array(order)), counts[order].astype(np.int64), bucket[order]
                 raw, bounds = _view(phrases)

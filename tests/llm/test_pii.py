@@ -107,7 +107,7 @@ def test_rows_and_edges(spark, frame):
     text = "write to a.b@mail.example.com, a.b@mail.example.com"
     rows = [(1, None), (2, ""), (3, "clean"), (4, text), (4, text), (None, "x 10.1.2.3 y"), (5, "word " * 60_000 + "10.1.2.3")]
     df = frame(rows)
-    out = pii.replace_entities(df)
+    out = pii.replace_entities(df, b"k")
     assert out.columns == [*[c for c in df.columns if c != "n_replaced"], "n_replaced"]
     got = out.collect()
     by = {r.doc_id: r for r in got}
@@ -115,7 +115,7 @@ def test_rows_and_edges(spark, frame):
     first, second = re.findall(r"\S+@[\w.]+\w", by[4].text)
     assert first == second != "a.b@mail.example.com"
     assert by[5].text.endswith(by[None].text.split()[1]) and by[4].label == 5
-    assert pii.replace_entities(frame([])).count() == 0
+    assert pii.replace_entities(frame([]), b"k").count() == 0
 
 
 def test_surrogates_that_are_entities_move_on(frame):
@@ -140,3 +140,33 @@ def test_addresses_equal_the_pattern_and_long_runs_are_quick():
     assert list(pii.find_entities("x" * 1_000_000 + " 1")) == []
     assert [e[2][0][1] for e in pii.find_entities("y" * 300_000 + " me@example.org 1 " + "@" * 100_000)] == ["me@example.org"]
     assert time.time() - t < 20
+
+
+def test_one_pair_reveals_no_other():
+    s = pii.Surrogates(b"k")
+    for size in (60, 1000, 5000, 30_000, (1 << 20) + 7):
+        some = range(min(size, 4000))
+        image = [s.permute("c", i, size) for i in some]
+        assert len(set(image)) == len(image) and all(0 <= x < size and x != i for i, x in zip(some, image, strict=True))
+        # a rotation would have one distance; a keyed cycle has nearly as many as chance gives
+        assert len({(x - i) % size for i, x in zip(some, image, strict=True)}) > len(image) * 0.5
+        assert sum(x == pii.Surrogates(b"other").permute("c", i, size) for i, x in list(zip(some, image, strict=True))[:200]) < 40
+    # one cycle: a small set is walked whole before a value comes back
+    at, seen = s.permute("d", 0, 5000), 1
+    while at:
+        at, seen = s.permute("d", at, 5000), seen + 1
+    assert seen == 5000
+
+
+def test_the_key_comes_from_the_session(spark, frame):
+    import pytest
+    docs = frame([(1, "from 10.9.8.7 on")])
+    with pytest.raises(ValueError, match=pii.KEY_SETTING):
+        pii.replace_entities(docs)
+    spark.conf.set(pii.KEY_SETTING, "a key")
+    try:
+        assert pii.session_key(spark, pii.TEST_KEY) == b"a key"
+        assert pii.replace_entities(docs).first().text == pii.replace_entities(docs, b"a key").first().text != "from 10.9.8.7 on"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert pii.session_key(spark, pii.TEST_KEY) == pii.TEST_KEY

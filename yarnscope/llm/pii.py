@@ -7,7 +7,8 @@ names of persons (a known given name or a title, then capitalised words).
 
 A surrogate is a keyed permutation of the characters of the normalised
 entity, class by class (digits, lower and upper case letters of a script), or
-of the given names of one gender and script. A permutation never gives two
+of the given names of one gender and script. The key comes from the session, and
+a permutation is one keyed cycle, so no value stays and a known pair reveals no other. It never gives two
 entities of one format the same surrogate and always gives one entity the same, in every document and
 every spelling, without a table; card numbers keep their check digit valid or
 invalid. Collision check: the distinct entities of the corpus are gathered,
@@ -24,13 +25,17 @@ import math
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yarnscope.session import materialize
 
-#: Key of the surrogates; callers give their own.
-DEFAULT_KEY = b"surrogates"
+#: Session setting that holds the key of the surrogates.
+KEY_SETTING = "spark.yarnscope.pii.key"
+#: Key of tests and of runs over synthetic tables; never of real data.
+TEST_KEY = b"surrogates"
+#: Greatest set of values that is shuffled as a list, and shuffled lists a process keeps.
+LISTED, LISTS_KEPT = 1024, 200
 #: Entities with a permuted surrogate up to which they are sent to every executor; more are joined.
 BROADCAST_ENTITIES = 100_000
 
@@ -134,6 +139,7 @@ class Surrogates:
 
     def __init__(self, key: bytes):
         self.key = key
+        self.lists: dict[tuple[str, int], dict[int, int]] = {}
 
     def _round(self, kind: str, size: int, k: int, half: int, bound: int) -> int:
         msg = f"{kind}/{size}/{k}/{half}".encode()
@@ -145,12 +151,31 @@ class Surrogates:
         return int.from_bytes(out[:wide]) % bound
 
     def permute(self, kind: str, value: int, size: int) -> int:
-        """A permutation of 0 .. size-1: Feistel rounds, walked until inside; a keyed turn, which moves every value, of small sets."""
+        """The value after ``value`` in a keyed cycle through 0 .. size-1: every value moves, and one pair tells nothing of another.
+
+        The cycle is a keyed order of the values: a list for small sets; beyond
+        that Feistel rounds, walked until inside the set, from a place to its
+        value and back.
+        """
         if size < 2:
             return value
-        if size < 1 << 20:
-            return (value + 1 + self._round(kind, size, 0, 0, size - 1)) % size
+        if size <= LISTED:
+            if (kind, size) not in self.lists:
+                if len(self.lists) >= LISTS_KEPT:
+                    self.lists.clear()
+                order = sorted(range(size), key=lambda v: (self._round(kind, size, 0, v, 1 << 128), v))
+                self.lists[kind, size] = {v: order[(k + 1) % size] for k, v in enumerate(order)}
+            return self.lists[kind, size][value]
         side = math.isqrt(size - 1) + 1
+        place = value
+        while True:  # back from the value to its place
+            left, right = divmod(place, side)
+            for k in range(7, -1, -1):
+                left, right = (right - self._round(kind, size, k, left, side)) % side, left
+            place = left * side + right
+            if place < size:
+                break
+        value = (place + 1) % size
         while True:
             left, right = divmod(value, side)
             for k in range(8):
@@ -356,13 +381,25 @@ def taken_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
             return materialize(settled, "settled")
 
 
-def replace_entities(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_entities: int = BROADCAST_ENTITIES) -> DataFrame:
+def session_key(spark: SparkSession, otherwise: bytes | None = None) -> bytes:
+    """The key that the session names in KEY_SETTING, else ``otherwise``; without either, an error."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if key:
+        return key.encode()
+    if otherwise is None:
+        raise ValueError(f"no key for the surrogates: set {KEY_SETTING}, or give one")
+    return otherwise
+
+
+def replace_entities(docs: DataFrame, key: bytes | None = None, broadcast_entities: int = BROADCAST_ENTITIES) -> DataFrame:
     """``docs`` with ``text`` replaced by surrogates, and ``n_replaced``; all other columns as they were.
 
     Null texts stay null, empty texts empty (n_replaced 0). Texts without
     entities stay as they are. Repeated rows get equal texts. A column of the
-    input named n_replaced is overwritten. An empty table stays empty.
+    input named n_replaced is overwritten. An empty table stays empty. Very long
+    texts are read whole. Without ``key``, the session's is taken (KEY_SETTING).
     """
+    key = session_key(docs.sparkSession) if key is None else key
     taken = taken_surrogates(docs.select(F.col("text").cast("string").alias("text")), key)
     n = taken.count()
     rows = docs.drop("n_replaced").withColumn("text", F.col("text").cast("string"))

@@ -65,7 +65,7 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_entities(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_replaced")
+    return pii.replace_entities(_table(spark, sf_dir, "documents"), pii.session_key(spark, pii.TEST_KEY)).select("doc_id", "text", "n_replaced")
 
 
 def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

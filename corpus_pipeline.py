@@ -49,8 +49,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced in every text; all documents stay."""
-    return pii.replace_entities(docs).select(*docs.columns)
+    """Personal data is replaced in every text; all documents stay. The session's key, or the test key."""
+    return pii.replace_entities(docs, pii.session_key(spark, pii.TEST_KEY)).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

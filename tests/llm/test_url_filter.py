@@ -1,4 +1,7 @@
+import math
+import random
 import re
+from collections import Counter
 
 from yarnscope.llm import url_filter as uf
 
@@ -26,11 +29,68 @@ def test_rules_and_parts(spark):
         assert got[i].verdict in ("allow", "block")
 
 
-def test_segmentation_is_the_most_probable():
-    s = uf.Segmenter({"cheap": 50, "pills": 20, "pill": 5, "heap": 9, "c": 1, "s": 30})
-    assert s.split("cheappills") == ["cheap", "pills"]
-    assert s.split("") == []
-    assert s.tokens("cheap-pills.com", "/en/825.html")[:2] == ["h:cheap", "h:pills"] and "p:#" in s.tokens("x", "/en/825")
+def test_segmentation_is_the_most_probable(spark):
+    counts = {"cheap": 50, "pills": 20, "pill": 5, "heap": 9, "c": 1, "s": 30}
+    total = sum(counts.values())
+    assert uf.split_name("cheappills", counts, total) == ["cheap", "pills"]
+    assert uf.split_name("", counts, total) == []
+
+    def cost(words):
+        return sum(math.log(total / counts[w]) if w in counts else math.log(total + 1) + len(w) * math.log(10) for w in words)
+
+    def splits(name):
+        return [[]] if not name else [[name[:k], *rest] for k in range(1, len(name) + 1) for rest in splits(name[k:])]
+
+    rng = random.Random(2)
+    names = sorted({"".join(rng.choice(["cheap", "pill", "s", "x", "heap", "é"]) for _ in range(rng.randrange(1, 4))) for _ in range(40)})
+    table = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r.name: r.split for r in uf.split_names(spark.createDataFrame([(n,) for n in names], "name string"), table).collect()}
+    assert sorted(got) == names
+    for n in names:
+        assert "".join(got[n]) == n and abs(cost(got[n]) - min(cost(x) for x in splits(n))) < 1e-9, n
+
+
+def judged_by_hand(rows):
+    """Verdicts and words of ``(page_id, url, html)`` by plain Python over everything."""
+    counts = Counter(w for _, _, h in rows for w in re.findall(r"[^\W\d_]+", re.sub("<[^>]*>", " ", h or "").lower()) if len(w) <= uf.LONGEST_WORD)
+    total, classes, tokens = sum(counts.values()), Counter(), {"block": Counter(), "allow": Counter()}
+    found = []
+    for _, url, _ in rows:
+        host, path, rule = brute(url)
+        words = []
+        for kind, text in (("h:", host), ("p:", path)):
+            for run in re.findall(r"[^\W\d_]+|\d+", text.lower()):
+                words += [kind + "#"] if run.isdigit() else [kind + w for w in uf.split_name(run, counts, total)]
+        found.append((rule, words))
+        if rule:
+            classes[RULES[rule]] += 1
+            tokens[RULES[rule]].update(words)
+    size = len(set(tokens["block"]) | set(tokens["allow"])) + 1
+    n = {v: sum(tokens[v].values()) + size for v in tokens}
+    out = []
+    for rule, words in found:
+        odds = math.log((classes["block"] + 1) / (classes["allow"] + 1))
+        for w in words:
+            if w in tokens["block"] or w in tokens["allow"]:
+                odds += math.log((tokens["block"][w] + 1) / n["block"]) - math.log((tokens["allow"][w] + 1) / n["allow"])
+        out.append((RULES[rule] if rule else "block" if odds > 0 else "allow", words, odds))
+    return out
+
+
+def test_whole_result_equals_plain_python(spark):
+    rng = random.Random(8)
+    names = ["cheap", "pills", "good", "news", "straße", "über", "мир", "café", "x"]
+    rows = []
+    for k in range(400):
+        host = "".join(rng.choice(names) for _ in range(rng.randrange(1, 4))) + rng.choice([".example.com", ".com", ".net", ".org", ".de"])
+        url = f"http://{host}/{rng.choice(['es', 'en', 'fr', 'de'])}/{rng.choice(names)}{rng.choice(names)}-{k % 7}"
+        rows.append((k, rng.choice([url, url, url, None, "http://news.org/x"]), "<p>" + " ".join(rng.choice(names) for _ in range(9)) + "</p>"))
+    rows.append((1000, "http://" + "cheappills" * 3000 + ".org/" + "z" * 20_000, None))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in uf.judge_urls(df).collect()}
+    assert len(got) == len(rows)
+    for (page, url, _), (verdict, words, odds) in zip(rows, judged_by_hand(rows), strict=True):
+        assert (got[page].verdict, got[page].words) == (verdict, words) and abs(got[page].block_score - odds) < 1e-6, url
 
 
 def test_classifier_follows_words(spark):
@@ -45,8 +105,10 @@ def test_empty_table(spark):
     assert uf.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def test_most_frequent(spark):
-    rows = [(f"w{i}", 1 + (i * 37) % 50) for i in range(400)]
-    got = [(r.word, r.n) for r in uf.most_frequent(spark.createDataFrame(rows, "word string, n long"), 37)]
-    assert got == sorted(rows, key=lambda r: (-r[1], r[0]))[:37]
-    assert uf.most_frequent(spark.createDataFrame([], "word string, n long"), 5) == []
+def test_rare_words_count(spark):
+    # more distinct words than any table that is cut to the most frequent ones would hold
+    filler = [(k, None, " ".join(f"{a}{b}{c}" for a in "bcdfghjk" for b in "aeiou" for c in "lmnpqrst") + f" {'abcdefghij'[k % 10] * 3}") for k in range(30)]
+    rows = filler + [(900, "http://raretarn.example.com/en/1", "rare tarn"), (901, "http://a.com/de/", None), (902, "http://tarnrare.org/", "rare tarn")]
+    got = {r.page_id: r for r in uf.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[900].words[:2] == ["h:rare", "h:tarn"] and got[902].words[:2] == ["h:tarn", "h:rare"] and got[902].block_score > 0
+    assert got[902].verdict == "block"

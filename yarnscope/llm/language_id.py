@@ -4,18 +4,20 @@ Every language has probabilities of the pieces of a fixed public vocabulary.
 A word's probability in a language is the sum over all its segmentations into
 pieces, by the forward algorithm; a text's is the product over its words.
 The piece probabilities are fitted by expectation-maximisation on a bounded
-sample of labelled texts (SAMPLE texts a language, chosen by a hash of their
-id); every text is scored whole.
+sample of labelled texts (SAMPLE distinct texts a language, chosen by their
+hash, whose words are learned in parts of at most LEARNED_BYTES bytes); every
+text is scored whole, every word over all its segmentations.
 
 Words are runs of ASCII letters (A-Z lower-cased) and bytes beyond ASCII,
-preceded by a blank; runs of more than STRETCH bytes are taken in stretches
-of that length. Spark deals out the texts; numpy scores the distinct words of
-a slice of texts at once.
+preceded by a blank. Spark deals out the texts; numpy scores the distinct
+words of a slice of texts at once. The forward sums of a word reach back as far
+as the longest piece, so a word of any length needs no more memory.
 """
 
 from __future__ import annotations
 
 import base64
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +27,15 @@ from pyspark.sql import functions as F
 from yarnscope.llm.arrays import RangeHash, ascii_lower, text_slices, words_of
 from yarnscope.session import materialize
 
-#: Labelled texts of a language that are learned from.
+#: Distinct labelled texts of a language that are learned from.
 SAMPLE = 1500
-#: Languages learned, the most frequent ones.
-MAX_LANGUAGES = 200
-#: Longest piece and longest stretch of a word, in bytes.
-PIECE_BYTES, STRETCH = 8, 32
+#: Longest part of a word that is learned from at once, in bytes (scoring cuts no word).
+LEARNED_BYTES = 1024
 ROUNDS = 4
+#: Bytes of words whose lattice is held at once while learning, and numbers of forward sums while scoring.
+LATTICE_BYTES, STATE = 1 << 20, 2_000_000
+#: Forward sums are scaled to TOP every RESCALE bytes of a word.
+TOP, RESCALE = 1e250, 16
 #: Distinct words whose scores a task remembers from one slice to the next.
 REMEMBERED = 200_000
 
@@ -41,10 +45,10 @@ _LETTERS[128:] = True
 
 
 def load_pieces(path: str) -> list[bytes]:
-    """Pieces of a rank file (base64 piece, rank) of at most PIECE_BYTES bytes, lower case, and all single bytes."""
+    """Pieces of a rank file (base64 piece, rank) that can lie in a word: letters, lower case, and all single bytes."""
     with open(path, "rb") as f:
         ranked = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-    keep = [p for p in ranked if len(p) <= PIECE_BYTES and p == p.lower() and _spoken(p)]
+    keep = [p for p in ranked if p == p.lower() and _spoken(p)]
     return sorted(set(keep) | {bytes([b]) for b in range(256)})
 
 
@@ -61,6 +65,7 @@ class Lattice:
         bounds = np.cumsum([0, *map(len, pieces)])
         self.keys = RangeHash(data).of(bounds[:-1], bounds[1:])
         self.n = len(pieces)
+        self.sizes = np.unique([len(p) for p in pieces])
         # two tables: a piece is in the first unless its slot is taken there
         self.bits = np.uint64(44)
         self.tables = []
@@ -85,68 +90,118 @@ class Lattice:
             out[hit] = piece[hit]
         return out
 
-    def substrings(self, words: list[bytes]):
-        """Groups of words of equal length: ``(index of words, {(end, size): piece of every word})``."""
-        data = np.frombuffer(b"".join(words), np.uint8)
-        size = np.array([len(w) for w in words], np.int64)
-        base = np.cumsum(size) - size
-        hashing = RangeHash(data)
-        for length in np.unique(size):
-            index = np.flatnonzero(size == length)
-            start = base[index]
-            found = {}
-            for end in range(1, length + 1):
-                for k in range(1, min(end, PIECE_BYTES) + 1):
-                    found[end, k] = self.find(hashing.of(start + end - k, start + end))
-            yield index, int(length), found
-
     def forward(self, words: list[bytes], table: np.ndarray) -> np.ndarray:
         """log probability of every word in every language; ``table`` is pieces + 1 (a zero row) x languages."""
+        size = np.array([len(w) for w in words], np.int64)
+        order = np.argsort(-size, kind="stable")
         out = np.empty((len(words), table.shape[1]))
-        for index, length, found in self.substrings(words):
-            alpha = [np.ones((len(index), table.shape[1]))]
-            for end in range(1, length + 1):
-                alpha.append(sum(alpha[end - k] * table[found[end, k]] for k in range(1, min(end, PIECE_BYTES) + 1)))
-            out[index] = np.log(alpha[length])
+        at_once = max(1, STATE // ((int(self.sizes[-1]) + 1) * table.shape[1]))
+        for begin in range(0, len(order), at_once):
+            index = order[begin:begin + at_once]
+            out[index] = self._forward([words[i] for i in index], size[index], table)
+        return out
+
+    def _forward(self, words: list[bytes], size: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """The same for words in falling order of their sizes, byte by byte of all words.
+
+        ``ring`` keeps the forward sums of the last bytes, as many as the longest piece has.
+        """
+        hashing = RangeHash(np.frombuffer(b"".join(words), np.uint8))
+        start = np.cumsum(size) - size
+        slots = int(self.sizes[-1]) + 1
+        ring = np.zeros((len(words), slots, table.shape[1]))
+        ring[:, 0] = TOP
+        shift = np.zeros((len(words), table.shape[1]))
+        out = np.zeros_like(shift) - np.log(TOP)
+        reach = lambda end: int(np.searchsorted(-size, -end, side="right"))  # noqa: E731, words of at least ``end`` bytes
+        done = scaled = 0
+        while n := reach(done + 1):
+            # a few long words: several bytes at once
+            block = max(1, min(RESCALE - (done - scaled), 4096 // n, int(size[0]) - done))
+            ends = np.arange(done + 1, done + block + 1)
+            sizes = self.sizes[:np.searchsorted(self.sizes, done + block, side="right")]
+            stop = (start[:n, None] + np.minimum(ends, size[:n, None]))[:, :, None]
+            # ends before the start of a word have a sum of 0 in the ring, whatever is found there
+            piece = self.find(hashing.of(np.maximum(stop - sizes, start[:n, None, None]), stop).ravel()).reshape(n, block, len(sizes))
+            for j, end in enumerate(ends.tolist()):
+                m, longer = reach(end), reach(end + 1)
+                ring[:m, end % slots] = np.einsum("wkl,wkl->wl", ring[:m, (end - sizes) % slots], table[piece[:m, j]])
+                out[longer:m] += np.log(ring[longer:m, end % slots]) + shift[longer:m]
+            done += block
+            if done - scaled >= RESCALE:
+                m, scaled = reach(done + 1), done
+                top = ring[:m].max(axis=1)
+                ring[:m] *= (TOP / top)[:, None]
+                shift[:m] += np.log(top / TOP)
         return out
 
+    def places(self, words: list[bytes]):
+        """Where pieces lie in words: node before and after each, position there, piece; and first and last node of the words."""
+        size = np.array([len(w) for w in words], np.int64)
+        start = np.cumsum(size) - size
+        hashing = RangeHash(np.frombuffer(b"".join(words), np.uint8))
+        word = np.repeat(np.arange(len(words)), size)
+        left = (start + size)[word] - np.arange(len(word))
+        found = []
+        for k in self.sizes.tolist():
+            at = np.flatnonzero(left >= k)
+            piece = self.find(hashing.of(at, at + k))
+            hit = piece < self.n
+            at, piece = at[hit], piece[hit]
+            node = at + word[at]
+            found.append(np.array([node, node + k, at - start[word[at]], at - start[word[at]] + k, piece, word[at]]))
+        first = start + np.arange(len(words))
+        return np.concatenate(found, axis=1), first, first + size
+
     def fit(self, words: list[bytes], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
         """Piece probabilities of one language by expectation-maximisation."""
         p = np.full(self.n + 1, 1.0 / self.n)
         p[self.n] = 0
-        groups = list(self.substrings(words)) if words else []
+        chunk = np.cumsum([len(w) for w in words]) // LATTICE_BYTES if words else np.zeros(0, np.int64)
+        bounds = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(words)] if words else [0]
         for _ in range(rounds):
             expected = np.zeros(self.n + 1)
-            for index, length, found in groups:
-                n = counts[index]
-                alpha = [np.ones(len(index))]
-                for end in range(1, length + 1):
-                    alpha.append(sum(alpha[end - k] * p[found[end, k]] for k in range(1, min(end, PIECE_BYTES) + 1)))
-                beta = [None] * length + [n / alpha[length]]
-                for begin in range(length - 1, -1, -1):
-                    beta[begin] = sum(beta[begin + k] * p[found[begin + k, k]] for k in range(1, min(length - begin, PIECE_BYTES) + 1))
-                for (end, k), piece in found.items():
-                    expected += np.bincount(piece, alpha[end - k] * p[piece] * beta[end], self.n + 1)
+            for a, b in itertools.pairwise(bounds):
+                expected += self._expected(words[a:b], counts[a:b], p[:self.n])
             p = expected + 0.01  # pieces that were not seen keep a little
             p[self.n] = 0
             p /= p.sum()
         return p
 
+    def _expected(self, words: list[bytes], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Expected counts of the pieces: forward and backward sums, as logarithms."""
+        (before, after, begin, end, piece, word), first, last = self.places(words)
+        weight = np.log(p)[piece]
+        forward, backward = np.zeros(last[-1] + 1), np.zeros(last[-1] + 1)
+        backward[last] = np.log(counts)
+        _accumulate(forward, before, after, end, weight)
+        _accumulate(backward, after, before, -begin, weight)
+        share = np.exp(forward[before] + weight + backward[after] - forward[last[word]])
+        return np.bincount(piece, share, self.n + 1)
+
+
+def _accumulate(total: np.ndarray, source: np.ndarray, target: np.ndarray, step: np.ndarray, weight: np.ndarray) -> None:
+    """Log sums over the edges into every target, in the order of ``step``; sources are of earlier steps."""
+    if not len(step):
+        return
+    order = np.lexsort((target, step))
+    source, target, step, weight = source[order], target[order], step[order], weight[order]
+    heads = np.flatnonzero(np.append(True, target[1:] != target[:-1]))
+    cuts = np.flatnonzero(np.append(True, step[1:] != step[:-1]))
+    head_cuts = np.searchsorted(heads, cuts)
+    for a, b, c, d in zip(cuts, [*cuts[1:], len(step)], head_cuts, [*head_cuts[1:], len(heads)], strict=True):
+        value, head = total[source[a:b]] + weight[a:b], heads[c:d] - a
+        top = np.maximum.reduceat(value, head)
+        value = np.exp(value - np.repeat(top, np.diff(np.append(head, b - a))))
+        total[target[heads[c:d]]] = top + np.log(np.add.reduceat(value, head))
+
 
 def slice_words(data: np.ndarray, offsets: np.ndarray):
-    """Stretches of words of a slice of texts: hash, row, start, end, and whether the word starts there."""
+    """Words of a slice of texts: lower-cased bytes, hash, row, start and end."""
     data = ascii_lower(data)
     start, end, row = words_of(data, offsets, _LETTERS)
-    parts = np.maximum(1, -(-(end - start) // STRETCH))
-    if len(parts) and parts.max() > 1:
-        which = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        row, stop = np.repeat(row, parts), np.repeat(end, parts)
-        start = np.repeat(start, parts) + which * STRETCH
-        end, first = np.minimum(stop, start + STRETCH), which == 0
-    else:
-        first = np.ones(len(start), bool)
-    keys = RangeHash(data).of(start, end) ^ (first.astype(np.uint64) << np.uint64(7)) if len(start) else np.zeros(0, np.uint64)
-    return data, keys, row, start, end, first
+    keys = RangeHash(data).of(start, end) if len(start) else np.zeros(0, np.uint64)
+    return data, keys, row, start, end
 
 
 def _count_words(batches):
@@ -155,7 +210,7 @@ def _count_words(batches):
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         for begin, last, text, offsets in text_slices(batch.column("text")):
-            data, keys, row, start, end, first = slice_words(text, offsets)
+            data, keys, row, start, end = slice_words(text, offsets)
             names = sorted(set(langs[begin:last]))
             of_row = np.array([names.index(x) for x in langs[begin:last]])
             raw = data.tobytes()
@@ -163,27 +218,32 @@ def _count_words(batches):
                 mine = np.flatnonzero(of_row[row] == k)
                 _, at, n = np.unique(keys[mine], return_index=True, return_counts=True)
                 at = mine[at]
-                words = [(b" " if f else b"") + raw[s:e] for s, e, f in zip(start[at], end[at], first[at], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(words), pa.string()), pa.array(words, pa.binary()), pa.array(n, pa.int64())], schema=schema)
+                words, times = [], []
+                for s, e, count in zip(start[at].tolist(), end[at].tolist(), n.tolist(), strict=True):
+                    word = b" " + raw[s:e]
+                    parts = [word[k:k + LEARNED_BYTES] for k in range(0, len(word), LEARNED_BYTES)]
+                    words += parts
+                    times += [count] * len(parts)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(words), pa.string()), pa.array(words, pa.binary()), pa.array(times, pa.int64())], schema=schema)
 
 
 def learn(labelled: DataFrame, pieces: list[bytes], sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and piece probabilities from ``labelled(doc_id, text, lang)``.
 
-    At most ``sample`` texts of a language and MAX_LANGUAGES languages, so what
-    the driver gets is languages x pieces numbers.
+    At most ``sample`` distinct texts of a language are learned from; a text
+    that is repeated counts once. All languages are learned, so the driver gets
+    languages x pieces numbers (0.3 MB a language).
     """
     spark = labelled.sparkSession
-    labelled = labelled.where("lang is not null and text is not null")
-    spoken = materialize(labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES), "languages")
-    # a draw that leaves about four times the sample, then the least hashes of a language
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(17)), F.lit(1 << 40))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    chosen = labelled.select("lang", "doc_id", draw.alias("draw")).join(F.broadcast(spoken), "lang") \
-        .where(F.col("draw").cast("double") * F.col("n") < 4.0 * sample * (1 << 40)).withColumn("rank", rank).where(F.col("rank") <= sample)
-    chosen = materialize(chosen.select("lang", "doc_id").distinct(), "sample")
-    # at most sample x MAX_LANGUAGES ids
-    texts = labelled.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "text")
+    labelled = labelled.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("hash"))
+    spoken = labelled.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n"))
+    # a draw that leaves about four times the sample, then the least of a language
+    draw = F.pmod(F.xxhash64("hash", F.lit(17)), F.lit(1 << 40))
+    drawn = labelled.select("lang", "hash", draw.alias("draw")).join(spoken, "lang").where(F.col("draw").cast("double") * F.col("n") < 4.0 * sample * (1 << 40))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "hash"))
+    chosen = drawn.select("lang", "hash", "draw").distinct().withColumn("rank", rank).where(F.col("rank") <= sample)
+    chosen = materialize(chosen.select("lang", "hash"), "sample")
+    texts = labelled.join(chosen, ["lang", "hash"], "left_semi").dropDuplicates(["lang", "hash"]).select("lang", "text")
     counts = texts.mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     shared = spark.sparkContext.broadcast(pieces)
 
@@ -204,7 +264,8 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, pieces: list[
     ``score`` is the posterior of the predicted language among the learned
     ones; equal scores go to the first name. A null or empty text, a text without letters,
     and every text if no language was learned: ``und``, score 0. Repeated
-    rows are scored alike; further columns are ignored.
+    rows are scored alike; further columns are ignored. Words and texts of any
+    length are scored whole (a word of 1 MB in some ten seconds).
     """
     shared = docs.sparkSession.sparkContext.broadcast((langs, np.ascontiguousarray(table.T) if len(langs) else None, pieces))
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -218,7 +279,7 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, pieces: list[
             for begin, last, text, offsets in text_slices(batch.column("text")):
                 n_rows = last - begin
                 pred, score = ["und"] * n_rows, [0.0] * n_rows
-                data, keys, row, start, end, first = slice_words(text, offsets)
+                data, keys, row, start, end = slice_words(text, offsets)
                 if len(keys) and names:
                     distinct, at, back = np.unique(keys, return_index=True, return_inverse=True)
                     scores = np.empty((len(distinct), len(names)))
@@ -228,7 +289,7 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, pieces: list[
                     new = np.flatnonzero(~have)
                     if len(new):
                         raw, at = data.tobytes(), at[new]
-                        words = [(b" " if f else b"") + raw[s:e] for s, e, f in zip(start[at].tolist(), end[at].tolist(), first[at].tolist(), strict=True)]
+                        words = [b" " + raw[s:e] for s, e in zip(start[at].tolist(), end[at].tolist(), strict=True)]
                         scores[new] = lattice.forward(words, probability)
                         if len(known_keys) < REMEMBERED:
                             both = np.concatenate([known_keys, distinct[new]])

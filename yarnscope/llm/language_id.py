@@ -254,7 +254,8 @@ def learn(labelled: DataFrame, pieces: list[bytes], sample: int = SAMPLE) -> tup
         p = Lattice(shared.value).fit([words[i] for i in order], n)
         return pa.table({"lang": table.column("lang").slice(0, 1), "p": pa.array([p.tobytes()], pa.binary())})
 
-    rows = counts.groupBy("lang").applyInArrow(fit, "lang string, p binary").orderBy("lang").collect()
+    # ordered here: a sort in Spark would fit twice, once to sample its ranges
+    rows = sorted(counts.groupBy("lang").applyInArrow(fit, "lang string, p binary").collect(), key=lambda r: r["lang"])
     return [r["lang"] for r in rows], np.array([np.frombuffer(r["p"], float) for r in rows]).reshape(len(rows), len(pieces) + 1)
 
 
@@ -265,7 +266,7 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, pieces: list[
     ones; equal scores go to the first name. A null or empty text, a text without letters,
     and every text if no language was learned: ``und``, score 0. Repeated
     rows are scored alike; further columns are ignored. Words and texts of any
-    length are scored whole (a word of 1 MB in some ten seconds).
+    length are scored whole (a word of 1 MB takes about a minute).
     """
     shared = docs.sparkSession.sparkContext.broadcast((langs, np.ascontiguousarray(table.T) if len(langs) else None, pieces))
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])

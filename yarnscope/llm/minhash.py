@@ -247,9 +247,14 @@ def _rest(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     shingles that the differences of x and y share. Then x and y reach the
     similarity if ``(100 + percent) * o >= S(x) + S(y) - H`` with
     ``S = 100 * gone + percent * added`` and ``H = (100 - percent) * n``, and
-    ``S(x) <= H`` says that a and x do. For x not linked with a this bounds o
-    from below for any y, hence the prefixes: all but the bound's last shingles
-    of a difference, rare ones (in the leader's group) first.
+    ``S(x) <= H`` says that a and x do. Shingles rank from the rarest (in the
+    leader's group). If the first that x and y share has rank r of d in x,
+    then ``o <= d - r + 1``, so ``S(y)`` is at most
+    ``(100 + percent) * (d - r + 1) + H - S(x)``, the bound of x at r, and the
+    other way round. In two components the larger S is beyond H, and the
+    smaller at least ``percent / 100`` of its excess, since o is at most the
+    size of either difference. Ranks whose bound admits no such partner go:
+    what stays of a difference are its prefixes as the smaller and the larger.
     """
     p, name = percent, labels.withColumnRenamed("node", "b").withColumnRenamed("label", "of_b")
     lead = labels.select(F.col("node").alias("a"), F.col("label").alias("of_a"))
@@ -257,24 +262,29 @@ def _rest(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         .withColumn("of_b", F.coalesce("of_b", "b")).withColumn("open", F.col("of_b") != F.coalesce("of_a", "a")).drop("of_a")
     groups = materialize(all_.where("open").select("a").distinct(), "open")
     # a member with no difference is the leader's equal, which is no other class
-    score = 100 * F.col("gone") + p * F.col("added")
-    floor = F.floor(score / (100 + p)) + 1
-    need = F.greatest(F.lit(1), F.ceil((score - (100 - p) * F.col("n")) / (100 + p)))
-    members = materialize(all_.join(groups, "a", "left_semi")
-                          .select("a", "b", "of_b", "open", "n", score.alias("score"), "diff",
-                                  (F.size("diff") - floor + 1).alias("as_other"), F.when(F.col("open"), F.size("diff") - need + 1).otherwise(0).alias("as_open")), "members")
-    tokens = members.select("a", "b", "of_b", "as_other", "as_open", F.explode("diff").alias("token"))
+    score, high = 100 * F.col("gone") + p * F.col("added"), (100 - p) * F.col("n")
+    members = materialize(all_.join(groups, "a", "left_semi").select("a", "b", "of_b", "n", score.alias("score"), "diff"), "members")
+    tokens = members.select("a", "b", "of_b", "score", high.alias("high"), F.size("diff").alias("size"), F.explode("diff").alias("token"))
     frequency = tokens.groupBy("a", "token").agg(F.count("*").alias("df"))
     ranked = tokens.join(frequency, ["a", "token"]).withColumn("rank", F.row_number().over(Window.partitionBy("a", "b").orderBy("df", "token"))) \
-        .where("rank <= greatest(as_other, as_open)").select("a", "b", "of_b", "token", (F.col("rank") <= F.col("as_other")).alias("other"), (F.col("rank") <= F.col("as_open")).alias("probe"))
+        .withColumn("bound", (100 + p) * (F.col("size") - F.col("rank") + 1) + F.col("high") - F.col("score")) \
+        .select("a", "b", "of_b", "token", "score", "bound", (F.col("bound") >= F.greatest("score", F.col("high") + 1)).alias("smaller"),
+                ((F.col("score") > F.col("high")) & (100 * F.col("bound") >= p * (F.col("score") - F.col("high")))).alias("larger")).where("smaller or larger")
     ranked = materialize(ranked, "prefixes")
-    probes = ranked.where("probe").select("a", "token", F.col("b").alias("x"), F.col("of_b").alias("of_x"))
-    others = ranked.where("other").select("a", "token", F.col("b").alias("y"), F.col("of_b").alias("of_y"))
-    # components meet first, so that members of one component are not paired with each other
-    meet = probes.select("a", "token", "of_x").distinct().join(others.select("a", "token", "of_y").distinct(), ["a", "token"]) \
-        .where("of_x <> of_y").select("a", "of_x", "of_y").distinct()
-    found = probes.join(materialize(meet, "meet"), ["a", "of_x"]).join(others, ["a", "token", "of_y"]).select("a", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    # shingles of one component alone make no pair
+    mixed = ranked.groupBy("a", "token").agg(F.min("of_b").alias("low"), F.max("of_b").alias("top")).where("low < top").select("a", "token")
+    mixed = materialize(ranked.join(mixed, ["a", "token"]), "mixed")
+    smaller = mixed.where("smaller").select("a", "token", F.col("b").alias("x"), F.col("of_b").alias("of_x"), F.col("score").alias("s_x"), F.col("bound").alias("t_x"))
+    larger = mixed.where("larger").select("a", "token", F.col("b").alias("y"), F.col("of_b").alias("of_y"), F.col("score").alias("s_y"), F.col("bound").alias("t_y"))
+    # components meet first, at each shingle, so that members of one component are not paired with each other
+    meet = smaller.groupBy("a", "token", "of_x").agg(F.min("s_x").alias("least_x"), F.max("t_x").alias("to_x")) \
+        .join(larger.groupBy("a", "token", "of_y").agg(F.min("s_y").alias("least_y"), F.max("s_y").alias("most_y"), F.max("t_y").alias("to_y")), ["a", "token"]) \
+        .where("of_x <> of_y and least_x <= most_y and least_x <= to_y and least_y <= to_x") \
+        .select("a", "token", "of_x", "of_y", "least_y", "most_y", "to_y")
+    found = smaller.join(materialize(meet, "meet"), ["a", "token", "of_x"]).where("s_x <= most_y and s_x <= to_y and least_y <= t_x") \
+        .select("a", "token", "of_y", "x", "s_x", "t_x") \
+        .join(larger, ["a", "token", "of_y"]).where("s_x <= t_y and s_y <= t_x and (s_x < s_y or s_x = s_y and x < y)").select("a", "x", "y").distinct()
     side = lambda c: members.select("a", F.col("b").alias(c), F.col("n").alias(f"n_{c}"), F.col("score").alias(f"s_{c}"), F.col("diff").alias(f"d_{c}"))
     both = found.join(side("x"), ["a", "x"]).join(side("y"), ["a", "y"])
     return both.where(f"{100 + p} * size(array_intersect(d_x, d_y)) >= s_x + s_y - {100 - p} * n_x") \
-        .select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
